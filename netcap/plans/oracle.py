@@ -41,6 +41,18 @@ EV_S = """ev AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
 
 
+# Rates for the currency query (the same fixed values as the library's
+# default rates table).
+RATES = """rates(source_type, currency, rate) AS (VALUES
+  ('SHARE', 'TZS', 1::DECIMAL(20,6)), ('SHARE', 'USD', 2500), ('SHARE', 'EUR', 2700),
+  ('SHARE', 'GBP', 3100),
+  ('RESERVE', 'TZS', 1), ('RESERVE', 'USD', 2500), ('RESERVE', 'EUR', 2500), ('RESERVE', 'GBP', 2500),
+  ('DIVIDEND', 'TZS', 1), ('DIVIDEND', 'USD', 2500), ('DIVIDEND', 'EUR', 2500),
+  ('DIVIDEND', 'GBP', 2500),
+  ('DEDUCTION', 'TZS', 1), ('DEDUCTION', 'USD', 2500), ('DEDUCTION', 'EUR', 2500),
+  ('DEDUCTION', 'GBP', 2500))"""
+
+
 def prepared(sector_mode: str = "submitted", src: str = "ev") -> str:
     """Known source types, sector rule, non-NULL keys."""
     if sector_mode == "general":
@@ -240,4 +252,18 @@ ORACLE_SQL: dict[str, str] = {
         "COALESCE(transaction_date, reporting_date) AS transaction_date, "
         "CAST(amount AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS raw_payload FROM pev"),
     "position_changelog": _changelog(),
+    "json_roundtrip_position": _state_e() + f"SELECT {STATE_OUT} FROM st",
+    "json_roundtrip_events": with_(EV_E) + (
+        "SELECT source_type, fsp_id, sector, reporting_date, "
+        "COALESCE(transaction_date, reporting_date) AS transaction_date, "
+        "CAST(amount AS DOUBLE) AS amount, ingestion_time, "
+        "CASE source_type WHEN 'SHARE' THEN 'share-capital' WHEN 'RESERVE' THEN 'other-capital' "
+        "WHEN 'DIVIDEND' THEN 'dividends-payable' ELSE 'core-capital-deductions' END AS topic "
+        "FROM ev WHERE source_type IN ('SHARE','RESERVE','DIVIDEND','DEDUCTION')"),
+    "currency_normalised": with_(
+        EV_E.replace("CAST(value AS DECIMAL(20,4)) AS amount", "CAST(value AS DECIMAL(20,4)) AS org"),
+        RATES,
+        "conv AS (SELECT ev.*, CAST(ROUND(org * rate, 2) AS DECIMAL(20,4)) AS amount FROM ev "
+        "JOIN rates USING (source_type, currency))",
+        prepared(src="conv"), state_cte()) + f"SELECT {STATE_OUT} FROM st",
 }

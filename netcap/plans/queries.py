@@ -21,7 +21,10 @@ from netcap.operators.reports import (
     reporting_dates, rollup, sample_key, summary, table_counts, with_freshness,
 )
 from netcap.operators.snapshot import end_of_reporting_day, official_position, take_snapshot
+from netcap.operators.currency import normalise_currency, rates_frame, split_unrated
 from netcap.sources.adapters import events_from_events, events_from_star
+from netcap.sources.feeds import decode_feed
+from netcap.sources.publish import to_messages
 
 # Parameters of the registered report queries (the reports' own arguments).
 LOOKUP_KEY = ("FSP001", "BANKING", "2024-01-15")
@@ -135,6 +138,29 @@ def q_position_changelog(spark, sf_dir):
     return present(position_changelog(events_from_events(spark, sf_dir)))
 
 
+def _roundtrip_events(spark, sf_dir):
+    """Adapter E events -> feed messages (JSON) -> decoded events."""
+    events, _dead = decode_feed(to_messages(events_from_events(spark, sf_dir)))
+    return events
+
+
+def q_json_roundtrip_position(spark, sf_dir):
+    return present(capital_position(_roundtrip_events(spark, sf_dir)))
+
+
+def q_json_roundtrip_events(spark, sf_dir):
+    return present(_roundtrip_events(spark, sf_dir).select(
+        "source_type", "fsp_id", "sector", "reporting_date", "transaction_date", "amount",
+        "ingestion_time", "topic"))
+
+
+def q_currency_normalised(spark, sf_dir):
+    conv = normalise_currency(events_from_events(spark, sf_dir, with_currency=True),
+                              rates_frame(spark))
+    rated, _dead = split_unrated(conv)
+    return present(capital_position(rated))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "capital_position": q_capital_position,
     "capital_position_general": q_capital_position_general,
@@ -157,4 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_arrivals": q_late_arrivals,
     "event_log": q_event_log,
     "position_changelog": q_position_changelog,
+    "json_roundtrip_position": q_json_roundtrip_position,
+    "json_roundtrip_events": q_json_roundtrip_events,
+    "currency_normalised": q_currency_normalised,
 }
