@@ -2,6 +2,10 @@
 the independent SQL oracle for each."""
 
 from netcap.plans.oracle import ORACLE_SQL
-from netcap.plans.queries import QUERIES, present
+from netcap.plans.queries import QUERIES as _BATCH
+from netcap.plans.queries import present
+from netcap.plans.stored_queries import STORED_QUERIES
+
+QUERIES = {**_BATCH, **STORED_QUERIES}
 
 __all__ = ["ORACLE_SQL", "QUERIES", "present"]

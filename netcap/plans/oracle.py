@@ -195,6 +195,11 @@ def _lookup_args():
     return "fsp_id = 'FSP001' AND sector = 'BANKING' AND reporting_date = DATE '2024-01-15'"
 
 
+_EVENT_LOG = with_(EV_E, prepared()) + (
+    "SELECT ingestion_time AS received_at, source_type, fsp_id, sector, reporting_date, "
+    "COALESCE(transaction_date, reporting_date) AS transaction_date, "
+    "CAST(amount AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS raw_payload FROM pev")
+
 ORACLE_SQL: dict[str, str] = {
     "capital_position": _state_e() + f"SELECT {STATE_OUT} FROM st",
     "capital_position_general": _state_e("general") + f"SELECT {STATE_OUT} FROM st",
@@ -234,6 +239,8 @@ ORACLE_SQL: dict[str, str] = {
         f"{STATE_OUT} FROM st"),
     "official_position": _snapshots_two_rounds() + (
         f"SELECT snapshot_taken_at, snapshot_reporting_date, {STATE_OUT} FROM ranked WHERE rn = 1"),
+    "stored_official_position": _snapshots_two_rounds() + (
+        f"SELECT snapshot_taken_at, snapshot_reporting_date, {STATE_OUT} FROM ranked WHERE rn = 1"),
     "reporting_dates": _state_e() + "SELECT DISTINCT reporting_date FROM st",
     "sample_key": _state_e() + (
         "SELECT fsp_id, sector, reporting_date FROM st "
@@ -247,10 +254,8 @@ ORACLE_SQL: dict[str, str] = {
         "MAX(date_diff('day', reporting_date, CAST(ingestion_time AS DATE))) AS max_lag_days, "
         "AVG(date_diff('day', reporting_date, CAST(ingestion_time AS DATE))) AS mean_lag_days "
         "FROM pev GROUP BY source_type"),
-    "event_log": with_(EV_E, prepared()) + (
-        "SELECT ingestion_time AS received_at, source_type, fsp_id, sector, reporting_date, "
-        "COALESCE(transaction_date, reporting_date) AS transaction_date, "
-        "CAST(amount AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS raw_payload FROM pev"),
+    "event_log": _EVENT_LOG,
+    "stream_event_log": _EVENT_LOG,
     "position_changelog": _changelog(),
     "json_roundtrip_position": _state_e() + f"SELECT {STATE_OUT} FROM st",
     "json_roundtrip_events": with_(EV_E) + (
@@ -260,6 +265,10 @@ ORACLE_SQL: dict[str, str] = {
         "CASE source_type WHEN 'SHARE' THEN 'share-capital' WHEN 'RESERVE' THEN 'other-capital' "
         "WHEN 'DIVIDEND' THEN 'dividends-payable' ELSE 'core-capital-deductions' END AS topic "
         "FROM ev WHERE source_type IN ('SHARE','RESERVE','DIVIDEND','DEDUCTION')"),
+    "position_stream": _state_e() + f"SELECT {STATE_OUT} FROM st",
+    "position_stream_partials": _state_e() + f"SELECT {STATE_OUT} FROM st",
+    "late_replay": _state_e() + f"SELECT {STATE_OUT} FROM st",
+    "stored_state_lookup": _state_e() + f"SELECT {STATE_OUT} FROM st WHERE {_lookup_args()}",
     "currency_normalised": with_(
         EV_E.replace("CAST(value AS DECIMAL(20,4)) AS amount", "CAST(value AS DECIMAL(20,4)) AS org"),
         RATES,
