@@ -257,6 +257,7 @@ ORACLE_SQL: dict[str, str] = {
     "event_log": _EVENT_LOG,
     "stream_event_log": _EVENT_LOG,
     "position_changelog": _changelog(),
+    "changelog_stream": _changelog(),
     "json_roundtrip_position": _state_e() + f"SELECT {STATE_OUT} FROM st",
     "json_roundtrip_events": with_(EV_E) + (
         "SELECT source_type, fsp_id, sector, reporting_date, "

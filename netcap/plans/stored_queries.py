@@ -14,8 +14,9 @@ from netcap.plans.queries import LOOKUP_KEY, present
 from netcap.session import work_dir
 from netcap.sources import tables
 from netcap.sources.adapters import events_frame_to_capital, events_from_events, read_table
+from netcap.streaming.changelog_stream import changelog_stream
 from netcap.streaming.position_stream import (
-    file_event_stream, run_to_completion, start_position_stream,
+    file_event_stream, run_to_completion, start_position_stream, use_rocksdb,
 )
 
 STREAM_TIMEOUT_S = 3600
@@ -90,7 +91,22 @@ def q_stored_official_position(spark, sf_dir):
     return present(official_position(tables.read_snapshots(spark, root)))
 
 
+def q_changelog_stream(spark, sf_dir):
+    """Per-event changelog from the keyed-state stream, written as append
+    files and read back; equal to the batch changelog when each key's
+    events arrive in time order."""
+    use_rocksdb(spark)
+    root = work_dir(spark, "changelog_stream")
+    out = f"{root}/changelog"
+    q = (changelog_stream(_event_stream(spark, sf_dir)).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", f"{root}/_checkpoint")
+         .outputMode("append").trigger(availableNow=True).start())
+    run_to_completion(q, STREAM_TIMEOUT_S)
+    return present(spark.read.parquet(out))
+
+
 STORED_QUERIES = {
+    "changelog_stream": q_changelog_stream,
     "position_stream": q_position_stream,
     "position_stream_partials": q_position_stream_partials,
     "stream_event_log": q_stream_event_log,
