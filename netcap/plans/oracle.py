@@ -22,7 +22,8 @@ EV_E = """ev AS (
     CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS transaction_date,
     CAST(value AS DECIMAL(20,4)) AS amount,
     ts AS ingestion_time,
-    CASE event_id % 4 WHEN 0 THEN 'TZS' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' ELSE 'GBP' END AS currency
+    CASE event_id % 4 WHEN 0 THEN 'TZS' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' WHEN 3 THEN 'GBP' END
+      AS currency
   FROM events)"""
 
 # Adapter S: lineitem x orders x customer -> capital events.

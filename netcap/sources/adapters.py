@@ -45,6 +45,16 @@ def _case(col: Column, mapping: dict, default=None) -> Column:
     return out.otherwise(F.lit(default)) if default is not None else out
 
 
+def _lookup_mod(values: list, n: Column, m: int) -> Column:
+    """values[n % m] (SQL remainder, sign of n), NULL where the remainder
+    has no value, negative ones included. One array lookup evaluates ``n``
+    once (a CASE chain evaluates it once per branch). The array is padded so
+    that ``n % m + m`` always falls inside it."""
+    padded = [None] * (m - 1) + list(values) + [None] * (m - len(values))
+    arr = F.array(*[F.lit(v).cast("string") for v in padded])
+    return F.element_at(arr, (n % m + m).cast("int"))
+
+
 def events_frame_to_capital(df: DataFrame, with_currency: bool = False) -> DataFrame:
     """Adapter E as a narrow projection; works on batch and streaming frames."""
     k = F.get_json_object("props", "$.k").try_cast("int")
@@ -53,7 +63,7 @@ def events_frame_to_capital(df: DataFrame, with_currency: bool = False) -> DataF
         F.col("event_id"),
         _case(F.col("event_type"), EVENT_TYPE_TO_SOURCE, UNKNOWN_SOURCE).alias("source_type"),
         fsp_from_number(F.col("user_id")).alias("fsp_id"),
-        _case(k % 5, dict(enumerate(SECTOR_BY_K_MOD_5))).alias("sector"),
+        _lookup_mod(SECTOR_BY_K_MOD_5, k, 5).alias("sector"),
         reporting_date.alias("reporting_date"),
         F.when(F.col("event_id") % NO_TRANSACTION_DATE_MOD == 0, F.lit(None).cast("date"))
          .otherwise(reporting_date).alias("transaction_date"),
@@ -61,7 +71,7 @@ def events_frame_to_capital(df: DataFrame, with_currency: bool = False) -> DataF
         F.col("ts").alias("ingestion_time"),
     ]
     if with_currency:
-        cols.append(_case(F.col("event_id") % 4, dict(enumerate(CURRENCY_BY_ID_MOD_4)))
+        cols.append(_lookup_mod(CURRENCY_BY_ID_MOD_4, F.col("event_id"), 4)
                     .alias("currency"))
     return df.select(*cols)
 
