@@ -17,6 +17,7 @@ from __future__ import annotations
 from decimal import Decimal
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -47,6 +48,10 @@ OUTPUT_SCHEMA = T.StructType(
 _Q = Decimal("0.0001")
 
 
+def _py_ts(v):
+    return None if v is None or pd.isna(v) else pd.Timestamp(v).to_pydatetime()
+
+
 class PositionChangelogProcessor(StatefulProcessor):
     """Keyed fold emitting the new position after every event."""
 
@@ -55,31 +60,49 @@ class PositionChangelogProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["ingestion_time", "event_id"], kind="mergesort")
+        batch = batch.sort_values(["ingestion_time", "event_id"], kind="mergesort",
+                                  ignore_index=True)
         if self.state.exists():
             st = self.state.get()
-            totals = {s: Decimal(st[i]) for i, s in enumerate(SOURCE_TYPES)}
-            updates = {s: st[4 + i] for i, s in enumerate(SOURCE_TYPES)}
-            computed, count = st[8], int(st[9])
+            start = {s: Decimal(st[i]) for i, s in enumerate(SOURCE_TYPES)}
+            prev_upd = {s: st[4 + i] for i, s in enumerate(SOURCE_TYPES)}
+            prev_computed, prev_count = st[8], int(st[9])
         else:
-            totals = {s: Decimal(0) for s in SOURCE_TYPES}
-            updates = {s: None for s in SOURCE_TYPES}
-            computed, count = None, 0
-        out = []
-        for rec in batch.itertuples(index=False):
-            s, t = rec.source_type, rec.ingestion_time
-            amt = rec.amount if rec.amount is not None and not pd.isna(rec.amount) else Decimal(0)
-            totals[s] = totals[s] + Decimal(amt)
-            updates[s] = t if updates[s] is None or t > updates[s] else updates[s]
-            computed = t if computed is None or t > computed else computed
-            count += 1
-            net = (totals["SHARE"] + totals["RESERVE"] - totals["DIVIDEND"] - totals["DEDUCTION"])
-            out.append((rec.event_id, s, t, key[0], key[1], key[2],
-                        *[totals[x].quantize(_Q) for x in SOURCE_TYPES], net.quantize(_Q),
-                        *[updates[x] for x in SOURCE_TYPES], computed, count))
-        self.state.update((*[str(totals[x]) for x in SOURCE_TYPES],
-                           *[updates[x] for x in SOURCE_TYPES], computed, count))
-        yield pd.DataFrame(out, columns=CHANGELOG_COLUMNS_ORDER)
+            start = {s: Decimal(0) for s in SOURCE_TYPES}
+            prev_upd = {s: None for s in SOURCE_TYPES}
+            prev_computed, prev_count = None, 0
+        src = batch["source_type"].to_numpy()
+        amount = batch["amount"].map(lambda a: Decimal(0) if a is None or pd.isna(a) else a)
+        times = batch["ingestion_time"]
+        out = pd.DataFrame({
+            "event_id": batch["event_id"], "source_type": batch["source_type"],
+            "ingestion_time": times, "fsp_id": key[0], "sector": key[1],
+            "reporting_date": key[2]})
+        # running totals: exact decimal cumulative sums (object arrays)
+        for s in SOURCE_TYPES:
+            part = np.where(src == s, amount.to_numpy(dtype=object), Decimal(0))
+            out[TOTAL_COLUMNS[s]] = np.cumsum(np.concatenate([[start[s]], part]))[1:]
+        out["net_core_capital"] = (out[TOTAL_COLUMNS["SHARE"]] + out[TOTAL_COLUMNS["RESERVE"]]
+                                   - out[TOTAL_COLUMNS["DIVIDEND"]]
+                                   - out[TOTAL_COLUMNS["DEDUCTION"]])
+        for c in [TOTAL_COLUMNS[s] for s in SOURCE_TYPES] + ["net_core_capital"]:
+            out[c] = out[c].map(lambda d: d.quantize(_Q))
+        # running last-update times, continuing from the stored ones
+        for s in SOURCE_TYPES:
+            upd = times.where(src == s).cummax().ffill()
+            if prev_upd[s] is not None:
+                upd = upd.fillna(pd.Timestamp(prev_upd[s])).clip(lower=pd.Timestamp(prev_upd[s]))
+            out[UPDATE_COLUMNS[s]] = upd
+        computed = times.cummax()
+        if prev_computed is not None:
+            computed = computed.clip(lower=pd.Timestamp(prev_computed))
+        out["last_computed_at"] = computed
+        out["event_count"] = np.arange(prev_count + 1, prev_count + len(batch) + 1, dtype="int64")
+        last = out.iloc[-1]
+        self.state.update((*[str(last[TOTAL_COLUMNS[s]]) for s in SOURCE_TYPES],
+                           *[_py_ts(last[UPDATE_COLUMNS[s]]) for s in SOURCE_TYPES],
+                           _py_ts(last["last_computed_at"]), int(last["event_count"])))
+        yield out[CHANGELOG_COLUMNS_ORDER]
 
     def close(self) -> None:
         pass
