@@ -80,8 +80,16 @@ def decode(records: DataFrame) -> DataFrame:
 # --- N4: bad-record routing (message level) ---------------------------------
 
 def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, dead_letter). A message is bad when no candidate is an array:
-    NULL value, malformed or truncated JSON, a root array, or no array."""
+    """(messages, dead_letter). A message is bad when no candidate is an
+    array: NULL value, malformed or truncated JSON, a root array, or no
+    array.
+
+    The first frame is returned unfiltered: ``normalise`` unnests it and a
+    message without items yields no event anyway. A ``Filter`` on
+    ``items`` would be pushed below the parse, with ``from_json`` (and
+    whatever built ``value``) substituted into the predicate, parsing every
+    payload again.
+    """
     no_items = F.col("items").isNull()
     reason = (F.when(F.col("value").isNull(), F.lit("null_value"))
               .when(F.col("payload").isNull() | F.col("payload._corrupt").isNotNull(),
@@ -89,7 +97,7 @@ def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
               .otherwise(F.lit("no_array")))
     bad = decoded.filter(no_items).select(F.col("value").alias("raw"), "topic",
                                           reason.alias("reason"))
-    return decoded.filter(~no_items), bad
+    return decoded, bad
 
 
 # --- N3, N5-N7, N10, N13, N14, N17: normalise ------------------------------
@@ -105,9 +113,12 @@ def normalise(good: DataFrame, missing_fsp: str = "unknown") -> tuple[DataFrame,
     submitted one (``sectorSnaClassification`` for shares, ``sector``
     otherwise); the sector rule is applied by the position fold.
     """
+    # posexplode_outer + a filter on its own output: the inner explode would
+    # make Spark infer ``items IS NOT NULL`` and push it below the parse.
     x = good.select("value", "topic", "partition", "offset", "timestamp", "source_type",
                     F.col("payload.fspInformationId").alias("_fsp"),
-                    F.posexplode("items").alias("item_index", "item"))
+                    F.posexplode_outer("items").alias("item_index", "item"))
+    x = x.filter(F.col("item_index").isNotNull())
     fsp = F.col("_fsp")
     if missing_fsp == "unknown":
         fsp = F.coalesce(fsp, F.lit(UNKNOWN_FSP))
