@@ -90,10 +90,12 @@ def events_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, sector = market segment, reporting date = month end of the
     order date, amount = extended price, ingestion time = ship date.
 
-    The small dimension is joined to orders first; the lineitem-orders join
-    is a shuffle join on the order key that AQE may turn into a broadcast
-    only when the runtime size of a side is under the threshold, and whose
-    skewed partitions AQE splits.
+    The small dimension is joined to orders first (the planner broadcasts
+    customer only under the size threshold). The fact join lineitem-orders
+    is pinned to a sort-merge join on the order key: the fact table grows
+    with the data and must never be a broadcast candidate, even when a small
+    test size makes its estimate look small; AQE splits skewed partitions of
+    this join.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus",
@@ -101,7 +103,7 @@ def events_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     oc = od.join(cu, od.o_custkey == cu.c_custkey, "inner")
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
+    j = li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey, "inner")
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     source_type = (F.when((rf == "N") & (ls == "O"), F.lit(SHARE))
                    .when((rf == "N") & (ls == "F"), F.lit(RESERVE))
