@@ -60,6 +60,15 @@ def read_feed(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
     return r.format(fmt).load(path)
 
 
+def union_feeds(*feeds: DataFrame) -> DataFrame:
+    """Concatenate per-feed record frames (no dedup), for sources read one
+    topic at a time; a single ``subscribe`` of all four topics needs none."""
+    out = feeds[0]
+    for f in feeds[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 # --- N1 / N2: decode --------------------------------------------------------
 
 def decode(records: DataFrame) -> DataFrame:

@@ -118,3 +118,13 @@ def test_same_payload_twice_counts_twice(spark):
     events, _ = decode_feed(recs)
     r = capital_position(events).collect()[0]
     assert r.event_count == 2 and r.share_capital_total == Decimal("4.0000")
+
+
+def test_union_of_feeds_keeps_every_record(spark):
+    from netcap.sources.feeds import union_feeds
+    item = {"reportingDate": "2024-01-15", "tzsAmount": 1, "sector": "B"}
+    share = records_df(spark, [(_msg([dict(item, sectorSnaClassification="B")]), SHARE_T, 0, T0)])
+    res = records_df(spark, [(_msg([item], array="otherCapitalAccountData"), RES_T, 0, T0)] * 2)
+    events, dead = decode_feed(union_feeds(share, res))
+    assert sorted(e.source_type for e in events.collect()) == ["RESERVE", "RESERVE", "SHARE"]
+    assert dead.count() == 0
