@@ -84,3 +84,4 @@ def local_fs_path(path: str) -> str:
 def makedirs_if_local(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+

@@ -14,6 +14,7 @@ splits hot keys.
 
 from __future__ import annotations
 
+import sys
 from decimal import Decimal
 from typing import Iterator
 
@@ -21,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from netcap.operators.changelog import CHANGELOG_COLUMNS
@@ -110,6 +112,10 @@ class PositionChangelogProcessor(StatefulProcessor):
 
 CHANGELOG_COLUMNS_ORDER = [f.name for f in OUTPUT_SCHEMA.fields]
 
+# The processor is shipped to Python workers by value (with the constants
+# it uses), so workers need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def changelog_stream(events: DataFrame, sector_mode: str = "submitted") -> DataFrame:
     """Streaming frame of changelog rows (append mode). Needs the RocksDB
