@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from netcap.session import work_dir
 from netcap.sources.adapters import read_table
 
-__all__ = ["hex_long", "hex_unit", "json_string", "read_table", "text_or_empty", "written"]
+__all__ = ["fresh", "hex_long", "hex_unit", "json_string", "read_table", "text_or_empty", "with_fields", "written"]
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -38,3 +39,15 @@ def json_string(c: Column) -> Column:
     """A string as a JSON value; null as ``null``."""
     listed = F.to_json(F.array(c), {"ignoreNullFields": "false"})
     return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
+def fresh(taken: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = "_" + name
+    return name
+
+
+def with_fields(df: DataFrame, **kinds: object) -> StructType:
+    """The schema of ``df`` and more fields."""
+    return StructType([*df.schema.fields, *(StructField(n, k) for n, k in kinds.items())])
