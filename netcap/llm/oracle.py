@@ -144,9 +144,48 @@ select conv_id, call_id, turn, result_turn, lvl::bigint as "level", status, erro
   || ',"status":"' || status || '"}' as line from h"""
 
 
+def _topk() -> str:
+    return """
+with e as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) v from embeddings
+           where vec_id is not null and embedding is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1),
+        lambda i: q.v[i] * c.v[i]))::bigint score
+      from e q join e c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 20"""
+
+
+def _line_dedup(min_words: int = 10) -> str:
+    blank = "[\\x20\\x09-\\x0D]"
+    return f"""
+with d as (select doc_id, coalesce(text, '') tx from documents),
+l as (select doc_id, tx, unnest(range(len(string_split(tx, chr(10))))) k,
+        unnest(string_split(tx, chr(10))) raw from d where tx <> ''),
+s as (select doc_id, tx, k, regexp_replace(raw, '^{blank}+|{blank}+$', '', 'g') line, raw from l),
+w as (select *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) words from s),
+f as (select *, sum(words) over (partition by doc_id, tx order by k) upto from w where words > 0),
+e as (select a.doc_id, a.tx, a.k, min(b.k) last from f a join f b on b.doc_id = a.doc_id and b.tx = a.tx
+        and b.k >= a.k and b.upto - a.upto + a.words >= {min_words} group by 1, 2, 3),
+win as (select e.doc_id, e.tx, e.k, e.last, string_agg(f.line, chr(10) order by f.k) body
+        from e join f on f.doc_id = e.doc_id and f.tx = e.tx and f.k between e.k and e.last group by 1, 2, 3, 4),
+late as (select * from (select *, row_number() over (partition by body order by doc_id, k) n from win)
+         where n > 1),
+gone as (select distinct w.doc_id, w.tx, w.k from w join late t on t.doc_id = w.doc_id and t.tx = w.tx
+         and w.k between t.k and t.last),
+kept as (select w.doc_id, w.tx, count(*) n_lines, count(g.k) n_deleted,
+           coalesce(string_agg(raw, chr(10) order by w.k) filter (where g.k is null), '') body
+         from w left join gone g on g.doc_id = w.doc_id and g.tx = w.tx and g.k = w.k group by 1, 2)
+select d.doc_id, coalesce(n_lines, 0)::int n_lines, coalesce(n_deleted, 0)::int n_deleted,
+  length(coalesce(body, ''))::int kept_chars, md5(coalesce(body, '')) kept_md5
+from d left join kept k on k.doc_id = d.doc_id and k.tx = d.tx"""
+
+
 ORACLE_SQL = {
+    "op1_exact_topk": _topk(),
     "op2_warc_revisits": _warc(),
     "op3_poisson_mix": _mixing(),
+    "op4_line_dedup": _line_dedup(),
     "op9_url_templates": _url_templates(),
     "op10_tool_calls": _tool_calls(),
 }
