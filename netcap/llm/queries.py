@@ -5,10 +5,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netcap.llm import chat_tools, mixing, url_filter, warc_revisit
+from netcap.llm import (
+    chat_tools, fingerprint, langid, line_dedup, mixing, packing, topk_search, url_filter,
+    warc_revisit,
+)
 from netcap.llm.common import read_table
 
 
+def q_topk(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings").filter(topk_search.usable(F.col("embedding")))
+    vectors = e.select("vec_id", topk_search.quantised(F.col("embedding")).alias("vec"))
+    return topk_search.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def q_warc(spark, sf_dir):
     records = warc_revisit.crawl_records(read_table(spark, sf_dir, "pages"))
     return warc_revisit.resolve_revisits(records).withColumn(
@@ -19,6 +28,22 @@ def q_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def q_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup_report(read_table(spark, sf_dir, "documents"))
+
+
+def q_packing(spark, sf_dir):
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def q_fingerprint(spark, sf_dir):
+    return fingerprint.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
+def q_langid(spark, sf_dir):
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def q_url_filter(spark, sf_dir):
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
 
@@ -29,8 +54,13 @@ def q_chat_tools(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_exact_topk": q_topk,
     "op2_warc_revisits": q_warc,
     "op3_poisson_mix": q_mixing,
+    "op4_line_dedup": q_line_dedup,
+    "op5_config_packing": q_packing,
+    "op6_iblt_fingerprints": q_fingerprint,
+    "op8_hd_language": q_langid,
     "op9_url_templates": q_url_filter,
     "op10_tool_calls": q_chat_tools,
 }
