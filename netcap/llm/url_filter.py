@@ -27,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from netcap.llm.common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -97,7 +99,7 @@ def template_tree(paths: DataFrame, max_children: int = MAX_CHILDREN,
                   depth: int = DEPTH) -> DataFrame:
     """``paths``: host, lex, segs, n, labelled, bad, one row per (host, lex).
     Adds ``template``, built one level of the tree at a time."""
-    tree = paths.withColumn("template", F.lit(""))
+    tree = written(paths.sparkSession, paths.withColumn("template", F.lit("")), "op9-tree")
     for i in range(depth):
         seg = F.get(F.col("segs"), F.lit(i))
         tree = tree.withColumn("seg", seg)
@@ -121,6 +123,8 @@ def template_tree(paths: DataFrame, max_children: int = MAX_CHILDREN,
                 .withColumn("template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
                     F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*")))))
                 .drop("seg", "name"))
+        # A level uses the tree four times: written, it is planned and computed once.
+        tree = written(paths.sparkSession, tree, "op9-tree")
     return tree.withColumn("template", F.concat(
         "template", F.when(F.col("lex").endswith("/**"), "/**").otherwise("")))
 
