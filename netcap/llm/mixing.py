@@ -77,14 +77,15 @@ def _copies(docs: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
              .withColumnRenamed("source", "rate_source"))
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
 
-    def draw(j):
-        u = hex_unit(F.md5(F.concat_ws(":", F.lit(str(seed)), id_text, j.cast("string"))))
-        return F.size(F.filter("cdf", lambda c: c <= u))
+    def uniform(j):
+        return hex_unit(F.md5(F.concat_ws(":", F.lit(str(seed)), id_text, j.cast("string"))))
 
     joined = docs.join(rates, F.col("source").eqNullSafe(F.col("rate_source")))
+    # Uniforms first: inside the inner function they would be hashed per table entry.
+    uniforms = F.transform(F.sequence(F.lit(1).cast("long"), F.col("parts")), uniform)
     drawn = joined.withColumn("copies", F.aggregate(
-        F.transform(F.sequence(F.lit(1).cast("long"), F.col("parts")), draw),
-        F.lit(0), lambda a, b: a + b)).drop("cdf", "parts", "rate_source", "n")
+        uniforms, F.lit(0), lambda a, u: a + F.size(F.filter("cdf", lambda c: c <= u)))).drop(
+            "cdf", "parts", "rate_source", "n")
     key = hex_long(F.md5(F.concat_ws(":", F.lit(f"{seed}s"), id_text, F.col("copy").cast("string"))),
                    HASH_BITS // 4)
     return (drawn.filter(F.col("copies") > 0)
