@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+import netcap
 from netcap.session import work_dir
 from netcap.sources.adapters import read_table
 
-__all__ = ["fresh", "hex_long", "hex_unit", "json_string", "read_table", "text_or_empty", "with_fields", "written"]
+__all__ = ["for_workers", "fresh", "hex_long", "hex_unit", "json_string", "read_table",
+           "text_or_empty", "with_fields", "written"]
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -51,3 +58,19 @@ def fresh(taken: list[str], name: str) -> str:
 def with_fields(df: DataFrame, **kinds: object) -> StructType:
     """The schema of ``df`` and more fields."""
     return StructType([*df.schema.fields, *(StructField(n, k) for n, k in kinds.items())])
+
+
+def for_workers(query: Callable) -> Callable:
+    """A query whose Python workers find this package where the driver has it
+    (one machine or a shared path); elsewhere it comes with ``--py-files``."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args):
+        root = str(Path(netcap.__file__).resolve().parent.parent)
+        env = spark.sparkContext.environment
+        paths = env.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+        return query(spark, *args)
+
+    return run

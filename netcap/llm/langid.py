@@ -116,8 +116,8 @@ def bundles(of: np.ndarray, at: np.ndarray, n: int, vectors: np.ndarray) -> np.n
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parts of batches with about ``BATCH_CHARS`` bytes of text in each."""
     for b in batches:
-        size = np.asarray(pc.binary_length(b.column("text")).to_numpy(
-            zero_copy_only=False)).cumsum()
+        size = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(
+            zero_copy_only=False).cumsum()
         part = size // BATCH_CHARS
         for lo, hi in zip(*(lambda e: (e[:-1], e[1:]))(np.concatenate(
                 [[0], np.flatnonzero(np.diff(part)) + 1, [len(size)]])), strict=True):
@@ -167,22 +167,23 @@ def classify(texts: list[str], names: list[str], prototypes: np.ndarray) -> tupl
             np.where(none, 0.0, score))
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to ``docs`` (with a column ``text``, never null)."""
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], lang: str = "lang_pred",
+            score: str = "score") -> DataFrame:
+    """Adds language and score of the column ``text`` to ``docs``."""
     names = sorted(prototypes)
     rows = np.array([prototypes[n] / max(np.sqrt((prototypes[n] ** 2).sum()), 1e-30)
                      for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _pieces(batches):
-            texts = b.column("text").to_pylist()
-            lang, score = (classify(texts, names, rows) if names
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            found, near = (classify(texts, names, rows) if names
                            else ([UNDETERMINED] * len(texts), np.zeros(len(texts))))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(lang, pa.string()), pa.array(score)],
-                [*b.schema.names, "lang_pred", "score"])
+                [*b.columns, pa.array(found, pa.string()), pa.array(near)],
+                [*b.schema.names, lang, score])
 
-    return docs.mapInArrow(run, with_fields(docs, lang_pred=StringType(), score=DoubleType()))
+    return docs.mapInArrow(run, with_fields(docs, **{lang: StringType(), score: DoubleType()}))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

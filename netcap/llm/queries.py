@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from netcap.llm import (
-    chat_tools, fingerprint, langid, line_dedup, mixing, packing, topk_search, url_filter,
-    warc_revisit,
+    chat_tools, fingerprint, langid, line_dedup, mixing, ngram_join, packing, topk_search,
+    url_filter, warc_revisit,
 )
-from netcap.llm.common import read_table
+from netcap.llm.common import for_workers, read_table
 
 
 def q_topk(spark, sf_dir):
@@ -40,6 +40,10 @@ def q_fingerprint(spark, sf_dir):
     return fingerprint.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def q_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_join(read_table(spark, sf_dir, "documents"))
+
+
 def q_langid(spark, sf_dir):
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -53,14 +57,15 @@ def q_chat_tools(spark, sf_dir):
         *chat_tools.tool_traffic(read_table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {
+QUERIES = {name: for_workers(query) for name, query in {
     "op1_exact_topk": q_topk,
     "op2_warc_revisits": q_warc,
     "op3_poisson_mix": q_mixing,
     "op4_line_dedup": q_line_dedup,
     "op5_config_packing": q_packing,
     "op6_iblt_fingerprints": q_fingerprint,
+    "op7_ngram_join": q_ngram_join,
     "op8_hd_language": q_langid,
     "op9_url_templates": q_url_filter,
     "op10_tool_calls": q_chat_tools,
-}
+}.items()}
