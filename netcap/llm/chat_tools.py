@@ -19,8 +19,8 @@ Canonical JSON: keys in order, no white space, numbers in shortest form.
 
 Defined results: a repeated call_id in a conversation: the first (turn, name,
 arguments, parent) is the call, the others are dropped as repeats and counted
-in ``repeats``; the same for results. Null call_id: a call without result, or a
-stray result, never joined. A parent that doesn't exist counts as none
+in ``repeats``; the same for results. Null conv_id or call_id: a call without
+result, or a stray result, never joined. A parent that doesn't exist counts as none
 (``missing_parent``). Invalid JSON or arguments that break the schema: the
 line keeps the text as a string and lists the errors. Extra columns are
 ignored; empty frames give an empty frame.
@@ -107,16 +107,16 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: dict = TOOLS) -
     fields = ["turn", "name", "arguments", "parent_id"]
     calls = calls.select("conv_id", "call_id", *fields)
     results = results.select("conv_id", "call_id", "turn", "content")
-    no_id = calls.filter(F.col("call_id").isNull()).select(
-        "conv_id", "call_id", *fields, F.lit(0).cast("long").alias("repeats"))
-    ids = _first_of(calls.filter(F.col("call_id").isNotNull()), fields)
+    whole = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    no_id = calls.filter(~whole).withColumn("repeats", F.lit(0).cast("long"))
+    ids = _first_of(calls.filter(whole), fields)
     levels = topological_levels(spark, ids)
     ordered = (ids.join(levels, ["conv_id", "call_id"])
                .unionByName(no_id.withColumns({"missing_parent": F.lit(False),
                                                "level": F.lit(0).cast("long")}))
                .withColumn("is_call", F.lit(True)))
-    answers = (_first_of(results.filter(F.col("call_id").isNotNull()), ["turn", "content"])
-               .unionByName(results.filter(F.col("call_id").isNull())
+    answers = (_first_of(results.filter(whole), ["turn", "content"])
+               .unionByName(results.filter(~whole)
                             .withColumn("repeats", F.lit(0).cast("long")))
                .withColumnsRenamed({"turn": "result_turn", "repeats": "result_repeats"})
                .withColumn("is_result", F.lit(True)))
