@@ -43,6 +43,8 @@ CELLS = 48          # of the first sketch; a multiple of three
 GROWTH = 4          # of each retry
 WORDS = 4           # of a paragraph's runs, at most
 BATCH_CHARS = 4_000_000
+ROWS_PER_RANGE = 4096
+MAX_RANGES = 100_000
 
 RUN = re.compile(r"[^\s]+(?:[^\S\n]+[^\s]+){0,%d}" % (WORDS - 1))
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
@@ -196,14 +198,14 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chars += len(text)
 
 
-def fingerprint_edits(docs: DataFrame, rows_per_range: int = 4096) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     text_or_empty(F.col("text")).alias("text"))
     ids = d.select("doc_id")
     n = ids.count()
-    ranges = max(1, -(-n // rows_per_range))
+    ranges = min(MAX_RANGES, max(1, -(-n // rows_per_range)))
     # One number per range goes to the driver; the ranges needn't be even.
     bounds = sorted(set(ids.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.002)
                         )) if ranges > 1 else []
@@ -219,7 +221,8 @@ def fingerprint_edits(docs: DataFrame, rows_per_range: int = 4096) -> DataFrame:
     before = [heads[i - 1][0] for i in range(len(heads))]  # the first one ends the last
     ends = spark.createDataFrame(
         [(doc, of) for (_, doc), of in zip(heads, before, strict=True)], "doc_id long, of int")
-    ends = (d.join(ends.withColumnRenamed("doc_id", "head"),
+    # At most MAX_RANGES pairs of numbers; a join by shuffle would move all texts once more.
+    ends = (d.join(F.broadcast(ends.withColumnRenamed("doc_id", "head")),
                    F.col("doc_id").eqNullSafe(F.col("head")))
             .groupBy("of").agg(F.max("text").alias("text"))
             .select(F.lit(None).cast("long").alias("doc_id"), "text",
