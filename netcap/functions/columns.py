@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netcap.schemas import GENERAL_SECTOR, MONEY, SHARE
+from netcap.schemas import ADDEND, GENERAL_SECTOR, MONEY, SHARE
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -21,14 +21,15 @@ def money(c) -> Column:
 
 
 def as_timestamp_ntz(c) -> Column:
-    """A TIMESTAMP (Kafka) or TIMESTAMP_NTZ column as UTC wall-clock NTZ.
-
-    The session zone is UTC in netcap sessions, so the cast keeps the
-    instant's UTC reading.
-    """
+    """A column that holds UTC wall-clock time as TIMESTAMP_NTZ."""
     return _col(c).cast(T.TimestampNTZType())
 
 
+def utc_wall_clock(c) -> Column:
+    """The UTC reading of a TIMESTAMP (an instant), whatever the session's zone."""
+    return F.convert_timezone(None, F.lit("UTC"), _col(c).cast(T.TimestampNTZType()))
+
+
 def epoch_millis(c) -> Column:
     """Milliseconds since the epoch of a TIMESTAMP_NTZ, sub-ms truncated.
 
@@ -41,10 +42,10 @@ def epoch_millis(c) -> Column:
 
 def component_amount(source_col, source_type: str, amount_col) -> Column:
     """Spread one amount to a per-component measure: the amount for its own
-    source type, exact zero otherwise."""
-    zero = F.lit(0).cast(MONEY)
+    source type, exact zero otherwise; wide enough that its sums can't overflow."""
+    zero = F.lit(0).cast(ADDEND)
     return F.when(_col(source_col) == F.lit(source_type),
-                  F.coalesce(_col(amount_col), zero)).otherwise(zero)
+                  F.coalesce(_col(amount_col).cast(ADDEND), zero)).otherwise(zero)
 
 
 def sector_for_rule(source_col, sector_col, mode: str = "submitted") -> Column:
@@ -65,9 +66,10 @@ def sector_for_rule(source_col, sector_col, mode: str = "submitted") -> Column:
 
 
 def composite_key(fsp="fsp_id", sector="sector", date="reporting_date") -> Column:
-    """Message key ``fsp:sector:date``. Only a message key: grouping always
-    uses the three columns, so values holding ':' stay distinct."""
-    return F.concat_ws(":", _col(fsp), _col(sector), F.date_format(_col(date), "yyyy-MM-dd"))
+    """Message key ``fsp:sector:date``, a missing part empty. Only a message key:
+    grouping always uses the three columns, so values holding ':' stay distinct."""
+    parts = [_col(fsp), _col(sector), F.date_format(_col(date), "yyyy-MM-dd")]
+    return F.concat_ws(":", *[F.coalesce(p, F.lit("")) for p in parts])
 
 
 def age_millis(as_of, last_update) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from netcap.functions.columns import component_amount, sector_for_rule
 from netcap.schemas import (
-    KEY, MONEY, SHARE, SOURCE_TYPES, STATE_COLUMNS, TOTAL_COLUMNS, UPDATE_COLUMNS,
+    KEY, SHARE, SOURCE_TYPES, STATE_COLUMNS, TOTAL, TOTAL_COLUMNS, UPDATE_COLUMNS,
 )
 
 
@@ -29,7 +29,7 @@ def prepare_events(events: DataFrame, sector_mode: str = "submitted") -> DataFra
 
 def position_aggregates() -> list:
     """The fold's aggregate expressions, shared by batch, stream and partials."""
-    aggs = [F.sum(component_amount("source_type", s, "amount")).cast(MONEY).alias(TOTAL_COLUMNS[s])
+    aggs = [F.sum(component_amount("source_type", s, "amount")).alias(TOTAL_COLUMNS[s])
             for s in SOURCE_TYPES]
     aggs += [F.max(F.when(F.col("source_type") == s, F.col("ingestion_time"))).alias(UPDATE_COLUMNS[s])
              for s in SOURCE_TYPES]
@@ -41,7 +41,7 @@ def position_aggregates() -> list:
 def net_core_capital() -> F.Column:
     """share + reserves - dividends - deductions, exact."""
     return (F.col("share_capital_total") + F.col("reserves_total")
-            - F.col("dividends_payable_total") - F.col("deductions_total")).cast(MONEY)
+            - F.col("dividends_payable_total") - F.col("deductions_total")).cast(TOTAL)
 
 
 def capital_position(events: DataFrame, sector_mode: str = "submitted") -> DataFrame:
@@ -61,6 +61,6 @@ def feed_totals(events: DataFrame, source_type: str = SHARE) -> DataFrame:
     total = TOTAL_COLUMNS[source_type]
     return (events.filter(F.col("source_type") == source_type)
             .groupBy(*KEY)
-            .agg(F.sum(F.coalesce("amount", F.lit(0).cast(MONEY))).cast(MONEY).alias(total),
+            .agg(F.sum(component_amount("source_type", source_type, "amount")).alias(total),
                  F.max("ingestion_time").alias("last_computed_at"),
                  F.count(F.lit(1)).alias("event_count")))

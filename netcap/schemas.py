@@ -32,8 +32,6 @@ UNKNOWN_FSP = "UNKNOWN"
 # Freshness limits in minutes: share 5, reserves 15, dividends 5,
 # deductions 15. Age strictly below the limit is fresh.
 DEFAULT_FRESHNESS_MINUTES = {SHARE: 5, RESERVE: 15, DIVIDEND: 5, DEDUCTION: 15}
-# Freshness statuses.
-LIVE, PARTIAL, DELAYED = "LIVE", "PARTIAL", "DELAYED"
 # --- end of fixed values ---
 
 # Measure column, last-update column and report label per source type.
@@ -54,11 +52,12 @@ COMPONENTS = {SHARE: "share", RESERVE: "reserves", DIVIDEND: "dividend", DEDUCTI
 
 KEY = ["fsp_id", "sector", "reporting_date"]
 
-# Money: parsed wide and exact, stored per event and per total as
-# NUMERIC(20,4) like the relational schema.
-PARSE_DECIMAL = T.DecimalType(38, 6)
+# Money: one event's amount is NUMERIC(20,4) like the relational schema. Totals
+# have 34 digits before the point, so no sum of fed amounts can overflow (10^18
+# of the largest ones would have to meet in one key).
 MONEY = T.DecimalType(20, 4)
-MONEY_SQL = "decimal(20,4)"
+ADDEND = T.DecimalType(28, 4)
+TOTAL = T.DecimalType(38, 4)
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -78,32 +77,6 @@ STATE_COLUMNS = [
     "last_share_update", "last_reserves_update", "last_dividends_update", "last_deductions_update",
     "last_computed_at", "event_count",
 ]
-MONEY_COLUMNS = [
-    "share_capital_total", "reserves_total", "dividends_payable_total", "deductions_total",
-    "net_core_capital",
-]
-
-# One item struct shared by the four arrays: the union of the fields the
-# library reads. Amounts are DECIMAL(38,6) so quoted numbers parse, digits
-# past double precision are kept, and junk becomes NULL without nulling
-# sibling fields.
-ITEM_SCHEMA = T.StructType([
-    T.StructField("reportingDate", T.StringType()),
-    T.StructField("transactionDate", T.StringType()),
-    T.StructField("tzsAmount", PARSE_DECIMAL),
-    T.StructField("orgAmount", PARSE_DECIMAL),
-    T.StructField("currency", T.StringType()),
-    T.StructField("sectorSnaClassification", T.StringType()),
-    T.StructField("sector", T.StringType()),
-])
-
-PAYLOAD_SCHEMA = T.StructType(
-    [T.StructField("fspInformationId", T.StringType()),
-     T.StructField("sender", T.StringType()),
-     T.StructField("signature", T.StringType())]
-    + [T.StructField(name, T.ArrayType(ITEM_SCHEMA)) for name in ARRAY_FIELD_ORDER]
-    + [T.StructField("_corrupt", T.StringType())]
-)
 
 # Shape of a Kafka record as the Kafka source exposes it; the file twin
 # used without a broker stores the same columns with ``value`` as text.
@@ -119,9 +92,3 @@ RECORD_SCHEMA = T.StructType([
         T.StructField("value", T.BinaryType()),
     ]))),
 ])
-
-DEAD_LETTER_SCHEMA = T.StructType([
-    T.StructField("raw", T.StringType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("reason", T.StringType()),
-])

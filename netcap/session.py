@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -49,13 +49,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return ``spark.checkpoint.dir``; set a local one only if it is unset.
 
     On a cluster the operator sets ``spark.checkpoint.dir`` to a shared
-    folder (HDFS, S3, ...); it is never replaced here. Only a session
-    without it (local tests) gets a folder under the system temp dir.
+    folder (HDFS, S3, ...); it is never replaced here, and a cluster session
+    without it is refused: its executors couldn't see the driver's disk. A
+    local session (tests) without it gets a folder under the system temp dir.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="netcap-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -71,17 +74,3 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/netcap/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
-

@@ -71,8 +71,7 @@ def events_frame_to_capital(df: DataFrame, with_currency: bool = False) -> DataF
         F.col("ts").alias("ingestion_time"),
     ]
     if with_currency:
-        cols.append(_lookup_mod(CURRENCY_BY_ID_MOD_4, F.col("event_id"), 4)
-                    .alias("currency"))
+        cols.append(_lookup_mod(CURRENCY_BY_ID_MOD_4, F.col("event_id"), 4).alias("currency"))
     return df.select(*cols)
 
 

@@ -3,7 +3,7 @@
 ``read_feed`` reads the four topics (Kafka, or the file twin with the same
 columns); ``decode`` parses the JSON payload; ``normalise`` unnests items
 into capital events and routes bad records to a dead-letter frame instead
-of failing. All of it is narrow, per-record work on the JVM (``from_json``,
+of failing. All of it is narrow, per-record work on the JVM (variants,
 ``posexplode``), usable on batch and streaming frames alike.
 """
 
@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netcap.functions.columns import as_timestamp_ntz, money
+from netcap.functions.columns import money, utc_wall_clock
 from netcap.schemas import (
-    ARRAY_FIELD_ORDER, PAYLOAD_SCHEMA, RECORD_SCHEMA, SHARE, TOPICS, UNKNOWN_FSP,
+    ARRAY_FIELD_ORDER, RECORD_SCHEMA, SHARE, TOPICS, UNKNOWN_FSP,
 )
 
 TOPIC_TO_SOURCE = {t: s for s, t in TOPICS.items()}
@@ -26,13 +26,13 @@ def kafka_options(bootstrap_servers: str, topics=None, starting_offsets: str = "
                   **extra) -> dict:
     """Options of the Kafka source for the four feeds. The consumer group
     of the reference becomes the query checkpoint; ``earliest`` rebuilds
-    from the start when there is no checkpoint yet."""
+    from the start when there is no checkpoint yet. Offsets that expired unread fail
+    the query (Spark's default): a position without them would be wrong for ever."""
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": ",".join(topics or TOPICS.values()),
         "startingOffsets": starting_offsets,
         "includeHeaders": "true",
-        "failOnDataLoss": "false",
     }
     opts.update(extra)
     return opts
@@ -53,7 +53,7 @@ def read_feed(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
         return df.select(
             F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
             "topic", "partition", "offset",
-            as_timestamp_ntz("timestamp").alias("timestamp"), "headers")
+            utc_wall_clock("timestamp").alias("timestamp"), "headers")
     if path is None:
         raise ValueError("path is required for file feeds")
     r = reader.schema(RECORD_SCHEMA).options(**(options or {}))
@@ -73,12 +73,12 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
 
 def decode(records: DataFrame) -> DataFrame:
     """Parse ``value``; ``items`` = the first candidate array that is an
-    array (an empty array counts), whatever the topic. Non-JSON text keeps
-    all payload fields NULL and sets ``payload._corrupt``."""
-    p = F.from_json("value", PAYLOAD_SCHEMA,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    out = records.withColumn("payload", p)
-    items = F.coalesce(*[F.col(f"payload.{a}") for a in ARRAY_FIELD_ORDER])
+    array (an empty array counts), whatever the topic. Text that is no JSON
+    leaves ``payload`` NULL. Payload and items are variants: an item is read on
+    its own, whatever its neighbours are, and numbers keep all their digits."""
+    out = records.withColumn("payload", F.try_parse_json("value"))
+    items = F.coalesce(*[F.try_variant_get("payload", f"$.{a}", "array<variant>")
+                         for a in ARRAY_FIELD_ORDER])
     source = None
     for t, s in TOPIC_TO_SOURCE.items():
         source = (F.when(F.col("topic") == t, F.lit(s)) if source is None
@@ -89,73 +89,95 @@ def decode(records: DataFrame) -> DataFrame:
 # --- N4: bad-record routing (message level) ---------------------------------
 
 def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(messages, dead_letter). A message is bad when no candidate is an
-    array: NULL value, malformed or truncated JSON, a root array, or no
-    array.
+    """(messages, dead_letter). A message is bad when its topic is none of the
+    four feeds', or when no candidate is an array: NULL value, malformed or
+    truncated JSON, a root array, or no array.
 
-    The first frame is returned unfiltered: ``normalise`` unnests it and a
-    message without items yields no event anyway. A ``Filter`` on
-    ``items`` would be pushed below the parse, with ``from_json`` (and
+    The first frame is returned unfiltered: ``normalise`` unnests it, and a
+    message without items or of another topic yields no event anyway. A ``Filter`` on
+    ``items`` would be pushed below the parse, with ``try_parse_json`` (and
     whatever built ``value``) substituted into the predicate, parsing every
     payload again.
     """
     no_items = F.col("items").isNull()
-    reason = (F.when(F.col("value").isNull(), F.lit("null_value"))
-              .when(F.col("payload").isNull() | F.col("payload._corrupt").isNotNull(),
-                    F.lit("malformed"))
+    strange = F.col("source_type").isNull()
+    reason = (F.when(strange, F.lit("unknown_topic"))
+              .when(F.col("value").isNull(), F.lit("null_value"))
+              .when(F.col("payload").isNull(), F.lit("malformed"))
               .otherwise(F.lit("no_array")))
-    bad = decoded.filter(no_items).select(F.col("value").alias("raw"), "topic",
+    bad = decoded.filter(no_items | strange).select(F.col("value").alias("raw"), "topic",
                                           reason.alias("reason"))
     return decoded, bad
 
 
 # --- N3, N5-N7, N10, N13, N14, N17: normalise ------------------------------
 
+def _number(text):
+    """A JSON amount's text as a decimal with six places; junk and NULL are NULL."""
+    return text.try_cast("decimal(38,6)")
+
+
+def _too_large(text):
+    """A number, but one that no decimal of 38 digits holds."""
+    wide = text.try_cast("double")
+    return wide.isNotNull() & ~F.isnan(wide) & _number(text).isNull()
+
+
 def normalise(good: DataFrame, missing_fsp: str = "unknown") -> tuple[DataFrame, DataFrame]:
     """Unnest items into capital events; (events, dead_letter).
 
-    One row per item (an empty array gives none). FSP missing ->
+    One row per item (an empty array gives none), each item parsed on its own; one
+    that is no object -> dead letter ``bad_item``, its neighbours stay. FSP missing ->
     ``UNKNOWN`` (or the row is dropped with ``missing_fsp="drop"``);
     transaction date missing -> reporting date; amount missing or junk ->
-    0, too large for DECIMAL(20,4) -> dead letter ``amount_overflow``;
+    0, a number too large for DECIMAL(20,4) -> dead letter ``amount_overflow``;
     reporting date not a date -> dead letter ``bad_date``. ``sector`` is the
     submitted one (``sectorSnaClassification`` for shares, ``sector``
-    otherwise); the sector rule is applied by the position fold.
+    otherwise); the sector rule is applied by the position fold. ``org_amount`` and
+    ``currency`` are the original ones, if sent.
+
+    (topic, partition, offset, item_index) identify an event; ``event_id`` is
+    their hash. ``raw_payload`` is the item's own JSON, not the message's.
     """
     # posexplode_outer + a filter on its own output: the inner explode would
     # make Spark infer ``items IS NOT NULL`` and push it below the parse.
-    x = good.select("value", "topic", "partition", "offset", "timestamp", "source_type",
-                    F.col("payload.fspInformationId").alias("_fsp"),
+    x = good.select("topic", "partition", "offset", "timestamp", "source_type",
+                    F.try_variant_get("payload", "$.fspInformationId", "string").alias("_fsp"),
                     F.posexplode_outer("items").alias("item_index", "item"))
-    x = x.filter(F.col("item_index").isNotNull())
+    x = x.filter(F.col("item_index").isNotNull() & F.col("source_type").isNotNull())
+    field = lambda name: F.try_variant_get("item", f"$.{name}", "string")
     fsp = F.col("_fsp")
     if missing_fsp == "unknown":
         fsp = F.coalesce(fsp, F.lit(UNKNOWN_FSP))
     elif missing_fsp != "drop":
         raise ValueError("missing_fsp must be 'unknown' or 'drop'")
-    reporting = F.col("item.reportingDate").try_cast("date")
-    amount = money(F.coalesce(F.col("item.tzsAmount"), F.lit(0)))
-    sector = F.when(F.col("source_type") == SHARE, F.col("item.sectorSnaClassification")) \
-        .otherwise(F.col("item.sector"))
+    reporting = field("reportingDate").try_cast("date")
+    sent = field("tzsAmount")
+    amount = F.when(_too_large(sent), F.lit(None)).otherwise(
+        money(F.coalesce(_number(sent), F.lit(0).cast("decimal(38,6)"))))
+    sector = F.when(F.col("source_type") == SHARE, field("sectorSnaClassification")) \
+        .otherwise(field("sector"))
     ev = x.select(
-        F.xxhash64("topic", "partition", "offset", "timestamp", "value", "item_index")
-        .alias("event_id"),
+        F.xxhash64("topic", "partition", "offset", "item_index").alias("event_id"),
         "source_type", fsp.alias("fsp_id"), sector.alias("sector"),
         reporting.alias("reporting_date"),
-        F.coalesce(F.col("item.transactionDate").try_cast("date"), reporting)
+        F.coalesce(field("transactionDate").try_cast("date"), reporting)
         .alias("transaction_date"),
         amount.alias("amount"),
         F.col("timestamp").alias("ingestion_time"),
-        F.col("item.currency").alias("currency"),
-        F.col("value").alias("raw_payload"), "topic", "partition", "offset", "item_index")
+        money(_number(field("orgAmount"))).alias("org_amount"),
+        field("currency").alias("currency"),
+        F.to_json("item").alias("raw_payload"), "topic", "partition", "offset", "item_index",
+        (~F.coalesce(F.schema_of_variant("item"), F.lit("")).startswith("OBJECT"))
+        .alias("_no_object"))
     if missing_fsp == "drop":
         ev = ev.filter(F.col("fsp_id").isNotNull())
-    reason = (F.when(F.col("reporting_date").isNull(), F.lit("bad_date"))
+    reason = (F.when(F.col("_no_object"), F.lit("bad_item"))
+              .when(F.col("reporting_date").isNull(), F.lit("bad_date"))
               .when(F.col("amount").isNull(), F.lit("amount_overflow")))
     bad = ev.filter(reason.isNotNull()).select(F.col("raw_payload").alias("raw"), "topic",
                                                reason.alias("reason"))
-    good_ev = ev.filter(F.col("reporting_date").isNotNull() & F.col("amount").isNotNull())
-    return good_ev, bad
+    return ev.filter(reason.isNull()).drop("_no_object"), bad
 
 
 def decode_feed(records: DataFrame, missing_fsp: str = "unknown") -> tuple[DataFrame, DataFrame]:

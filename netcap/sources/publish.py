@@ -19,10 +19,9 @@ from netcap.schemas import ARRAY_FIELDS, SHARE, SOURCE_TYPES, TOPICS
 def _item(source_type: str, with_currency: bool):
     fields = [F.date_format("reporting_date", "yyyy-MM-dd").alias("reportingDate"),
               F.date_format("transaction_date", "yyyy-MM-dd").alias("transactionDate")]
-    if with_currency:
-        fields += [F.col("currency").alias("currency"), F.col("amount").alias("orgAmount")]
-    else:
-        fields.append(F.col("amount").alias("tzsAmount"))
+    if with_currency:  # both amounts, as the feeds send them
+        fields += [F.col("currency").alias("currency"), F.col("org_amount").alias("orgAmount")]
+    fields.append(F.col("amount").alias("tzsAmount"))
     sector_field = "sectorSnaClassification" if source_type == SHARE else "sector"
     fields.append(F.col("sector").alias(sector_field))
     return F.struct(*fields)
@@ -31,7 +30,8 @@ def _item(source_type: str, with_currency: bool):
 def to_messages(events: DataFrame, with_currency: bool = False,
                 num_partitions: int = 4) -> DataFrame:
     """Kafka-record-shaped rows: key, value, topic, partition, timestamp,
-    headers. ``partition`` is a hash of the key (what a keyed producer does);
+    headers. ``with_currency`` sends ``org_amount`` and ``currency`` beside the
+    converted amount. ``partition`` is a hash of the key (what a keyed producer does);
     ``offset`` carries the event id, so the file twin of a topic identifies
     each record (the Kafka sink ignores it; the broker assigns offsets)."""
     ev = events.filter(F.col("source_type").isin(*SOURCE_TYPES))
@@ -53,7 +53,8 @@ def to_messages(events: DataFrame, with_currency: bool = False,
                         ("sector", "sector"), ("reportingDate", "reporting_date"))])
     return ev.select(
         key.alias("key"), value.alias("value"), topic.alias("topic"),
-        F.pmod(F.hash(key), F.lit(num_partitions)).alias("partition"),
+        (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % num_partitions).cast("int")
+        .alias("partition"),
         F.col("event_id").cast("long").alias("offset"),
         F.col("ingestion_time").alias("timestamp"),
         headers.alias("headers"),

@@ -11,20 +11,17 @@ one path (the mode is part of the folder name):
   the newest batch per key wins.
 * ``partials``: deltas hold the batch's own partial sums; readers sum
   totals and counts and take the maximum times.
-
-``compact_state`` folds closed deltas into a versioned base folder so
-readers do not re-fold the whole history.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from netcap.operators.position import net_core_capital
 from netcap.operators.snapshot import SNAPSHOT_COLUMNS
-from netcap.schemas import KEY, MONEY, SOURCE_TYPES, STATE_COLUMNS, TOTAL_COLUMNS, UPDATE_COLUMNS
+from netcap.schemas import KEY, SOURCE_TYPES, STATE_COLUMNS, TOTAL_COLUMNS, UPDATE_COLUMNS
 
 MODES = ("stateful", "partials")
 
@@ -53,72 +50,43 @@ def _fold(df: DataFrame, mode: str) -> DataFrame:
         newest = df.groupBy(*KEY).agg(F.max(F.struct("batch_id", *rest)).alias("_n"))
         return newest.select(*KEY, *[F.col(f"_n.{c}").alias(c) for c in rest])
     agg = df.groupBy(*KEY).agg(
-        *[F.sum(TOTAL_COLUMNS[s]).cast(MONEY).alias(TOTAL_COLUMNS[s]) for s in SOURCE_TYPES],
+        *[F.sum(TOTAL_COLUMNS[s]).alias(TOTAL_COLUMNS[s]) for s in SOURCE_TYPES],
         *[F.max(UPDATE_COLUMNS[s]).alias(UPDATE_COLUMNS[s]) for s in SOURCE_TYPES],
         F.max("last_computed_at").alias("last_computed_at"),
         F.sum("event_count").cast("long").alias("event_count"))
     return agg.withColumn("net_core_capital", net_core_capital()).select(*STATE_COLUMNS)
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def read_deltas(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
+    """All delta rows with their ``batch_id``; those of earlier batches only with
+    ``before_batch`` (a literal, so other batches' folders aren't listed)."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        deltas = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no state at {path}") from e
+        raise
+    if before_batch is not None:
+        deltas = deltas.filter(F.col("batch_id") < F.lit(int(before_batch)))
+    return deltas.select(F.col("batch_id").cast("long"), *STATE_COLUMNS)
 
 
-def read_state(spark: SparkSession, path: str, mode: str = "stateful") -> DataFrame:
-    """Current state from base + deltas; one row per key.
+def read_state(spark: SparkSession, path: str, mode: str = "stateful",
+               before_batch: int | None = None) -> DataFrame:
+    """Current state, folded from the deltas; one row per key.
 
     Both folds are aggregations with map-side combine: a key changed in
     every batch still never sits in one task as a whole.
     """
-    deltas = _read_or_none(spark, path)
-    base = _read_or_none(spark, f"{path}/_base")
-    if deltas is None and base is None:
-        raise FileNotFoundError(f"no state at {path}")
-    if base is None:
-        return _fold(deltas, mode)
-    top = base.agg(F.max("version").alias("_v"))
-    base_rows = (base.join(F.broadcast(top), base.version == top._v)
-                 .select(F.lit(-1).cast("long").alias("batch_id"), *STATE_COLUMNS))
-    if deltas is None:
-        return _fold(base_rows, mode)
-    newer = (deltas.join(F.broadcast(top), deltas.batch_id > top._v)
-             .select(F.col("batch_id").cast("long"), *STATE_COLUMNS))
-    return _fold(base_rows.unionByName(newer), mode)
-
-
-def compact_state(spark: SparkSession, path: str, mode: str, upto_batch: int) -> str:
-    """Fold base + deltas up to ``upto_batch`` into base version
-    ``upto_batch`` (a new folder; nothing the reader reads is overwritten).
-    Readers switch to it by taking the highest version. Returns its path."""
-    deltas = _read_or_none(spark, path)
-    base = _read_or_none(spark, f"{path}/_base")
-    parts = []
-    if base is not None:
-        top = base.agg(F.max("version").alias("_v"))
-        parts.append(base.join(F.broadcast(top), base.version == top._v)
-                     .select(F.lit(-1).cast("long").alias("batch_id"), *STATE_COLUMNS))
-    if deltas is not None:
-        parts.append(deltas.filter(F.col("batch_id") <= upto_batch)
-                     .select(F.col("batch_id").cast("long"), *STATE_COLUMNS))
-    if not parts:
-        raise FileNotFoundError(f"no state at {path}")
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    out = f"{path}/_base/version={int(upto_batch)}"
-    _fold(u, mode).write.mode("overwrite").parquet(out)
-    return out
+    return _fold(read_deltas(spark, path, before_batch), mode)
 
 
 # --- S5: event log ----------------------------------------------------------
 
 def append_event_log(log_rows: DataFrame, batch_id: int, path: str) -> None:
     """One folder per batch, overwritten on retry: a replayed batch does not
-    duplicate the log. Keep ``topic, partition, offset`` in the rows when
-    the events came from a feed: they tell a replay from a resend."""
+    duplicate the log, and topic, partition, offset and item of each row tell a
+    replay from a resend."""
     write_delta(log_rows, batch_id, path)
 
 
@@ -129,10 +97,11 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 # --- S8 / S9: state table, snapshots ----------------------------------------
 
 def write_state_table(state: DataFrame, path: str) -> None:
-    """Batch write of the state, partitioned by reporting date and sorted by
-    (fsp_id, sector) inside files, so a point lookup prunes folders and
-    row groups (what the database indexes did)."""
-    (state.repartition("reporting_date").sortWithinPartitions("fsp_id", "sector")
+    """Batch write of the state, partitioned by reporting date, in ranges of (date,
+    fsp_id, sector) and sorted inside files, so a point lookup prunes folders, files and
+    row groups (what the database indexes did). A large date takes many tasks."""
+    (state.repartitionByRange("reporting_date", "fsp_id", "sector")
+     .sortWithinPartitions("reporting_date", "fsp_id", "sector")
      .write.mode("overwrite").partitionBy("reporting_date").parquet(path))
 
 
@@ -178,14 +147,15 @@ def merge_upsert_sql(table: str, staging: str) -> str:
             f"VALUES ({', '.join('s.' + c for c in cols)})")
 
 
-def jdbc_state_writer(url: str, table: str, properties: dict | None = None,
-                      run_statement=None, upsert_sql=postgres_upsert_sql):
+def jdbc_state_writer(url: str, table: str, run_statement, properties: dict | None = None,
+                      upsert_sql=postgres_upsert_sql):
     """A foreachBatch function that writes each batch's state rows (absolute
     totals) to ``<table>_staging`` in parallel from the executors and then
     runs one server-side upsert for the whole batch (not one per row).
 
     ``run_statement(sql)`` executes a statement on the target (e.g. with a
-    DB-API connection); without it only the staging table is written.
+    DB-API connection). It is required: the next batch replaces the staging rows. Create
+    the target's money columns as wide as the totals may get.
     """
     props = dict(properties or {})
     staging = f"{table}_staging"
@@ -193,6 +163,5 @@ def jdbc_state_writer(url: str, table: str, properties: dict | None = None,
     def write(batch_df: DataFrame, batch_id: int) -> None:
         (batch_df.select(*STATE_COLUMNS).write.mode("overwrite").option("truncate", "true")
          .jdbc(url, staging, properties=props))
-        if run_statement is not None:
-            run_statement(upsert_sql(table, staging))
+        run_statement(upsert_sql(table, staging))
     return write

@@ -128,3 +128,86 @@ def test_union_of_feeds_keeps_every_record(spark):
     events, dead = decode_feed(union_feeds(share, res))
     assert sorted(e.source_type for e in events.collect()) == ["RESERVE", "RESERVE", "SHARE"]
     assert dead.count() == 0
+
+
+def test_unknown_topic_is_a_dead_letter(spark):
+    item = {"reportingDate": "2024-01-15", "tzsAmount": 1, "sectorSnaClassification": "B"}
+    good, bad = _decode(spark, [_msg([item])], topic="capital-drafts")
+    assert not good and [(b.reason, b.topic) for b in bad] == [("unknown_topic", "capital-drafts")]
+
+
+def test_numbers_beyond_any_decimal_are_not_zero(spark):
+    v = ('{"fspInformationId":"F","shareCapitalData":[{"reportingDate":"2024-01-15",'
+         '"tzsAmount":%s,"sectorSnaClassification":"B"}]}')
+    good, bad = _decode(spark, [v % n for n in ("1e40", '"1e40"', "1" + "0" * 50)])
+    assert not good and [b.reason for b in bad] == ["amount_overflow"] * 3
+    good, bad = _decode(spark, [v % n for n in ('"NaN"', '"x"', "null", "true")])
+    assert [g.amount for g in good] == [Decimal("0.0000")] * 4 and not bad
+
+
+def test_digits_past_double_precision_are_kept(spark):
+    v = ('{"fspInformationId":"F","shareCapitalData":[{"reportingDate":"2024-01-15",'
+         '"tzsAmount":1234567890123456.7891,"sectorSnaClassification":"B"}]}')
+    good, _ = _decode(spark, [v])
+    assert good[0].amount == Decimal("1234567890123456.7891")
+
+
+def test_an_item_that_is_no_object_costs_its_neighbours_nothing(spark):
+    item = {"reportingDate": "2024-01-15", "tzsAmount": 1, "sectorSnaClassification": "B"}
+    good, bad = _decode(spark, [_msg([5, item, "x", None, item, [item]])])
+    assert sorted(g.item_index for g in good) == [1, 4]
+    assert [b.reason for b in bad] == ["bad_item"] * 4
+
+
+def test_log_has_the_items_own_json_and_where_it_came_from(spark):
+    from netcap.operators.eventlog import event_log_rows
+    items = [{"reportingDate": "2024-01-15", "tzsAmount": n, "sectorSnaClassification": "B"}
+             for n in (1, 2)]
+    recs = records_df(spark, [(_msg(items), SHARE_T, 7, T0)])
+    log = event_log_rows(decode_feed(recs)[0]).orderBy("item_index").collect()
+    assert [(r.topic, r.partition, r.offset, r.item_index) for r in log] == [
+        (SHARE_T, 0, 7, 0), (SHARE_T, 0, 7, 1)]
+    assert [json.loads(r.raw_payload) for r in log] == items
+    assert {r.message_key for r in log} == {"FSP001:B:2024-01-15"}
+
+
+def test_message_key_keeps_its_parts(spark):
+    from netcap.functions.columns import composite_key
+    df = spark.createDataFrame([("F", None, None)], "fsp_id string, sector string, reporting_date date")
+    assert df.select(composite_key().alias("k")).first().k == "F::"
+
+
+def test_currency_travels_with_both_amounts(spark):
+    from netcap.operators.currency import normalise_currency, rates_frame
+    src = events_df(spark, [ev(1, "SHARE", 2), ev(2, "RESERVE", 3)]).selectExpr("*", "'USD' AS currency")
+    sent = to_messages(normalise_currency(src, rates_frame(spark)), with_currency=True)
+    got = {r.source_type: r for r in decode_feed(sent)[0].collect()}
+    assert (got["SHARE"].org_amount, got["SHARE"].amount, got["SHARE"].currency) == (
+        Decimal("2.0000"), Decimal("5000.0000"), "USD")
+    again = normalise_currency(decode_feed(sent)[0].drop("amount"), rates_frame(spark), "org_amount")
+    assert sorted(r.amount for r in again.collect()) == [Decimal("5000.0000"), Decimal("7500.0000")]
+
+
+def test_a_second_rate_is_rejected(spark):
+    import pytest
+    from netcap.operators.currency import DEFAULT_RATES, normalise_currency, rates_frame
+    src = events_df(spark, [ev(1, "SHARE", 2)]).selectExpr("*", "'USD' AS currency")
+    double = rates_frame(spark, [*DEFAULT_RATES, ("SHARE", "USD", "2600")])
+    with pytest.raises(Exception, match="more than one rate for SHARE USD"):
+        normalise_currency(src, double).collect()
+
+
+def test_kafka_options_fail_on_lost_data():
+    from netcap.sources.feeds import kafka_options
+    assert "failOnDataLoss" not in kafka_options("b:9092")
+
+
+def test_record_time_is_utc_in_any_session_zone(spark):
+    from netcap.functions.columns import utc_wall_clock
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        at = spark.sql("SELECT timestamp_seconds(1705312800) AS t").select(
+            utc_wall_clock("t").alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert at == dt.datetime(2024, 1, 15, 10, 0)

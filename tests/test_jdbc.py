@@ -3,12 +3,17 @@ this JVM, no server or port)."""
 
 from decimal import Decimal
 
-from helpers import T0, ev, events_df
+import pytest
+from helpers import ev, events_df
 
 from netcap.operators.position import capital_position
-from netcap.schemas import STATE_COLUMNS
+from netcap.schemas import EVENT_SCHEMA, STATE_COLUMNS
 from netcap.sources.tables import jdbc_state_writer, merge_upsert_sql
+from netcap.streaming.position_stream import (
+    file_event_stream, run_to_completion, start_position_stream,
+)
 
+DRIVER = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 URL = "jdbc:derby:memory:netcap_test;create=true"
 DDL = """CREATE TABLE capital_state (
  fsp_id VARCHAR(100) NOT NULL, sector VARCHAR(100) NOT NULL, reporting_date DATE NOT NULL,
@@ -20,7 +25,8 @@ DDL = """CREATE TABLE capital_state (
  PRIMARY KEY (fsp_id, sector, reporting_date))"""
 
 
-def test_staging_write_and_batch_upsert(spark):
+def _target(spark):
+    """A fresh target and staging table; (connection, run statement)."""
     jvm = spark.sparkContext._jvm  # test-only: run DDL/DML inside this JVM's Derby
     conn = jvm.java.sql.DriverManager.getConnection(URL)
 
@@ -29,19 +35,50 @@ def test_staging_write_and_batch_upsert(spark):
         st.execute(sql)
         st.close()
 
+    for t in ("capital_state", "capital_state_staging"):
+        try:
+            run(f"DROP TABLE {t}")
+        except Exception:  # not there yet
+            pass
     run(DDL)
     run(DDL.replace("capital_state (", "capital_state_staging (").replace(
         ",\n PRIMARY KEY (fsp_id, sector, reporting_date))", ")"))
-    write = jdbc_state_writer(URL, "capital_state", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"},
-                              run_statement=run, upsert_sql=merge_upsert_sql)
+    return conn, run
+
+
+def _read(spark):
+    return spark.read.jdbc(URL, "capital_state", properties=DRIVER).select(*STATE_COLUMNS).collect()
+
+
+def test_staging_write_and_batch_upsert(spark):
+    conn, run = _target(spark)
+    write = jdbc_state_writer(URL, "capital_state", run, DRIVER, upsert_sql=merge_upsert_sql)
     b0 = capital_position(events_df(spark, [ev(1, "SHARE", 5), ev(2, "SHARE", 1, sector="X")]))
     b1 = capital_position(events_df(spark, [ev(1, "SHARE", 5), ev(3, "SHARE", 2)]))
     write(b0, 0)
     write(b1, 1)  # absolute totals of the changed key overwrite it
-    out = spark.read.jdbc(URL, "capital_state", properties={
-        "driver": "org.apache.derby.jdbc.EmbeddedDriver"}).select(*STATE_COLUMNS).collect()
-    got = {r.sector: r for r in out}
+    got = {r.sector: r for r in _read(spark)}
     assert set(got) == {"BANKING", "X"}
     assert got["BANKING"].share_capital_total == Decimal("7.0000")
     assert got["BANKING"].event_count == 2
     conn.close()
+
+
+def test_running_job_upserts_into_the_target(spark, tmp_dir):
+    conn, run = _target(spark)
+    rows = [[ev(1, "SHARE", 5), ev(2, "RESERVE", 1)], [ev(3, "SHARE", 2)]]
+    for i, part in enumerate(rows):
+        events_df(spark, part).coalesce(1).write.parquet(f"{tmp_dir}/in/f{i}")
+    stream = file_event_stream(spark, f"{tmp_dir}/in/*", EVENT_SCHEMA, max_files_per_trigger=1)
+    run_to_completion(start_position_stream(
+        stream, tmp_dir, f"{tmp_dir}/ck", mode="stateful",
+        sink=jdbc_state_writer(URL, "capital_state", run, DRIVER, upsert_sql=merge_upsert_sql)), 600)
+    (r,) = _read(spark)
+    assert (r.share_capital_total, r.net_core_capital, r.event_count) == (
+        Decimal("7.0000"), Decimal("8.0000"), 3)
+    conn.close()
+
+
+def test_the_upsert_is_required():
+    with pytest.raises(TypeError):
+        jdbc_state_writer(URL, "capital_state")

@@ -78,3 +78,9 @@ def test_feed_totals_groups_null_sector(spark):
     rows = [ev(1, "SHARE", 1, sector=None), ev(2, "SHARE", 2, sector=None), ev(3, "RESERVE", 5)]
     out = feed_totals(events_df(spark, rows)).collect()
     assert len(out) == 1 and out[0].sector is None and out[0].event_count == 2
+
+
+def test_large_totals_dont_stop_the_job(spark):
+    rows = [ev(i, "SHARE", "9999999999999999") for i in range(3)]
+    r = capital_position(events_df(spark, rows)).collect()[0]
+    assert r.share_capital_total == r.net_core_capital == 3 * Decimal("9999999999999999.0000")
