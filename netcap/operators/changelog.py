@@ -2,22 +2,18 @@
 
 A plain ``Window.partitionBy(key)`` would put every event of a key into
 one task; with one key holding a third of all events that task would sort
-a third of the data. Instead this is a distributed prefix sum:
+a third of the data. Instead this is a distributed prefix sum over chunks,
+a chunk being a key's events of one bucket of ingestion time:
 
-1. range-partition the events by (key, order columns) into a fixed number
-   of partitions; the sampled bounds split a hot key across many
-   partitions, each a contiguous run of its history;
-2. total each (partition, key) chunk (partial aggregation);
-3. offset of each chunk = sum / max of the chunks before it for the same
-   key (a window over at most ``partitions`` rows per key);
-4. inside each chunk, running sums from the chunk start plus the offset.
+1. total each (key, bucket) chunk (partial aggregation: a row per chunk and task);
+2. offset of each chunk = sum / max of the chunks before it for the same
+   key (a window over one row per bucket and key);
+3. join the events with the offsets on (key, bucket) and run the sums inside
+   the chunk: the only shuffle of events.
 
-Steps 2 and 4 must see the same partition ids. Two plans of the same
-range exchange sample their bounds independently (and column pruning makes
-the plans differ), so the range-partitioned events are checkpointed (lazily,
-into ``spark.checkpoint.dir``): both steps then read one fixed RDD, and a
-lost executor recomputes or re-reads it without changing a bound. The
-partition count is explicit so AQE never coalesces it.
+The bucket is a function of the row, so nothing is sampled and nothing has
+to be kept between the two reads. ``bucket_seconds`` bounds a chunk: choose it so
+that the busiest key's events of one bucket suit a task.
 """
 
 from __future__ import annotations
@@ -25,10 +21,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netcap.functions.columns import component_amount
+from netcap.functions.columns import component_amount, epoch_millis
 from netcap.operators.position import net_core_capital, prepare_events
-from netcap.session import ensure_checkpoint_dir
-from netcap.schemas import KEY, MONEY, SOURCE_TYPES, TOTAL_COLUMNS, UPDATE_COLUMNS
+from netcap.schemas import ADDEND, KEY, SOURCE_TYPES, TOTAL, TOTAL_COLUMNS, UPDATE_COLUMNS
+
+BUCKET_SECONDS = 3600
 
 CHANGELOG_COLUMNS = (["event_id", "source_type", "ingestion_time"] + KEY
                      + [TOTAL_COLUMNS[s] for s in SOURCE_TYPES] + ["net_core_capital"]
@@ -38,46 +35,60 @@ CHANGELOG_COLUMNS = (["event_id", "source_type", "ingestion_time"] + KEY
 
 def position_changelog(events: DataFrame, sector_mode: str = "submitted",
                        order_by: tuple = ("ingestion_time", "event_id"),
-                       partitions: int | None = None) -> DataFrame:
+                       bucket_seconds: int = BUCKET_SECONDS,
+                       start: DataFrame | None = None) -> DataFrame:
     """Running totals, last update times and count of the key after each
     event, in (ingestion_time, event_id) order. The last row of a key equals
-    its position state. ``order_by`` must be unique within a key."""
-    spark = events.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    its position state. ``order_by`` must be unique within a key and begin with the
+    ingestion time; pass a feed's (topic, partition, offset, item_index) behind it where
+    64-bit event ids may meet. ``start`` is the keys' state before these events."""
     order = list(order_by)
+    if order[0] != "ingestion_time":
+        raise ValueError("order_by begins with ingestion_time: chunks follow it")
     m = {s: f"_m{i}" for i, s in enumerate(SOURCE_TYPES)}
     u = {s: f"_u{i}" for i, s in enumerate(SOURCE_TYPES)}
     ev = prepare_events(events, sector_mode).select(
-        *KEY, *[c for c in dict.fromkeys(order + ["event_id", "ingestion_time", "source_type"])],
+        *KEY, *dict.fromkeys([*order, "event_id", "source_type"]),
+        F.coalesce(F.floor(epoch_millis("ingestion_time") / (1000 * bucket_seconds)),
+                   F.lit(-(2 ** 62))).alias("_bucket"),  # without a time: before all others
         *[component_amount("source_type", s, "amount").alias(m[s]) for s in SOURCE_TYPES],
         *[F.when(F.col("source_type") == s, F.col("ingestion_time")).alias(u[s])
           for s in SOURCE_TYPES])
-    ensure_checkpoint_dir(spark)
-    ranged = (ev.repartitionByRange(n, *KEY, *order)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=False))
 
-    chunks = ranged.groupBy("_pid", *KEY).agg(
+    chunks = ev.groupBy(*KEY, "_bucket").agg(
         *[F.sum(m[s]).alias(m[s]) for s in SOURCE_TYPES],
         *[F.max(u[s]).alias(u[s]) for s in SOURCE_TYPES],
         F.max("ingestion_time").alias("_t"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*KEY).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*KEY).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = chunks.select(
-        "_pid", *KEY,
-        *[F.sum(m[s]).over(before).alias(f"_o{m[s]}") for s in SOURCE_TYPES],
+        *KEY, "_bucket",
+        *[F.coalesce(F.sum(m[s]).over(before), F.lit(0).cast(TOTAL)).alias(f"_o{m[s]}")
+          for s in SOURCE_TYPES],
         *[F.max(u[s]).over(before).alias(f"_o{u[s]}") for s in SOURCE_TYPES],
-        F.max("_t").over(before).alias("_ot"), F.sum("_n").over(before).alias("_on"))
+        F.max("_t").over(before).alias("_ot"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_on"))
+    if start is not None:
+        s0 = start.select(
+            *KEY, *[F.col(TOTAL_COLUMNS[s]).alias(f"_s{m[s]}") for s in SOURCE_TYPES],
+            *[F.col(UPDATE_COLUMNS[s]).alias(f"_s{u[s]}") for s in SOURCE_TYPES],
+            F.col("last_computed_at").alias("_st"), F.col("event_count").alias("_sn"))
+        offsets = offsets.join(s0, KEY, "left").select(
+            *KEY, "_bucket",
+            *[(F.col(f"_o{m[s]}") + F.coalesce(f"_s{m[s]}", F.lit(0).cast(ADDEND))).cast(TOTAL)
+              .alias(f"_o{m[s]}") for s in SOURCE_TYPES],
+            *[F.greatest(f"_o{u[s]}", f"_s{u[s]}").alias(f"_o{u[s]}") for s in SOURCE_TYPES],
+            F.greatest("_ot", "_st").alias("_ot"),
+            (F.col("_on") + F.coalesce("_sn", F.lit(0))).alias("_on"))
 
-    running = Window.partitionBy("_pid", *KEY).orderBy(*order).rowsBetween(
+    running = Window.partitionBy(*KEY, "_bucket").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    zero = F.lit(0).cast(MONEY)
-    j = ranged.join(offsets, ["_pid", *KEY], "inner")
+    j = ev.join(offsets, [*KEY, "_bucket"], "inner")
     out = j.select(
         "event_id", "source_type", "ingestion_time", *KEY,
-        *[(F.coalesce(F.col(f"_o{m[s]}"), zero) + F.sum(m[s]).over(running)).cast(MONEY)
-          .alias(TOTAL_COLUMNS[s]) for s in SOURCE_TYPES],
+        *[(F.col(f"_o{m[s]}") + F.sum(m[s]).over(running)).cast(TOTAL).alias(TOTAL_COLUMNS[s])
+          for s in SOURCE_TYPES],
         *[F.greatest(F.col(f"_o{u[s]}"), F.max(u[s]).over(running)).alias(UPDATE_COLUMNS[s])
           for s in SOURCE_TYPES],
         F.greatest(F.col("_ot"), F.max("ingestion_time").over(running)).alias("last_computed_at"),
-        (F.coalesce(F.col("_on"), F.lit(0)) + F.count(F.lit(1)).over(running)).alias("event_count"))
+        (F.col("_on") + F.count(F.lit(1)).over(running)).alias("event_count"))
     return out.withColumn("net_core_capital", net_core_capital()).select(*CHANGELOG_COLUMNS)

@@ -22,12 +22,15 @@ from netcap.schemas import (
 
 
 def _ts(value) -> Column:
-    """A timestamp argument (string, datetime or Column) as TIMESTAMP_NTZ."""
+    """A timestamp argument as UTC TIMESTAMP_NTZ: a string or datetime, converted if
+    it has a zone, taken as UTC if not; or a Column of UTC wall-clock time."""
     if isinstance(value, Column):
         return as_timestamp_ntz(value)
-    if isinstance(value, _dt.datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.lit(str(value)).cast("timestamp_ntz")
+    if not isinstance(value, _dt.datetime):
+        value = _dt.datetime.fromisoformat(str(value))
+    if value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def _date(value) -> Column:
@@ -73,27 +76,36 @@ def with_freshness(state: DataFrame, as_of, thresholds_minutes: dict | None = No
 
 def position_report(state: DataFrame, as_of, thresholds_minutes: dict | None = None) -> DataFrame:
     """The position document per key as a ``report`` struct (numbers as
-    double, like the service) plus ``report_json``."""
+    double, like the service) plus ``report_json``: the same with exact numbers in
+    shortest form, missing ages as null and the time in ISO form."""
     f = with_freshness(state, as_of, thresholds_minutes)
-    d = lambda c: F.col(c).cast("double")
     metrics = F.struct(*[
         F.struct(F.col(f"{COMPONENTS[s]}_fresh").alias("fresh"),
                  F.col(f"{COMPONENTS[s]}_age_sec").alias("ageSec")).alias(COMPONENTS[s])
         for s in SOURCE_TYPES])
-    report = F.struct(
-        F.col("fsp_id").alias("fspId"), F.col("sector").alias("sector"),
-        F.col("reporting_date").alias("reportingDate"),
-        F.col("last_computed_at").alias("asOf"),
-        F.struct(d("share_capital_total").alias("shareCapital"),
-                 d("reserves_total").alias("reserves"),
-                 d("dividends_payable_total").alias("dividendsPayable"),
-                 d("deductions_total").alias("deductions"),
-                 d("net_core_capital").alias("netCoreCapital")).alias("positions"),
-        F.col("freshness_status").alias("freshnessStatus"),
-        metrics.alias("refreshMetrics"),
-        F.col("event_count").alias("eventCount"),
-    )
-    return f.select(*KEY, report.alias("report")).withColumn("report_json", F.to_json("report"))
+
+    def document(kind: str) -> Column:
+        number = lambda c, name: F.col(c).cast(kind).alias(name)
+        return F.struct(
+            F.col("fsp_id").alias("fspId"), F.col("sector").alias("sector"),
+            F.col("reporting_date").alias("reportingDate"),
+            F.col("last_computed_at").alias("asOf"),
+            F.struct(number("share_capital_total", "shareCapital"),
+                     number("reserves_total", "reserves"),
+                     number("dividends_payable_total", "dividendsPayable"),
+                     number("deductions_total", "deductions"),
+                     number("net_core_capital", "netCoreCapital")).alias("positions"),
+            F.col("freshness_status").alias("freshnessStatus"),
+            metrics.alias("refreshMetrics"),
+            F.col("event_count").alias("eventCount"),
+        )
+
+    text = F.to_json(document("decimal(38,4)"), {
+        "ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"})
+    # Closing zeros of the decimals go; no other value ends with a digit after a point.
+    text = F.regexp_replace(F.regexp_replace(text, r"\.0+([,}])", "$1"),
+                            r"(\.[0-9]*[1-9])0+([,}])", "$1$2")
+    return f.select(*KEY, document("double").alias("report"), text.alias("report_json"))
 
 
 def flatten_report(report_df: DataFrame) -> DataFrame:
@@ -108,7 +120,7 @@ def flatten_report(report_df: DataFrame) -> DataFrame:
         c = COMPONENTS[s]
         cols += [F.col(f"{r}.refreshMetrics.{c}.fresh").alias(f"{c}Fresh"),
                  F.col(f"{r}.refreshMetrics.{c}.ageSec").alias(f"{c}AgeSec")]
-    cols.append(F.col(f"{r}.eventCount").alias("eventCount"))
+    cols += [F.col(f"{r}.eventCount").alias("eventCount"), F.col("report_json")]
     return report_df.select(*cols)
 
 
@@ -147,6 +159,12 @@ def summary(state: DataFrame, reporting_date, group_by: str | None = None) -> Da
 
 # --- R9: multi-date roll-up -------------------------------------------------
 
+def _level() -> Column:
+    return (F.when(F.col("_gs") == 0, F.lit("sector"))
+            .when(F.col("_gf") == 0, F.lit("fsp"))
+            .otherwise(F.lit("market")))
+
+
 def rollup(state: DataFrame) -> DataFrame:
     """(sector, date), (fsp, date) and (date) totals in one aggregation
     (GROUPING SETS: one shuffle, partial aggregation before it).
@@ -155,10 +173,7 @@ def rollup(state: DataFrame) -> DataFrame:
         [["sector", "reporting_date"], ["fsp_id", "reporting_date"], ["reporting_date"]],
         "sector", "fsp_id", "reporting_date",
     ).agg(*_summary_aggs(), F.grouping("sector").alias("_gs"), F.grouping("fsp_id").alias("_gf"))
-    level = (F.when(F.col("_gs") == 0, F.lit("sector"))
-             .when(F.col("_gf") == 0, F.lit("fsp"))
-             .otherwise(F.lit("market")))
-    return g.select(level.alias("level"), "sector", "fsp_id", "reporting_date",
+    return g.select(_level().alias("level"), "sector", "fsp_id", "reporting_date",
                     *[dst for _, dst in SUMMARY_MEASURES], "last_update")
 
 
@@ -180,13 +195,13 @@ def format_amount(c, unit: int = 10 ** 9) -> Column:
     if unit not in _UNIT_SUFFIX:
         raise ValueError(f"unit must be one of {sorted(_UNIT_SUFFIX)}")
     scaled = F.col(c) * F.lit(Decimal(1).scaleb(-len(str(unit)) + 1))
-    text = F.round(scaled, 1).cast("decimal(20,1)").cast("string")
+    text = F.round(scaled, 1).cast("decimal(38,1)").cast("string")
     return F.concat(text, F.lit(_UNIT_SUFFIX[unit]))
 
 
-def printed_report(state: DataFrame, unit: int = 10 ** 9) -> DataFrame:
-    """One text block per key: as-of time, the four components with their
-    last update time, and net core capital."""
+def report_text(unit: int = 10 ** 9) -> Column:
+    """Title and as-of time, the four components with their last update time, and
+    net core capital, the three parts with a blank line between them."""
     def line(label, amount_col, upd_col=None):
         parts = [F.rpad(F.lit(label), 22, " "), format_amount(amount_col, unit)]
         if upd_col:
@@ -194,14 +209,33 @@ def printed_report(state: DataFrame, unit: int = 10 ** 9) -> DataFrame:
                                   F.coalesce(F.date_format(upd_col, "HH:mm"), F.lit("--:--")),
                                   F.lit(")")))
         return F.concat(*parts)
-    text = F.concat_ws(
+    return F.concat_ws(
         "\n",
         F.lit("Realtime Capital Position"),
         F.concat(F.lit("As of: "), F.date_format("last_computed_at", "HH:mm:ss")),
+        F.lit(""),
         *[line(lbl, amt, upd) for lbl, amt, upd in PRINT_LABELS],
+        F.lit(""),
         line("Net Core Capital:", "net_core_capital"),
     )
-    return state.select(*KEY, text.alias("report_text"))
+
+
+def printed_report(state: DataFrame, unit: int = 10 ** 9) -> DataFrame:
+    """One text block per key."""
+    return state.select(*KEY, report_text(unit).alias("report_text"))
+
+
+def printed_rollup(state: DataFrame, unit: int = 10 ** 9) -> DataFrame:
+    """One text block per date and FSP, per date and sector, and per date for the
+    whole market (``level``), from one aggregation."""
+    g = state.groupingSets(
+        [["sector", "reporting_date"], ["fsp_id", "reporting_date"], ["reporting_date"]],
+        "sector", "fsp_id", "reporting_date",
+    ).agg(*[F.sum(c).alias(c) for c in [*TOTAL_COLUMNS.values(), "net_core_capital"]],
+          *[F.max(c).alias(c) for c in [*UPDATE_COLUMNS.values(), "last_computed_at"]],
+          F.grouping("sector").alias("_gs"), F.grouping("fsp_id").alias("_gf"))
+    return g.select(_level().alias("level"), "sector", "fsp_id", "reporting_date",
+                    report_text(unit).alias("report_text"))
 
 
 # --- R12 / R13 / R14: table checks ------------------------------------------

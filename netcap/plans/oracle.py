@@ -135,7 +135,7 @@ def _printed(unit_exp: int, suffix: str) -> str:
     scale = "0." + "0" * (unit_exp - 1) + "1"
 
     def amt(c):
-        return (f"CAST(CAST(ROUND({c} * {scale}, 1) AS DECIMAL(20,1)) AS VARCHAR) || '{suffix}'")
+        return (f"CAST(CAST(ROUND({c} * {scale}, 1) AS DECIMAL(38,1)) AS VARCHAR) || '{suffix}'")
 
     def line(label, c, u=None):
         s = f"rpad('{label}', 22, ' ') || {amt(c)}"
@@ -145,7 +145,8 @@ def _printed(unit_exp: int, suffix: str) -> str:
     labels = [("Share Capital:", _TOT[0], _UPD[0]), ("Reserves:", _TOT[1], _UPD[1]),
               ("Dividends Payable:", _TOT[2], _UPD[2]), ("Deductions:", _TOT[3], _UPD[3])]
     parts = ["'Realtime Capital Position'", "'As of: ' || strftime(last_computed_at, '%H:%M:%S')"]
-    parts += [line(*x) for x in labels] + [line("Net Core Capital:", "net_core_capital")]
+    # The specified layout: title and time, a blank line, the components, a blank line, the net.
+    parts += ["''", *[line(*x) for x in labels], "''", line("Net Core Capital:", "net_core_capital")]
     return "concat_ws(chr(10), " + ", ".join(parts) + ") AS report_text"
 
 
@@ -199,7 +200,54 @@ def _lookup_args():
 _EVENT_LOG = with_(EV_E, prepared()) + (
     "SELECT ingestion_time AS received_at, source_type, fsp_id, sector, reporting_date, "
     "COALESCE(transaction_date, reporting_date) AS transaction_date, "
-    "CAST(amount AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS raw_payload FROM pev")
+    "CAST(amount AS DOUBLE) AS amount, "
+    "fsp_id || ':' || sector || ':' || reporting_date AS message_key, "
+    "CAST(NULL AS VARCHAR) AS topic, CAST(NULL AS INTEGER) AS partition, "
+    "CAST(NULL AS BIGINT) AS offset, CAST(NULL AS INTEGER) AS item_index, "
+    "CAST(NULL AS VARCHAR) AS raw_payload FROM pev")
+
+_TOPIC = ("CASE source_type WHEN 'SHARE' THEN 'share-capital' WHEN 'RESERVE' THEN 'other-capital' "
+          "WHEN 'DIVIDEND' THEN 'dividends-payable' ELSE 'core-capital-deductions' END")
+# The item in canonical form: keys in order, numbers without closing zeros.
+_ITEM = ("'{\"reportingDate\":\"' || reporting_date || '\"' || CASE source_type WHEN 'SHARE' "
+         "THEN ',\"sectorSnaClassification\":\"' ELSE ',\"sector\":\"' END || sector || '\"' "
+         "|| COALESCE(',\"transactionDate\":\"' || transaction_date || '\"', '') "
+         "|| ',\"tzsAmount\":' || regexp_replace(regexp_replace(CAST(amount AS VARCHAR), "
+         "'(\\.[0-9]*[1-9])0+$', '\\1'), '\\.0+$', '') || '}'")
+
+
+def _feed_log(damaged: bool) -> str:
+    """Log of published events; of those that a damaged feed lets through."""
+    payload = "" if damaged else f", {_ITEM} AS raw_payload"
+    index = "CASE WHEN event_id % 50 = 4 THEN 1 ELSE 0 END" if damaged else "0"
+    kept = " WHERE event_id % 50 NOT IN (0, 1, 2, 3)" if damaged else ""
+    return with_(EV_E, prepared(),
+                 "keyed AS (SELECT *, fsp_id || ':' || sector || ':' || reporting_date AS message_key "
+                 "FROM pev)") + (
+        "SELECT ingestion_time AS received_at, source_type, fsp_id, sector, reporting_date, "
+        "COALESCE(transaction_date, reporting_date) AS transaction_date, "
+        f"CAST(amount AS DOUBLE) AS amount, message_key, {_TOPIC} AS topic, "
+        "CAST(CAST('0x' || substr(md5(message_key), 1, 8) AS BIGINT) % 4 AS INTEGER) AS partition, "
+        f"event_id AS offset, CAST({index} AS INTEGER) AS item_index{payload} FROM keyed{kept}")
+
+
+def _report_json() -> str:
+    """The document as JSON text from the state ``st`` with freshness columns."""
+    num = lambda n, c: f"'\"{n}\":' || CAST({c} AS DECIMAL(38,4))"
+    metric = lambda c: (f"'\"{c}\":{{\"fresh\":' || {c}_fresh || ',\"ageSec\":' "
+                        f"|| COALESCE(CAST({c}_age_sec AS VARCHAR), 'null') || '}}'")
+    sep = " || ',' || "
+    text = ("'{\"fspId\":\"' || fsp_id || '\",\"sector\":\"' || sector || '\",\"reportingDate\":\"' "
+            "|| reporting_date || '\",\"asOf\":\"' || strftime(last_computed_at, '%Y-%m-%dT%H:%M:%S.%g') "
+            "|| 'Z\",\"positions\":{' || "
+            + sep.join(num(n, c) for n, c in zip(
+                ("shareCapital", "reserves", "dividendsPayable", "deductions", "netCoreCapital"),
+                _TOT + ("net_core_capital",)))
+            + " || '},\"freshnessStatus\":\"' || freshness_status || '\",\"refreshMetrics\":{' || "
+            + sep.join(metric(c) for c in ("share", "reserves", "dividend", "deduct"))
+            + " || '},\"eventCount\":' || event_count || '}'")
+    text = f"regexp_replace({text}, '\\.0+([,}}])', '\\1', 'g')"
+    return f"regexp_replace({text}, '(\\.[0-9]*[1-9])0+([,}}])', '\\1\\2', 'g') AS report_json"
 
 ORACLE_SQL: dict[str, str] = {
     "capital_position": _state_e() + f"SELECT {STATE_OUT} FROM st",
@@ -222,9 +270,31 @@ ORACLE_SQL: dict[str, str] = {
         "share_fresh AS shareFresh, share_age_sec AS shareAgeSec, "
         "reserves_fresh AS reservesFresh, reserves_age_sec AS reservesAgeSec, "
         "dividend_fresh AS dividendFresh, dividend_age_sec AS dividendAgeSec, "
-        "deduct_fresh AS deductFresh, deduct_age_sec AS deductAgeSec, event_count AS eventCount "
-        f"FROM (SELECT *, {_freshness_select(_EOD, _HOURS_LIMITS)} FROM st)"),
+        "deduct_fresh AS deductFresh, deduct_age_sec AS deductAgeSec, event_count AS eventCount, "
+        f"{_report_json()} FROM (SELECT *, {_freshness_select(_EOD, _HOURS_LIMITS)} FROM st)"),
     "printed_report": _state_e() + f"SELECT fsp_id, sector, reporting_date, {_printed(3, 'K')} FROM st",
+    "printed_rollup": with_(EV_E, prepared(), state_cte(), "g AS (SELECT CASE WHEN GROUPING(sector) = 0 "
+        "THEN 'sector' WHEN GROUPING(fsp_id) = 0 THEN 'fsp' ELSE 'market' END AS level, sector, "
+        "fsp_id, reporting_date, "
+        + ", ".join(f"SUM({t}) AS {t}" for t in _TOT + ("net_core_capital",)) + ", "
+        + ", ".join(f"MAX({u}) AS {u}" for u in _UPD + ("last_computed_at",))
+        + " FROM st GROUP BY GROUPING SETS ((sector, reporting_date), (fsp_id, reporting_date), "
+        "(reporting_date)))") + f"SELECT level, sector, fsp_id, reporting_date, {_printed(3, 'K')} FROM g",
+    "capital_position_exact": _state_e() + "SELECT fsp_id, sector, reporting_date, "
+        + ", ".join(f"CAST(CAST({t} AS DECIMAL(38,4)) AS VARCHAR) AS {t}"
+                    for t in _TOT + ("net_core_capital",))
+        + ", " + ", ".join(_UPD) + ", last_computed_at, event_count FROM st",
+    "feed_event_log": _feed_log(damaged=False),
+    "feed_stream_log": _feed_log(damaged=True),
+    "feed_stream_position": with_(EV_E, prepared(), "thru AS (SELECT * FROM pev WHERE event_id % 50 "
+        "NOT IN (0, 1, 2, 3))", state_cte(src="thru")) + f"SELECT {STATE_OUT} FROM st",
+    "feed_dead_letter": with_(EV_E) + (
+        "SELECT topic, reason, COUNT(*) AS messages FROM (SELECT CASE event_id % 50 WHEN 1 "
+        f"THEN 'capital-drafts' ELSE {_TOPIC} END AS topic, CASE event_id % 50 WHEN 0 THEN 'malformed' "
+        "WHEN 1 THEN 'unknown_topic' WHEN 2 THEN 'null_value' WHEN 3 THEN 'amount_overflow' "
+        "WHEN 4 THEN 'bad_item' END AS reason FROM ev "
+        "WHERE source_type IN ('SHARE','RESERVE','DIVIDEND','DEDUCTION')) "
+        "WHERE reason IS NOT NULL GROUP BY topic, reason"),
     "position_lookup": _state_e() + f"SELECT {STATE_OUT} FROM st WHERE {_lookup_args()}",
     "summary_sector": _state_e() + (
         f"SELECT sector, {_SUMMARY} FROM st WHERE reporting_date = DATE '2024-01-15' GROUP BY sector"),
@@ -278,3 +348,4 @@ ORACLE_SQL: dict[str, str] = {
         "JOIN rates USING (source_type, currency))",
         prepared(src="conv"), state_cte()) + f"SELECT {STATE_OUT} FROM st",
 }
+ORACLE_SQL["json_roundtrip_currency"] = ORACLE_SQL["currency_normalised"]

@@ -18,7 +18,7 @@ from netcap.operators.eventlog import event_log_rows
 from netcap.operators.position import capital_position, feed_totals
 from netcap.operators.reports import (
     flatten_report, late_arrivals, position, position_report, printed_report,
-    reporting_dates, rollup, sample_key, summary, table_counts, with_freshness,
+    printed_rollup, reporting_dates, rollup, sample_key, summary, with_freshness,
 )
 from netcap.operators.snapshot import end_of_reporting_day, official_position, take_snapshot
 from netcap.operators.currency import normalise_currency, rates_frame, split_unrated
@@ -74,6 +74,18 @@ def q_printed_report(spark, sf_dir):
     return printed_report(_state(spark, sf_dir), unit=10 ** 3)
 
 
+def q_printed_rollup(spark, sf_dir):
+    return printed_rollup(_state(spark, sf_dir), unit=10 ** 3)
+
+
+def q_capital_position_exact(spark, sf_dir):
+    """The totals as exact decimal text."""
+    state = _state(spark, sf_dir)
+    return state.select(*[F.col(f.name).cast("decimal(38,4)").cast("string").alias(f.name)
+                          if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+                          for f in state.schema.fields])
+
+
 def q_position_lookup(spark, sf_dir):
     return present(position(_state(spark, sf_dir), *LOOKUP_KEY))
 
@@ -119,13 +131,6 @@ def q_sample_key(spark, sf_dir):
     return sample_key(_state(spark, sf_dir))
 
 
-def q_table_counts(spark, sf_dir):
-    ev = events_from_events(spark, sf_dir)
-    state = capital_position(ev)
-    return table_counts(capital_state=state, capital_event_log=event_log_rows(ev),
-                        capital_snapshot=take_snapshot(state))
-
-
 def q_late_arrivals(spark, sf_dir):
     return late_arrivals(event_log_rows(events_from_star(spark, sf_dir)))
 
@@ -154,11 +159,30 @@ def q_json_roundtrip_events(spark, sf_dir):
         "ingestion_time", "topic"))
 
 
-def q_currency_normalised(spark, sf_dir):
+def _rated_events(spark, sf_dir):
     conv = normalise_currency(events_from_events(spark, sf_dir, with_currency=True),
                               rates_frame(spark))
     rated, _dead = split_unrated(conv)
-    return present(capital_position(rated))
+    return rated
+
+
+def q_currency_normalised(spark, sf_dir):
+    return present(capital_position(_rated_events(spark, sf_dir)))
+
+
+def q_json_roundtrip_currency(spark, sf_dir):
+    """Converted events sent with both amounts, decoded, and converted again from
+    the original amount that came along: the same position."""
+    sent = to_messages(_rated_events(spark, sf_dir), with_currency=True)
+    events, _dead = decode_feed(sent)
+    again, _unrated = split_unrated(normalise_currency(
+        events.drop("amount"), rates_frame(spark), amount_col="org_amount"))
+    return present(capital_position(again))
+
+
+def q_feed_event_log(spark, sf_dir):
+    """Log rows of decoded messages, with where each came from."""
+    return present(event_log_rows(_roundtrip_events(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -169,6 +193,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freshness": q_freshness,
     "position_report": q_position_report,
     "printed_report": q_printed_report,
+    "printed_rollup": q_printed_rollup,
+    "capital_position_exact": q_capital_position_exact,
     "position_lookup": q_position_lookup,
     "summary_sector": q_summary_sector,
     "summary_fsp": q_summary_fsp,
@@ -179,11 +205,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "official_position": q_official_position,
     "reporting_dates": q_reporting_dates,
     "sample_key": q_sample_key,
-    "table_counts": q_table_counts,
     "late_arrivals": q_late_arrivals,
     "event_log": q_event_log,
     "position_changelog": q_position_changelog,
     "json_roundtrip_position": q_json_roundtrip_position,
     "json_roundtrip_events": q_json_roundtrip_events,
     "currency_normalised": q_currency_normalised,
+    "json_roundtrip_currency": q_json_roundtrip_currency,
+    "feed_event_log": q_feed_event_log,
 }

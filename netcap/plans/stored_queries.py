@@ -7,36 +7,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netcap.operators.eventlog import event_log_rows
 from netcap.operators.position import capital_position
-from netcap.operators.reports import position
+from netcap.operators.reports import position, table_counts
 from netcap.operators.snapshot import official_position, take_snapshot
 from netcap.plans.queries import LOOKUP_KEY, present
 from netcap.session import work_dir
 from netcap.sources import tables
 from netcap.sources.adapters import events_frame_to_capital, events_from_events, read_table
-from netcap.streaming.changelog_stream import changelog_stream
+from netcap.sources.feeds import read_feed
+from netcap.sources.publish import to_messages
+from netcap.streaming.changelog_stream import read_changelog, start_changelog_stream
 from netcap.streaming.position_stream import (
-    file_event_stream, run_to_completion, start_position_stream, use_rocksdb,
+    file_event_stream, run_to_completion, start_feed_job, start_position_stream,
 )
 
-STREAM_TIMEOUT_S = 3600
+WAVES = 5
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, path: str | None = None,
-                  max_files: int | None = None) -> DataFrame:
+def _event_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """``events.parquet`` (one file or a folder of part files), or ``path``, as a stream."""
     schema = read_table(spark, sf_dir, "events").schema
-    if path is None:
-        raw = file_event_stream(spark, sf_dir, schema, glob="events.parquet")
-    else:
-        raw = file_event_stream(spark, path, schema, max_files_per_trigger=max_files)
-    return events_frame_to_capital(raw)
+    # A pattern that matches this name only: a plain path would have to be a folder.
+    path = path or f"{sf_dir.rstrip('/')}/events.parque[t]"
+    return events_frame_to_capital(file_event_stream(spark, path, schema))
 
 
 def _run_stream(spark, events, name, mode, with_log=False):
     root = work_dir(spark, name)
     log = f"{root}/event_log" if with_log else None
-    q = start_position_stream(events, root, f"{root}/_checkpoint", mode=mode, log_path=log)
-    run_to_completion(q, STREAM_TIMEOUT_S)
+    run_to_completion(start_position_stream(events, root, f"{root}/_checkpoint", mode=mode,
+                                            log_path=log))
     return root
 
 
@@ -59,18 +60,72 @@ def q_stream_event_log(spark, sf_dir):
 
 
 def q_late_replay(spark, sf_dir):
-    """The events table cut into five files by user (each file spans the
-    whole month), replayed one file per micro-batch: every batch brings
+    """The events cut into waves by user (each spans the whole month). Each wave's
+    files arrive, then the job resumes from its checkpoint: every run brings
     events for dates already in the state."""
     root = work_dir(spark, "late_replay")
-    src = f"{root}/input"
-    read_table(spark, sf_dir, "events").repartition(5, "user_id").write.parquet(src)
-    ev = _event_stream(spark, sf_dir, path=src, max_files=1)
-    q = start_position_stream(ev, root, f"{root}/_checkpoint", mode="stateful")
-    run_to_completion(q, STREAM_TIMEOUT_S)
+    src, events = f"{root}/input", read_table(spark, sf_dir, "events")
+    for wave in range(WAVES):
+        events.filter(F.pmod("user_id", F.lit(WAVES)) == wave).write.mode("append").parquet(src)
+        run_to_completion(start_position_stream(_event_stream(spark, sf_dir, path=src), root,
+                                                f"{root}/_checkpoint", mode="stateful"))
     return present(tables.read_state(spark, tables.state_path(root, "stateful"), "stateful"))
 
 
+def damaged(messages: DataFrame) -> DataFrame:
+    """The messages as a bad line would deliver some, by their event's id (the
+    twin's offset): cut short, of a strange topic, without value, with an amount beyond
+    any decimal, or with an item before the good one that is no object."""
+    k = F.pmod("offset", F.lit(50))
+    value = F.col("value")
+    return messages.withColumns({
+        "value": F.when(k == 0, F.substring(value, F.lit(1), F.length(value) - 5))
+        .when(k == 2, F.lit(None))
+        .when(k == 3, F.regexp_replace(value, '"tzsAmount":[^,}]*', '"tzsAmount":1e40'))
+        .when(k == 4, F.regexp_replace(value, r"^(\{[^\[]*\[)", "$1 5,"))
+        .otherwise(value),
+        "topic": F.when(k == 1, F.lit("capital-drafts")).otherwise(F.col("topic"))})
+
+
+def _run_feed(spark, sf_dir, name):
+    """Events -> messages, some damaged, in a file twin -> the whole feed job."""
+    root = work_dir(spark, name)
+    damaged(to_messages(events_from_events(spark, sf_dir))).write.parquet(f"{root}/feed")
+    records = read_feed(spark, "parquet", f"{root}/feed")
+    run_to_completion(start_feed_job(records, root, f"{root}/_checkpoint"))
+    return root
+
+
+def q_feed_stream_position(spark, sf_dir):
+    root = _run_feed(spark, sf_dir, "feed_position")
+    return present(tables.read_state(spark, tables.state_path(root, "partials"), "partials"))
+
+
+def q_feed_stream_log(spark, sf_dir):
+    root = _run_feed(spark, sf_dir, "feed_log")
+    return present(tables.read_event_log(spark, f"{root}/event_log").drop("batch_id",
+                                                                           "raw_payload"))
+
+
+def q_feed_dead_letter(spark, sf_dir):
+    root = _run_feed(spark, sf_dir, "feed_dead_letter")
+    return spark.read.parquet(f"{root}/dead_letter").groupBy("topic", "reason").agg(
+        F.count(F.lit(1)).alias("messages"))
+
+
+def q_table_counts(spark, sf_dir):
+    """State, log and snapshot as stored tables, each counted once."""
+    root = work_dir(spark, "table_counts")
+    ev = events_from_events(spark, sf_dir)
+    tables.write_state_table(capital_position(ev), f"{root}/state")
+    state = tables.read_state_table(spark, f"{root}/state")
+    tables.append_event_log(event_log_rows(ev), 0, f"{root}/log")
+    tables.append_snapshot(take_snapshot(state), f"{root}/snapshot")
+    return table_counts(capital_state=state,
+                        capital_event_log=tables.read_event_log(spark, f"{root}/log"),
+                        capital_snapshot=tables.read_snapshots(spark, f"{root}/snapshot"))
+
+
 def q_stored_state_lookup(spark, sf_dir):
     root = work_dir(spark, "stored_state")
     tables.write_state_table(capital_position(events_from_events(spark, sf_dir)), root)
@@ -92,17 +147,12 @@ def q_stored_official_position(spark, sf_dir):
 
 
 def q_changelog_stream(spark, sf_dir):
-    """Per-event changelog from the keyed-state stream, written as append
-    files and read back; equal to the batch changelog when each key's
-    events arrive in time order."""
-    use_rocksdb(spark)
+    """Per-event changelog of the stream, written per batch and read back; equal
+    to the batch changelog when each key's events arrive in time order."""
     root = work_dir(spark, "changelog_stream")
-    out = f"{root}/changelog"
-    q = (changelog_stream(_event_stream(spark, sf_dir)).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", f"{root}/_checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
-    run_to_completion(q, STREAM_TIMEOUT_S)
-    return present(spark.read.parquet(out))
+    run_to_completion(start_changelog_stream(_event_stream(spark, sf_dir), root,
+                                             f"{root}/_checkpoint"))
+    return present(read_changelog(spark, root))
 
 
 STORED_QUERIES = {
@@ -111,6 +161,10 @@ STORED_QUERIES = {
     "position_stream_partials": q_position_stream_partials,
     "stream_event_log": q_stream_event_log,
     "late_replay": q_late_replay,
+    "feed_stream_position": q_feed_stream_position,
+    "feed_stream_log": q_feed_stream_log,
+    "feed_dead_letter": q_feed_dead_letter,
+    "table_counts": q_table_counts,
     "stored_state_lookup": q_stored_state_lookup,
     "stored_official_position": q_stored_official_position,
 }

@@ -1,128 +1,50 @@
-"""Per-event changelog on a stream: keyed value state, one output row per
-event (the reference's process function: load or initialise, apply, store,
-emit).
+"""Per-event changelog on a stream: one output row per event (the reference's
+process function: load or initialise, apply, store, emit).
 
 A micro-batch collapses several updates of one key into one row in the
-streaming aggregation; this job keeps each step. It is the one place that
-needs Python: ``transformWithStateInPandas`` receives the events of one
-key in one micro-batch as Arrow batches, sorts them by (ingestion_time,
-event_id) and emits running totals starting from the stored state. The
-group is bounded by the trigger's batch size, not by the key's history.
-For a whole history at once use the batch ``position_changelog``, which
-splits hot keys.
+streaming aggregation; this job keeps each step. Each micro-batch runs the batch
+changelog (JVM-side, hot keys split) from the keys' state before it, which the
+partial sums of earlier batches give, then writes its rows and its own partial sums.
+Both outputs are folders by batch id, overwritten on a retry, and a batch reads
+partials of smaller ids only: exactly once. Rows continue in order of arrival: they
+equal the batch changelog of all events where a key's events arrive in time order.
 """
 
 from __future__ import annotations
 
-import sys
-from decimal import Decimal
-from typing import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
-from pyspark import cloudpickle
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from netcap.operators.changelog import CHANGELOG_COLUMNS
-from netcap.operators.position import prepare_events
-from netcap.schemas import KEY, MONEY, SOURCE_TYPES, TOTAL_COLUMNS, UPDATE_COLUMNS
-
-# Totals travel as exact decimal text in the state; times as NTZ.
-STATE_SCHEMA = T.StructType(
-    [T.StructField(TOTAL_COLUMNS[s], T.StringType()) for s in SOURCE_TYPES]
-    + [T.StructField(UPDATE_COLUMNS[s], T.TimestampNTZType()) for s in SOURCE_TYPES]
-    + [T.StructField("last_computed_at", T.TimestampNTZType()),
-       T.StructField("event_count", T.LongType())])
-
-OUTPUT_SCHEMA = T.StructType(
-    [T.StructField("event_id", T.LongType()), T.StructField("source_type", T.StringType()),
-     T.StructField("ingestion_time", T.TimestampNTZType()),
-     T.StructField("fsp_id", T.StringType()), T.StructField("sector", T.StringType()),
-     T.StructField("reporting_date", T.DateType())]
-    + [T.StructField(TOTAL_COLUMNS[s], MONEY) for s in SOURCE_TYPES]
-    + [T.StructField("net_core_capital", MONEY)]
-    + [T.StructField(UPDATE_COLUMNS[s], T.TimestampNTZType()) for s in SOURCE_TYPES]
-    + [T.StructField("last_computed_at", T.TimestampNTZType()),
-       T.StructField("event_count", T.LongType())])
-
-_Q = Decimal("0.0001")
-
-
-def _py_ts(v):
-    return None if v is None or pd.isna(v) else pd.Timestamp(v).to_pydatetime()
-
-
-class PositionChangelogProcessor(StatefulProcessor):
-    """Keyed fold emitting the new position after every event."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("position", STATE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["ingestion_time", "event_id"], kind="mergesort",
-                                  ignore_index=True)
-        if self.state.exists():
-            st = self.state.get()
-            start = {s: Decimal(st[i]) for i, s in enumerate(SOURCE_TYPES)}
-            prev_upd = {s: st[4 + i] for i, s in enumerate(SOURCE_TYPES)}
-            prev_computed, prev_count = st[8], int(st[9])
-        else:
-            start = {s: Decimal(0) for s in SOURCE_TYPES}
-            prev_upd = {s: None for s in SOURCE_TYPES}
-            prev_computed, prev_count = None, 0
-        src = batch["source_type"].to_numpy()
-        amount = batch["amount"].map(lambda a: Decimal(0) if a is None or pd.isna(a) else a)
-        times = batch["ingestion_time"]
-        out = pd.DataFrame({
-            "event_id": batch["event_id"], "source_type": batch["source_type"],
-            "ingestion_time": times, "fsp_id": key[0], "sector": key[1],
-            "reporting_date": key[2]})
-        # running totals: exact decimal cumulative sums (object arrays)
-        for s in SOURCE_TYPES:
-            part = np.where(src == s, amount.to_numpy(dtype=object), Decimal(0))
-            out[TOTAL_COLUMNS[s]] = np.cumsum(np.concatenate([[start[s]], part]))[1:]
-        out["net_core_capital"] = (out[TOTAL_COLUMNS["SHARE"]] + out[TOTAL_COLUMNS["RESERVE"]]
-                                   - out[TOTAL_COLUMNS["DIVIDEND"]]
-                                   - out[TOTAL_COLUMNS["DEDUCTION"]])
-        for c in [TOTAL_COLUMNS[s] for s in SOURCE_TYPES] + ["net_core_capital"]:
-            out[c] = out[c].map(lambda d: d.quantize(_Q))
-        # running last-update times, continuing from the stored ones
-        for s in SOURCE_TYPES:
-            upd = times.where(src == s).cummax().ffill()
-            if prev_upd[s] is not None:
-                upd = upd.fillna(pd.Timestamp(prev_upd[s])).clip(lower=pd.Timestamp(prev_upd[s]))
-            out[UPDATE_COLUMNS[s]] = upd
-        computed = times.cummax()
-        if prev_computed is not None:
-            computed = computed.clip(lower=pd.Timestamp(prev_computed))
-        out["last_computed_at"] = computed
-        out["event_count"] = np.arange(prev_count + 1, prev_count + len(batch) + 1, dtype="int64")
-        last = out.iloc[-1]
-        self.state.update((*[str(last[TOTAL_COLUMNS[s]]) for s in SOURCE_TYPES],
-                           *[_py_ts(last[UPDATE_COLUMNS[s]]) for s in SOURCE_TYPES],
-                           _py_ts(last["last_computed_at"]), int(last["event_count"])))
-        yield out[CHANGELOG_COLUMNS_ORDER]
-
-    def close(self) -> None:
-        pass
-
-
-CHANGELOG_COLUMNS_ORDER = [f.name for f in OUTPUT_SCHEMA.fields]
-
-# The processor is shipped to Python workers by value (with the constants
-# it uses), so workers need no installed copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def changelog_stream(events: DataFrame, sector_mode: str = "submitted") -> DataFrame:
-    """Streaming frame of changelog rows (append mode). Needs the RocksDB
-    state store provider (``use_rocksdb``) set before the first start."""
-    ev = prepare_events(events, sector_mode).select(
-        *KEY, "event_id", "source_type", "amount", "ingestion_time")
-    out = ev.groupBy(*KEY).transformWithStateInPandas(
-        statefulProcessor=PositionChangelogProcessor(), outputStructType=OUTPUT_SCHEMA,
-        outputMode="Append", timeMode="None")
-    return out.select(*CHANGELOG_COLUMNS)
+from pyspark.sql.streaming import StreamingQuery
+
+from netcap.operators.changelog import CHANGELOG_COLUMNS, position_changelog
+from netcap.operators.position import capital_position
+from netcap.sources import tables
+from netcap.streaming.position_stream import start_batches
+
+
+def changelog_batch(batch: DataFrame, batch_id: int, root: str,
+                    sector_mode: str = "submitted") -> None:
+    """One micro-batch: its changelog rows and its partial sums below ``root``."""
+    state = tables.state_path(root, "partials")
+    batch.persist()
+    try:
+        try:
+            start = tables.read_state(batch.sparkSession, state, "partials", before_batch=batch_id)
+        except FileNotFoundError:
+            start = None
+        tables.write_delta(position_changelog(batch, sector_mode, start=start), batch_id,
+                           f"{root}/changelog")
+        tables.write_delta(capital_position(batch, sector_mode), batch_id, state)
+    finally:
+        batch.unpersist()
+
+
+def start_changelog_stream(events: DataFrame, root: str, checkpoint: str,
+                           sector_mode: str = "submitted",
+                           trigger: dict | None = None) -> StreamingQuery:
+    """Write ``root``/changelog and the partial sums it needs."""
+    return start_batches(events, lambda df, bid: changelog_batch(df, bid, root, sector_mode),
+                         checkpoint, trigger)
+
+
+def read_changelog(spark, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/changelog").select(*CHANGELOG_COLUMNS)

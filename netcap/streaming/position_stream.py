@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from netcap.operators.eventlog import event_log_rows
 from netcap.operators.position import capital_position
 from netcap.sources import tables
+from netcap.sources.feeds import decode_feed
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -41,31 +42,68 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"availableNow": True}))
 
 
+def start_batches(frame: DataFrame, write, checkpoint: str, trigger: dict | None = None,
+                  query_name: str | None = None) -> StreamingQuery:
+    """Start ``write(batch, batch_id)`` on every micro-batch."""
+    w = frame.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w.queryName(query_name) if query_name else w, trigger).start()
+
+
 def start_position_stream(events: DataFrame, root: str, checkpoint: str,
                           mode: str = "stateful", sector_mode: str = "submitted",
                           log_path: str | None = None, trigger: dict | None = None,
-                          query_name: str | None = None) -> StreamingQuery:
+                          query_name: str | None = None, sink=None) -> StreamingQuery:
     """Start the job writing the state below ``root`` (``state_<mode>``).
 
     ``trigger`` defaults to ``availableNow`` (drain what is there, then
     stop); pass ``{"processingTime": "1 second"}`` for a continuous job. A
     fresh ``checkpoint`` and ``root`` rebuild everything from the earliest
     offset (the reference's only recovery); an existing checkpoint resumes.
+
+    ``sink(batch, batch_id)`` takes the changed keys' absolute totals instead of the
+    delta folder (``tables.jdbc_state_writer``); it needs ``mode="stateful"``,
+    which keeps its state in RocksDB.
     """
     path = tables.state_path(root, mode)
     if mode == "stateful":
-        agg = position_stream(events, sector_mode)
-        w = (agg.writeStream.outputMode("update")
-             .foreachBatch(lambda df, bid: tables.upsert_state(df, bid, path)))
         if log_path is not None:
             raise ValueError("the event log needs mode='partials' (one scan feeding both sinks)")
-    else:
-        w = events.writeStream.foreachBatch(
-            lambda df, bid: fold_batch(df, bid, path, log_path, sector_mode))
-    w = w.option("checkpointLocation", checkpoint)
-    if query_name:
-        w = w.queryName(query_name)
-    return _trigger(w, trigger).start()
+        use_rocksdb(events.sparkSession)
+        write = sink or (lambda df, bid: tables.upsert_state(df, bid, path))
+        w = (position_stream(events, sector_mode).writeStream.outputMode("update")
+             .foreachBatch(write).option("checkpointLocation", checkpoint))
+        return _trigger(w.queryName(query_name) if query_name else w, trigger).start()
+    if sink is not None:
+        raise ValueError("a sink of absolute totals needs mode='stateful'")
+    return start_batches(
+        events, lambda df, bid: fold_batch(df, bid, path, log_path, sector_mode),
+        checkpoint, trigger, query_name)
+
+
+def start_feed_job(records: DataFrame, root: str, checkpoint: str,
+                   sector_mode: str = "submitted", missing_fsp: str = "unknown",
+                   trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+    """The whole job: records of the four feeds (``feeds.read_feed``) are decoded
+    and folded. One ``foreachBatch`` on one scan writes, below ``root``, the partial
+    position (``state_partials``), the event log (``event_log``) and what can't
+    be decoded (``dead_letter``: raw, topic, reason)."""
+    return start_batches(
+        records, lambda df, bid: feed_batch(df, bid, root, sector_mode, missing_fsp),
+        checkpoint, trigger, query_name)
+
+
+def feed_batch(records: DataFrame, batch_id: int, root: str, sector_mode: str = "submitted",
+               missing_fsp: str = "unknown") -> None:
+    """One micro-batch of records into state, log and dead letter. The records are
+    kept once; all three folders are by batch id, so a retry replaces them."""
+    records.persist()
+    try:
+        events, dead = decode_feed(records, missing_fsp)
+        tables.write_delta(dead, batch_id, f"{root}/dead_letter")
+        fold_batch(events, batch_id, tables.state_path(root, "partials"), f"{root}/event_log",
+                   sector_mode)
+    finally:
+        records.unpersist()
 
 
 def fold_batch(batch: DataFrame, batch_id: int, state_dir: str, log_path: str | None,
@@ -93,8 +131,12 @@ def start_console(events: DataFrame, sector_mode: str = "submitted",
 
 
 def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for an ``availableNow`` query and surface its failure."""
-    query.awaitTermination(timeout_s)
+    """Wait for an ``availableNow`` query, however long it takes unless
+    ``timeout_s`` is given, and surface its failure."""
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish")
@@ -113,5 +155,6 @@ def file_event_stream(spark: SparkSession, path: str, schema, glob: str | None =
     return r.load(path)
 
 
-__all__ = ["ROCKSDB", "file_event_stream", "fold_batch", "position_stream",
-           "run_to_completion", "start_console", "start_position_stream", "use_rocksdb"]
+__all__ = ["ROCKSDB", "feed_batch", "file_event_stream", "fold_batch", "position_stream",
+           "run_to_completion", "start_batches", "start_console", "start_feed_job",
+           "start_position_stream", "use_rocksdb"]

@@ -13,7 +13,7 @@ def test_last_row_per_key_equals_state(spark):
                fsp=f"FSP00{rnd.randint(1, 3)}", at=T0 + dt.timedelta(seconds=rnd.randint(0, 10 ** 6)))
             for i in range(500)]
     df = events_df(spark, rows)
-    cl = position_changelog(df, partitions=7).collect()
+    cl = position_changelog(df, bucket_seconds=5000).collect()
     assert len(cl) == 500
     last = {}
     for r in cl:
@@ -26,12 +26,30 @@ def test_last_row_per_key_equals_state(spark):
         assert r.last_share_update == s.last_share_update
 
 
-def test_hot_key_split_across_partitions(spark):
-    # one key holds most events; with 16 range partitions it spans many of them
+def test_hot_key_split_across_buckets(spark):
+    # one key holds most events; a bucket of a minute cuts it into 34 chunks
     rows = [ev(i, "SHARE", 1, at=T0 + dt.timedelta(seconds=i)) for i in range(2000)]
     rows += [ev(10_000 + i, "RESERVE", 2, fsp="FSP009", at=T0 + dt.timedelta(seconds=i))
              for i in range(50)]
-    cl = position_changelog(events_df(spark, rows), partitions=16)
+    cl = position_changelog(events_df(spark, rows), bucket_seconds=60)
     hot = sorted((r.event_count, int(r.share_capital_total)) for r in cl.collect()
                  if r.fsp_id == "FSP001")
     assert hot == [(n, n) for n in range(1, 2001)]
+
+
+def test_bucket_width_and_start_change_nothing(spark):
+    rnd = random.Random(9)
+    rows = [ev(i, rnd.choice(["SHARE", "RESERVE", "DIVIDEND", "DEDUCTION"]), rnd.randint(1, 99),
+               fsp=f"FSP00{rnd.randint(1, 2)}", at=T0 + dt.timedelta(seconds=i // 3 * 40))
+            for i in range(300)]
+    rows += [ev(900 + i, "SHARE", 1, fsp="FSP001", at=None) for i in range(3)]
+    whole = sorted(map(str, position_changelog(events_df(spark, rows), bucket_seconds=10 ** 6)
+                       .collect()))
+    for width in (1, 60, 3600):
+        assert sorted(map(str, position_changelog(events_df(spark, rows), bucket_seconds=width)
+                          .collect())) == whole
+    first, second = [*rows[300:], *rows[:150]], rows[150:300]
+    start = capital_position(events_df(spark, first))
+    parts = (position_changelog(events_df(spark, first)).collect()
+             + position_changelog(events_df(spark, second), start=start).collect())
+    assert sorted(map(str, parts)) == whole

@@ -33,12 +33,21 @@ def test_fact_table_never_broadcast(spark):
 
 def test_payload_parsed_once(spark):
     p = _plan(QUERIES["json_roundtrip_position"](spark, SF_SMALL))
-    assert p.count("from_json") == 1
+    assert p.count("parseJson") == 1
 
 
 def test_changelog_has_no_window_over_the_bare_key(spark):
     p = _plan(QUERIES["position_changelog"](spark, SF_SMALL))
-    # every window over raw events is partitioned by the range partition id too
-    for line in p.split("\n"):
-        if "Window [" in line and "event_count" in line:
-            assert "_pid" in line
+    final = p.split("== Initial Plan ==")[0]
+    windows = [line for line in final.split("\n") if "Window [" in line]
+    # one over the chunks' totals, ordered by bucket; one over the events of a chunk
+    over_events = [w for w in windows if "event_id" in w]
+    assert len(windows) == 2 and len(over_events) == 1
+    assert "_bucket" in over_events[0].split("], [")[1]
+
+
+def test_changelog_shuffles_events_once_and_keeps_nothing(spark):
+    p = _plan(QUERIES["position_changelog"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    # the events' exchange carries their ids, the chunks' exchanges don't
+    assert sum("Exchange" in x and "rangepartitioning" in x for x in p.split("\n")) == 0
+    assert "Scan ExistingRDD" not in p and "InMemoryTableScan" not in p

@@ -48,7 +48,7 @@ def test_order_free_and_sums_agree(spark, rows, seed):
 def test_last_changelog_row_is_state(spark, rows):
     df = _events(spark, rows)
     last = {}
-    for r in position_changelog(df, partitions=3).collect():
+    for r in position_changelog(df, bucket_seconds=60).collect():
         k = (r.fsp_id, r.sector, r.reporting_date)
         if k not in last or r.event_count > last[k][1]:
             last[k] = (r.net_core_capital, r.event_count)

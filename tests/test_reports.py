@@ -105,3 +105,42 @@ def test_two_snapshots_official_is_later(spark):
     assert both.count() == 2
     off = official_position(both).collect()
     assert len(off) == 1 and off[0].share_capital_total == Decimal("3.0000")
+
+
+def test_zoned_as_of_is_converted(spark):
+    st = _state(spark, _all_four(T0))
+    for as_of in ("2024-01-15T13:00:00+03:00", "2024-01-15 10:00:00",
+                  dt.datetime(2024, 1, 15, 5, tzinfo=dt.timezone(dt.timedelta(hours=-5)))):
+        r = with_freshness(st, as_of).collect()[0]
+        assert r.share_age_sec == 0 and r.freshness_status == "LIVE"
+
+
+def test_document_keeps_missing_ages_and_exact_numbers(spark):
+    st = _state(spark, [ev(1, "SHARE", "1234567890123456.7000"), ev(2, "RESERVE", 20)])
+    text = position_report(st, T0).collect()[0].report_json
+    assert '"dividend":{"fresh":false,"ageSec":null}' in text
+    assert '"shareCapital":1234567890123456.7,"reserves":20,"dividendsPayable":0,' in text
+    assert '"asOf":"2024-01-15T10:00:00.000Z"' in text
+
+
+def test_printed_layout(spark):
+    rows = [ev(1, "SHARE", "8000000000", at=T0 + dt.timedelta(minutes=1)),
+            ev(2, "RESERVE", "5200000000", at=T0 - dt.timedelta(minutes=2)),
+            ev(3, "DIVIDEND", "500000000", at=T0),
+            ev(4, "DEDUCTION", "300000000", at=T0 - dt.timedelta(minutes=5))]
+    assert printed_report(_state(spark, rows)).collect()[0].report_text.split("\n") == [
+        "Realtime Capital Position", "As of: 10:01:00", "",
+        "Share Capital:        8.0B  (10:01)", "Reserves:             5.2B  (09:58)",
+        "Dividends Payable:    0.5B  (10:00)", "Deductions:           0.3B  (09:55)", "",
+        "Net Core Capital:     12.4B"]
+
+
+def test_printed_rollup_has_every_level(spark):
+    from netcap.operators.reports import printed_rollup
+    rows = [ev(1, "SHARE", "1000000000", sector="A"),
+            ev(2, "SHARE", "2000000000", sector="B", fsp="FSP002")]
+    got = {(r.level, r.fsp_id or r.sector): r.report_text
+           for r in printed_rollup(_state(spark, rows)).collect()}
+    assert set(got) == {("sector", "A"), ("sector", "B"), ("fsp", "FSP001"), ("fsp", "FSP002"),
+                        ("market", None)}
+    assert "Net Core Capital:     3.0B" in got["market", None]

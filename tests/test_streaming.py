@@ -1,13 +1,16 @@
 import datetime as dt
 import os
 
+import pytest
+from conftest import SF_SMALL
 from helpers import T0, ev, events_df
 
 from netcap.operators.position import capital_position
 from netcap.schemas import EVENT_SCHEMA
 from netcap.sources import tables
 from netcap.streaming.position_stream import (
-    file_event_stream, run_to_completion, start_console, start_position_stream,
+    ROCKSDB, file_event_stream, run_to_completion, start_console, start_feed_job,
+    start_position_stream,
 )
 
 
@@ -51,19 +54,27 @@ def test_replayed_batch_id_changes_nothing(spark, tmp_dir):
     assert sorted(tables.read_state(spark, path, "partials").collect()) == first
 
 
-def test_compaction_keeps_state(spark, tmp_dir):
-    for mode in ("stateful", "partials"):
-        path = tables.state_path(tmp_dir, mode)
-        for b in range(3):
-            rows = _rows(b * 100, 8, "2024-01-15", T0 + dt.timedelta(hours=b))
-            st = capital_position(events_df(spark, rows if mode == "partials" else
-                                            [r for x in range(b + 1) for r in
-                                             _rows(x * 100, 8, "2024-01-15",
-                                                   T0 + dt.timedelta(hours=x))]))
-            tables.write_delta(st, b, path)
-        before = sorted(tables.read_state(spark, path, mode).collect())
-        tables.compact_state(spark, path, mode, 1)
-        assert sorted(tables.read_state(spark, path, mode).collect()) == before
+def test_reader_tells_missing_from_unreadable(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        tables.read_state(spark, f"{tmp_dir}/nothing", "partials")
+    os.makedirs(f"{tmp_dir}/bad/batch_id=0")
+    with open(f"{tmp_dir}/bad/batch_id=0/x.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception) as e:
+        tables.read_state(spark, f"{tmp_dir}/bad", "partials").collect()
+    assert not isinstance(e.value, FileNotFoundError)
+
+
+def test_state_of_earlier_batches_only(spark, tmp_dir):
+    path = tables.state_path(tmp_dir, "partials")
+    for b in range(3):
+        tables.write_delta(capital_position(events_df(spark, _rows(b * 100, 4, "2024-01-15", T0))),
+                           b, path)
+    counts = [tables.read_state(spark, path, "partials", before_batch=b).groupBy().sum(
+        "event_count").first()[0] for b in (0, 1, 3)]
+    assert counts == [None, 4, 12]
+    plan = tables.read_state(spark, path, "partials", before_batch=1)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
 
 
 def test_console_sink_runs(spark, tmp_dir):
@@ -76,23 +87,66 @@ def test_console_sink_runs(spark, tmp_dir):
 
 def test_changelog_stream_continues_state_across_batches(spark, tmp_dir):
     from netcap.operators.changelog import position_changelog
-    from netcap.streaming.changelog_stream import changelog_stream
-    from netcap.streaming.position_stream import use_rocksdb
+    from netcap.streaming.changelog_stream import (
+        changelog_batch, read_changelog, start_changelog_stream,
+    )
 
-    use_rocksdb(spark)
     src = f"{tmp_dir}/in"
     os.makedirs(src)
     chunks = [_rows(0, 12, "2024-01-15", T0), _rows(100, 12, "2024-01-15", T0 + dt.timedelta(hours=1)),
               _rows(200, 12, "2024-01-15", T0 + dt.timedelta(hours=2))]
     _write_files(spark, src, chunks)
     stream = file_event_stream(spark, src + "/*", EVENT_SCHEMA, max_files_per_trigger=1)
-    out = f"{tmp_dir}/out"
-    q = (changelog_stream(stream).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
-    run_to_completion(q, 600)
-    got = sorted(spark.read.parquet(out).collect())
+    run_to_completion(start_changelog_stream(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck"), 600)
+    got = sorted(read_changelog(spark, f"{tmp_dir}/out").collect())
     expected = sorted(position_changelog(events_df(spark, [r for c in chunks for r in c])).collect())
     assert got == expected
+    changelog_batch(events_df(spark, chunks[1]), 1, f"{tmp_dir}/out")  # a retried batch
+    assert sorted(read_changelog(spark, f"{tmp_dir}/out").collect()) == expected
+
+
+def test_whole_feed_job_writes_state_log_and_dead_letter(spark, tmp_dir):
+    from netcap.operators.eventlog import event_log_rows
+    from netcap.sources.feeds import read_feed
+    from netcap.sources.publish import to_messages
+
+    chunks = [_rows(0, 8, "2024-01-15", T0), _rows(100, 8, "2024-01-14", T0)]
+    for i, rows in enumerate(chunks):
+        (to_messages(events_df(spark, rows)).unionByName(
+            to_messages(events_df(spark, rows[:1])).selectExpr(
+                "key", "'{' AS value", "topic", "partition", "offset", "timestamp", "headers"))
+         .coalesce(1).write.parquet(f"{tmp_dir}/feed/f{i}"))
+    records = read_feed(spark, "parquet", f"{tmp_dir}/feed/*", {"maxFilesPerTrigger": "1"})
+    run_to_completion(start_feed_job(records, f"{tmp_dir}/job", f"{tmp_dir}/ck"), 600)
+    everything = events_df(spark, [r for c in chunks for r in c])
+    assert sorted(tables.read_state(spark, f"{tmp_dir}/job/state_partials", "partials").collect()
+                  ) == sorted(capital_position(everything).collect())
+    log = tables.read_event_log(spark, f"{tmp_dir}/job/event_log")
+    assert log.count() == event_log_rows(everything).count() == 16
+    assert {r.reason for r in spark.read.parquet(f"{tmp_dir}/job/dead_letter").collect()} == {
+        "malformed"}
+
+
+def test_streams_read_a_folder_of_part_files(spark, tmp_dir):
+    from netcap.plans import QUERIES
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(5).write.parquet(
+        f"{tmp_dir}/events.parquet")
+    want = sorted(map(str, QUERIES["capital_position"](spark, SF_SMALL).collect()))
+    for name in ("position_stream", "position_stream_partials", "late_replay"):
+        assert sorted(map(str, QUERIES[name](spark, tmp_dir).collect())) == want, name
+    for name, batch in (("stream_event_log", "event_log"), ("changelog_stream", "position_changelog")):
+        assert QUERIES[name](spark, tmp_dir).count() == QUERIES[batch](spark, SF_SMALL).count()
+
+
+def test_stateful_job_uses_rocksdb(spark, tmp_dir):
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    _write_files(spark, src, [_rows(0, 4, "2024-01-15", T0)])
+    q = start_position_stream(file_event_stream(spark, src + "/*", EVENT_SCHEMA), tmp_dir,
+                              f"{tmp_dir}/ck")
+    run_to_completion(q, 600)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == ROCKSDB
 
 
 def test_restart_resumes_and_fresh_checkpoint_rebuilds(spark, tmp_dir):
