@@ -16,8 +16,8 @@
    is dealt over salts) and the rank's slot in the plan: sequence and offset.
 
 No ids, texts or pieces pass the driver. The plan has at most a few thousand
-entries. Texts are looked at word by word: a bounded cache per worker holds
-ids of words already met; splitting and special tokens are the tokenizer's.
+entries. The ids are the tokenizer's; where its file allows, a faster encoder
+with the same merges computes them, which the tests hold against it.
 
 Defined results: null text counts as empty (one piece holding id 0); a null
 doc_id is kept; repeated rows are packed each; equal rows are
@@ -26,7 +26,11 @@ interchangeable. Extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from math import ceil
 
@@ -40,7 +44,6 @@ from netcap.llm.common import text_or_empty, written
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER_FILE = "byte_bpe_50k.json"
-CACHED_WORDS = 1_000_000     # of a Python worker; more begins anew
 CHUNK = 1 << 20              # characters looked at once
 ROUNDS = 150                 # pricings of one program
 PRICED = 256                 # lengths that one pricing looks at
@@ -55,53 +58,98 @@ PIECE_COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 # ---------------------------------------------------------------- tokens
 
-class _Words(dict):
-    """word -> its ids as little-endian 32-bit bytes; filled by the tokenizer."""
+def unassigned_ranges(database) -> Iterator[tuple[int, int]]:
+    """Ranges of code points without a category in a Unicode database."""
+    start = None
+    for c in range(0x110001):
+        unknown = c < 0x110000 and database.category(chr(c)) == "Cn"
+        if unknown and start is None:
+            start = c
+        elif not unknown and start is not None:
+            yield start, c - 1
+            start = None
+
+
+#: What is left to the tokenizer itself: characters without a category in Unicode 3.2, which
+#: libraries of other versions may split otherwise, and long runs of white space.
+_LONG_SPACE = re.compile(r"\s{200}")
+_NEWER = re.compile("[" + "".join(
+    f"\\U{lo:08x}-\\U{hi:08x}" for lo, hi in unassigned_ranges(unicodedata.ucd_3_2_0)) + "]")
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable ones
+    for themselves, the others are numbered on from 256."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [x for x in range(256) if x not in set(plain)]
+    return {chr(x): x for x in plain} | {chr(256 + k): x for k, x in enumerate(others)}
+
+
+def rank_encoder(path: str):
+    """A faster encoder over the same file, or None if it isn't one whose ids
+    rise with the merges' order (then merging by id is merging by rank)."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(path) as f:
+        file = json.load(f)
+    vocabulary, merges = file["model"].get("vocab"), file["model"].get("merges") or []
+    if (file.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or file.get("normalizer"):
+        return None
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    ids = [vocabulary.get("".join(m), -1) for m in pairs]
+    special = {t["content"] for t in file.get("added_tokens", [])}
+    alphabet = byte_alphabet()
+    if ids != list(range(256, 256 + len(ids))) or not all(
+            c in alphabet for t in vocabulary if t not in special for c in t):
+        return None
+    ranks = {bytes(alphabet[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                             special_tokens={}).encode_ordinary
+
+
+class TextIds:
+    """Ids of texts, as little-endian 32-bit bytes, as the tokenizer gives them."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
-        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.encode = rank_encoder(path)
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = out = np.array(ids, "<u4").tobytes()
-        return out
+    def part(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        strange = not text.isascii() and _NEWER.search(text) or _LONG_SPACE.search(text)
+        ids = (self.encode(text) if self.encode and not strange else
+               self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return array("I", ids).tobytes()
 
     def ids(self, text: str) -> bytes:
         """All ids of a text. Special tokens written out in a text are found
-        before words are split, as the tokenizer does."""
+        before words are split, as the tokenizer does. Long texts are cut where a
+        space follows something else: no word of the pattern goes on there."""
         for content, i in self.special.items():
             if content in text:
-                mark = np.array([i], "<u4").tobytes()
-                return mark.join([self.ids(part) for part in text.split(content)])
-        if len(text) <= CHUNK:
-            return b"".join(map(self.__getitem__, self.split(text)))
+                return array("I", [i]).tobytes().join(map(self.ids, text.split(content)))
         out, at = [], 0
         while at < len(text):
             end = min(len(text), at + CHUNK)
-            # No word of the pattern goes on from a non-space into a space.
             while end < len(text) and not (text[end].isspace() and not text[end - 1].isspace()):
                 end += 1
-            out.append(b"".join(map(self.__getitem__, self.split(text[at:end]))))
+            out.append(self.part(text[at:end]))
             at = end
         return b"".join(out)
 
 
-_WORDS: dict[str, _Words] = {}
+_IDS: dict[str, TextIds] = {}
 
 
-def words(path: str) -> _Words:
-    if path not in _WORDS:
-        _WORDS[path] = _Words(path)
-    return _WORDS[path]
+def text_ids(path: str) -> TextIds:
+    """One per worker and file."""
+    if path not in _IDS:
+        _IDS[path] = TextIds(path)
+    return _IDS[path]
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -120,8 +168,8 @@ def tokenize(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None)
     """Pieces of every document: doc_id, piece, start, length, ids_crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = words(path or default_tokenizer())
-        end = np.array([END_ID], "<u4").tobytes()
+        known = text_ids(path or default_tokenizer())
+        end = array("I", [END_ID]).tobytes()
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):

@@ -1,6 +1,7 @@
 """Plain, brute-force versions of what the operators compute."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -112,3 +113,26 @@ def check_packing(pieces, capacity):
             at += length
         assert at <= capacity
     return Counter(len(v) for v in by_sequence.values())
+
+
+def poisson_copies(rows, seed=42, alpha=0.5):
+    """[(doc_id, source)] -> number of copies of each row, by the inverse distribution."""
+    n = Counter(s for _, s in rows)
+    total = sum(k ** alpha for k in n.values())
+    rate = {s: k ** alpha / total * len(rows) / k for s, k in n.items()}
+    out = []
+    for doc, source in rows:
+        parts = max(1, math.ceil(rate[source] / 16))
+        mean, copies = rate[source] / parts, 0
+        for j in range(1, parts + 1):
+            text = f"{seed}:{'' if doc is None else doc}:{j}"
+            u = int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 2 ** 52
+            p = cdf = math.exp(-mean)
+            k = 0
+            while cdf <= u and k < 95:
+                k += 1
+                p *= mean / k
+                cdf += p
+                copies += 1
+        out.append(copies)
+    return out

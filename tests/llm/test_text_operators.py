@@ -5,7 +5,6 @@ import random
 
 import numpy as np
 import plain
-import public_tokenizers
 import pytest
 
 from hypothesis import given, settings
@@ -151,33 +150,32 @@ def test_tokenize_matches_the_tokenizer(spark, awkward):
 
 
 def test_long_texts_are_split_at_safe_places(monkeypatch):
-    known = packing.words(public_tokenizers.path(packing.TOKENIZER_FILE))
-    text = "one  two\n three\t\tfour   five six " * 40
+    known = packing.text_ids(packing.default_tokenizer())
+    text = "one  two\n three\t\tfour   five six " * 40
     whole = known.ids(text)
     for chunk in (1, 2, 7, 50):
         monkeypatch.setattr(packing, "CHUNK", chunk)
         assert known.ids(text) == whole
 
 
-def test_words_split_like_the_tokenizer_for_all_code_points():
-    """The tokenizer's own splitter and the pattern agree on every character that
-    isn't left to the tokenizer anyway."""
-    known = packing.words(packing.default_tokenizer())
-    pre = known.tokenizer.pre_tokenizer
+def test_the_faster_encoder_agrees_on_all_characters():
+    """On every character that isn't left to the tokenizer anyway."""
+    known = packing.text_ids(packing.default_tokenizer())
+    assert known.encode is not None
     differ = []
-    for c in range(0x20, 0x30000):
-        if 0xD800 <= c < 0xE000 or packing._NEWER.match(chr(c)):
-            continue
-        s = f"a{chr(c)}1{chr(c)}{chr(c)} {chr(c)}."
-        if [s[a:b] for _, (a, b) in pre.pre_tokenize_str(s)] != known.split(s):
-            differ.append(c)
+    for lo in range(0x20, 0x30000, 64):
+        codes = [c for c in range(lo, lo + 64) if not 0xD800 <= c < 0xE000
+                 and not packing._NEWER.match(chr(c))]
+        s = " . ".join(f"a{chr(c)}1{chr(c)}{chr(c)} {chr(c)}" for c in codes)
+        if known.encode(s) != known.tokenizer.encode(s, add_special_tokens=False).ids:
+            differ.append(hex(lo))
     assert not differ
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab'sSé1½.,! \n\t\xa0\u2003日🙂", max_size=40), st.sampled_from([3, 8, 1 << 20]))
 def test_ids_are_the_tokenizers(text, chunk):
-    known = packing.words(packing.default_tokenizer())
+    known = packing.text_ids(packing.default_tokenizer())
     saved, packing.CHUNK = packing.CHUNK, chunk
     try:
         ids = known.ids(text)
@@ -186,8 +184,15 @@ def test_ids_are_the_tokenizers(text, chunk):
     assert np.frombuffer(ids, "<u4").tolist() == plain.ids_of(text, known.tokenizer)[:-1]
 
 
+@pytest.mark.parametrize("text", [" " * 300_000 + "a", "\n" * 5000 + " x" * 50, "a" * 300_000,
+                                  "<|endoftext|>" * 3, "x<|endoftext|> y"])
+def test_ids_of_extreme_texts(text):
+    known = packing.text_ids(packing.default_tokenizer())
+    assert np.frombuffer(known.ids(text), "<u4").tolist() == plain.ids_of(text, known.tokenizer)[:-1]
+
+
 def test_ids_of_a_table_are_the_tokenizers(spark):
-    known = packing.words(packing.default_tokenizer())
+    known = packing.text_ids(packing.default_tokenizer())
     for (text,) in read_table(spark, SF_SMALL, "documents").select("text").collect():
         assert np.frombuffer(known.ids(text), "<u4").tolist() == plain.ids_of(
             text, known.tokenizer)[:-1]
