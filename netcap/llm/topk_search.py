@@ -38,6 +38,7 @@ LEVELS = (4, 16)          # segments, coarse to fine
 CANDIDATES_PER_BLOCK = 4096
 QUERIES_PER_BLOCK = 1024
 PIVOTS = 1024
+QUERIES_AT_ONCE = 32
 
 RESULT = "query_id long, vec_id long, score long"
 
@@ -74,38 +75,43 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
 
 
-def _product(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact integer products; by floats where these hold them exactly."""
-    high = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1]
-    if high < 2 ** 53:
-        return np.rint(x.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    return x @ q
+def _exact(x: np.ndarray, q: np.ndarray) -> bool:
+    """Whether floats hold all products of ``x`` and ``q`` exactly."""
+    return float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1] < 2 ** 53
 
 
 def search_block(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray,
                  p_ids: np.ndarray, p: np.ndarray, k: int,
                  levels: tuple[int, ...] = LEVELS) -> tuple[list, list, list]:
     """Results of the queries ``q`` in one block of candidates ``x``; ``p``: pivots."""
-    xs = [features(x.astype(np.float64), n) for n in levels]
-    qs = [features(q.astype(np.float64), n) for n in levels]
+    xs, qs = ([features(v.astype(np.float64), n) for n in levels] for v in (x, q))
     slack = 1e-9 * (1.0 + np.sqrt((xs[0] ** 2).sum(axis=1).max(initial=0)))
-    first = xs[0] @ qs[0].T
+    give = slack * (1.0 + np.sqrt((qs[0] ** 2).sum(axis=1)))
+    if _exact(x, q) and _exact(p, q):
+        x, q, p = (v.astype(np.float64) for v in (x, q, p))
+    at_least = np.full(len(q_ids), -np.inf)
+    if len(p_ids) > k:
+        known = (p @ q.T).astype(np.float64)
+        known[p_ids[:, None] == q_ids] = -np.inf
+        at_least = np.partition(known, len(known) - k, axis=0)[len(known) - k]
     out_q, out_v, out_s = [], [], []
-    for j in range(len(q_ids)):
-        at_least = -np.inf
-        if len(p_ids) > k:
-            known = _product(p[p_ids != q_ids[j]], q[j])
-            at_least = np.partition(known, len(known) - k)[len(known) - k]
-        give = slack * (1.0 + np.sqrt((qs[0][j] ** 2).sum()))
-        alive = np.flatnonzero((first[:, j] + give >= at_least) & (ids != q_ids[j]))
-        for n in range(1, len(levels)):
-            alive = alive[xs[n][alive] @ qs[n][j] + give >= at_least]
-        scores = _product(x[alive], q[j])
-        best = _best(scores, ids[alive], k)
-        best = best[scores[best] >= at_least]
-        out_q.append(np.full(len(best), q_ids[j]))
-        out_v.append(ids[alive][best])
-        out_s.append(scores[best])
+    for lo in range(0, len(q_ids), QUERIES_AT_ONCE):
+        at = slice(lo, lo + QUERIES_AT_ONCE)
+        rows = np.arange(len(ids))
+        alive = ids[:, None] != q_ids[at]
+        for level_x, level_q in zip(xs, qs, strict=True):
+            # Rows that no query of these needs any more leave after each level.
+            alive &= level_x[rows] @ level_q[at].T + give[at] >= at_least[at]
+            left = alive.any(axis=1)
+            rows, alive = rows[left], alive[left]
+        scores = x[rows] @ q[at].T
+        alive &= scores >= at_least[at]
+        for j, query in enumerate(q_ids[at]):
+            of = np.flatnonzero(alive[:, j])
+            best = of[_best(scores[of, j], ids[rows[of]], k)]
+            out_q.append(np.full(len(best), query))
+            out_v.append(ids[rows[best]])
+            out_s.append(scores[best, j].astype(np.int64))
     return out_q, out_v, out_s
 
 
