@@ -18,6 +18,9 @@ from netcap.sources.adapters import read_table
 __all__ = ["for_workers", "fresh", "hex_long", "hex_unit", "json_string", "read_table",
            "text_or_empty", "with_fields", "written"]
 
+#: Rows of an Arrow batch: with texts of some kilobytes a worker then holds a few megabytes at once.
+BATCH_ROWS = 1000
+
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared ``spark.checkpoint.dir`` and read
@@ -62,7 +65,8 @@ def with_fields(df: DataFrame, **kinds: object) -> StructType:
 
 def for_workers(query: Callable) -> Callable:
     """A query whose Python workers find this package where the driver has it
-    (one machine or a shared path); elsewhere it comes with ``--py-files``."""
+    (one machine or a shared path; elsewhere it comes with ``--py-files``) and get
+    Arrow batches of at most ``BATCH_ROWS`` rows."""
 
     @wraps(query)
     def run(spark: SparkSession, *args):
@@ -71,6 +75,8 @@ def for_workers(query: Callable) -> Callable:
         paths = env.get("PYTHONPATH", "").split(os.pathsep)
         if root not in paths:
             env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+        rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        spark.conf.set(rows, str(min(BATCH_ROWS, int(spark.conf.get(rows)) or BATCH_ROWS)))
         return query(spark, *args)
 
     return run

@@ -34,7 +34,7 @@ from netcap.llm.common import text_or_empty, with_fields
 
 DIMENSIONS = 1024
 UNDETERMINED = "und"
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 FOLDS = 5
 
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -102,7 +102,7 @@ def bundles(of: np.ndarray, at: np.ndarray, n: int, vectors: np.ndarray) -> np.n
     if not v:
         return out
     dense = vectors.astype(np.float32)
-    step = max(1, 8_000_000 // v)
+    step = max(1, 2_000_000 // v)
     order = np.argsort(of, kind="stable")
     of, at = of[order], at[order]
     for lo in range(0, n, step):
