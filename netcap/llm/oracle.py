@@ -181,11 +181,31 @@ select d.doc_id, coalesce(n_lines, 0)::int n_lines, coalesce(n_deleted, 0)::int
 from d left join kept k on k.doc_id = d.doc_id and k.tx = d.tx"""
 
 
+def _ngram_join() -> str:
+    return """
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') w from documents),
+s as (select doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) < 5
+    then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 3),
+      lambda i: array_to_string(w[i:i + 4], ' '))) end) sh from w),
+n as (select doc_id, count(*) n from s group by doc_id),
+met as (select a.doc_id x, b.doc_id y, count(*) k from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id
+         group by 1, 2),
+links as (select x, y from met join n a on a.doc_id = x join n b on b.doc_id = y
+          where 100 * k >= 75 * (a.n + b.n - k)),
+edges as (select x, y from links union all select y, x from links),
+reached as (select doc_id, doc_id root from w
+            union select edges.y, root from reached join edges on edges.x = reached.doc_id)
+select w.doc_id, coalesce(any_value(n), 0) n_shingles, min(root) component_id
+from w join reached using (doc_id) left join n using (doc_id) group by w.doc_id"""
+
+
 ORACLE_SQL = {
     "op1_exact_topk": _topk(),
     "op2_warc_revisits": _warc(),
     "op3_poisson_mix": _mixing(),
     "op4_line_dedup": _line_dedup(),
+    "op7_ngram_join": _ngram_join(),
     "op9_url_templates": _url_templates(),
     "op10_tool_calls": _tool_calls(),
 }

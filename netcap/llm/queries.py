@@ -41,7 +41,7 @@ def q_fingerprint(spark, sf_dir):
 
 
 def q_ngram_join(spark, sf_dir):
-    return ngram_join.ngram_join(read_table(spark, sf_dir, "documents"))
+    return ngram_join.ngram_join(read_table(spark, sf_dir, "documents")).drop("class_id")
 
 
 def q_langid(spark, sf_dir):

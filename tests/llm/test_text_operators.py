@@ -60,9 +60,11 @@ def test_ngram_join_on_a_table(spark):
     assert got == set(plain.components(rows))
 
 
-def test_ngram_join_splits_large_groups(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [ngram_join.HOT, 5])
+def test_ngram_join_splits_large_groups(spark, monkeypatch, hot):
     """Many sets share most shingles but few link: tiles of several blocks and bands."""
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "HOT", hot)
     rng = random.Random(3)
     base = prose(rng, 160, 100_000).split()
     rows = []
@@ -238,6 +240,14 @@ def test_fingerprints_match_plain(spark, awkward):
     assert got[6]["fingerprint"] == got[7]["fingerprint"] != got[40]["fingerprint"]
 
 
+@pytest.mark.parametrize("bounds", [[], [5], [1, 3, 3 + 4, 20], list(range(0, 60, 2))])
+def test_ranges_count_the_bounds_reached(spark, bounds):
+    values = [-4, 0, 1, 2, 3, 5, 7, 19, 20, 21, 59, 100]
+    got = spark.createDataFrame([(v,) for v in values], "v long").select(
+        fingerprint._range_of(fingerprint.F.col("v"), bounds)).collect()
+    assert [r[0] for r in got] == [sum(b <= v for b in bounds) for v in values]
+
+
 def likeness(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
