@@ -30,11 +30,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netcap.llm.common import text_or_empty
@@ -44,7 +45,7 @@ GROWTH = 4          # of each retry
 WORDS = 4           # of a paragraph's runs, at most
 BATCH_CHARS = 4_000_000
 ROWS_PER_RANGE = 4096
-MAX_RANGES = 100_000
+MAX_RANGES = 20_000
 
 RUN = re.compile(r"[^\s]+(?:[^\S\n]+[^\s]+){0,%d}" % (WORDS - 1))
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
@@ -198,6 +199,20 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chars += len(text)
 
 
+def _range_of(value: Column, bounds: list[int]) -> Column:
+    """How many of the rising ``bounds`` the value has reached, in two steps of
+    about the root of their number."""
+    if not bounds:
+        return F.lit(0)
+    step = ceil(sqrt(len(bounds)))
+    parts = [bounds[k:k + step] for k in range(0, len(bounds), step)]
+    reached = lambda some: F.size(F.filter(some, lambda x: x <= value))
+    part = reached(F.lit([p[0] for p in parts]).cast("array<long>"))
+    within = F.element_at(F.array(*[F.lit(p).cast("array<long>") for p in parts]),
+                          F.greatest(part, F.lit(1)))
+    return F.when(part == 0, F.lit(0)).otherwise((part - 1) * step + reached(within))
+
+
 def fingerprint_edits(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
@@ -207,11 +222,11 @@ def fingerprint_edits(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) ->
     n = ids.count()
     ranges = min(MAX_RANGES, max(1, -(-n // rows_per_range)))
     # One number per range goes to the driver; the ranges needn't be even.
-    bounds = sorted(set(ids.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.002)
+    bounds = sorted(set(ids.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)],
+                                           0.25 / ranges)
                         )) if ranges > 1 else []
-    bounds = F.lit([int(x) for x in bounds]).cast("array<long>")
     place = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(bounds, lambda x: x <= F.col("doc_id"))))
+        _range_of(F.col("doc_id"), [int(x) for x in bounds]))
     d = d.withColumn("range", place)
     # Ranges run downwards: the first document of a range has its highest id and text.
     firsts = ids.withColumn("range", place).groupBy("range").agg(F.max("doc_id").alias("doc_id"))
