@@ -31,7 +31,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Deletes repeated runs of lines; documents of which nothing is left go."""
     names = docs.columns
     lines, gone = fresh(names, "_lines"), fresh(names, "_deleted")
-    left = line_dedup.dedup_lines(docs, lines=lines, deleted=gone)
+    left = line_dedup.dedup_lines(docs, lines=lines, deleted=gone, whole_runs=False)
     left = left.filter((F.col(gone) == 0) | (F.col(gone) < F.col(lines)))
     return _with_length(left.select(*[F.col(f"`{c}`") for c in names]))
 

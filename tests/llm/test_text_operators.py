@@ -135,6 +135,36 @@ def test_windows_match_plain(lines):
         w[:2] for w in plain.line_windows(text, 5)]
 
 
+def whole_runs_left(rows, min_words):
+    """{doc_id: text left} when all lines in any run with an earlier equal go."""
+    met, out = set(), {}
+    for doc, text in sorted(rows):
+        lines = [(k, x.strip()) for k, x in enumerate(text.split("\n")) if x.strip()]
+        runs = [lines[a:b] for a in range(len(lines)) for b in range(a + 1, len(lines) + 1)
+                if sum(len(x.split()) for _, x in lines[a:b]) >= min_words]
+        gone = set()
+        for run in runs:  # by first line: an overlapping one before it counts as earlier
+            body = tuple(x for _, x in run)
+            if body in met:
+                gone.update(range(run[0][0], run[-1][0] + 1))
+            met.add(body)
+        out[doc] = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+    return out
+
+
+def test_line_dedup_deletes_whole_runs(spark):
+    rng = random.Random(5)
+    a, b, c, d = (prose(rng, n, 100_000) for n in (12, 4, 3, 12))
+    rows = [(1, a), (2, "\n".join([a, b, c])), (3, "\n".join(["x y", a, b, c, "z"])),
+            (4, "\n".join([b, c, d])), (5, "\n".join(["q", b, c, d, a, b]))]
+    short = [prose(rng, n, 100_000) for n in (1, 2, 3, 4, 6, 11)]
+    rows += [(10 + k, "\n".join(rng.choice([*short, ""]) for _ in range(rng.randrange(1, 9))))
+             for k in range(60)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    assert got == whole_runs_left(rows, line_dedup.MIN_WORDS)
+    assert [got[k] for k in (2, 3, 5)] == [f"{b}\n{c}", "x y\nz", "q"]
+
+
 def test_tokenize_matches_the_tokenizer(spark, awkward):
     tok = Tokenizer.from_file(packing.default_tokenizer())
     odd = ["<|endoftext|>", "a<|endoftext|> b  <|endoftext|>", "it's 12½ ²x ٣ Ⅷ _   \r\n",
