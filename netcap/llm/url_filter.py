@@ -2,18 +2,22 @@
 
 ``judge_urls`` parses every url into host and path, applies the rules
 (longest fitting rule wins), and judges the urls that no rule fits by the
-method: per host, paths become templates. Variable segments (numbers, hex
-ids, and positions with more than ``max_children`` different values) become
-wildcards; sibling branches whose smoothed block rates fall into the same
-tenth are merged. A template is rejected when its smoothed labelled purity
+method: per host, paths become templates. Variable segments become wildcards:
+numbers, hex ids, and at positions with more than ``max_children`` different
+values the rare ones, with fewer than ``SMOOTHING`` labels and less than a
+``max_children``-th of the place's pages. Sibling branches that aren't rare and whose
+smoothed block rates fall into the same tenth are merged. A template is rejected when its smoothed labelled purity
 (share of blocked among labelled urls, backed off to the same lexical path
 over all hosts) reaches ``block_at``. Labels come from the rules, or from a
 label column (1 block, 0 allow) if one is given.
 
 Only DataFrame functions run here. Pages are aggregated to (host, lexical
 path) before anything else is shuffled, so a hot host arrives at the tree as
-a few counted rows. A node's children are only put in a window when there
-are at most ``max_children`` of them.
+a few counted rows. No window runs over a node's children, of which there
+may be many with labels: they are counted by tenth.
+
+``depth`` levels of a path are literal, what lies deeper is one ``**``; so the query's
+SQL has it. With ``depth=None`` levels are built until no path goes on.
 
 Defined results: null url, or one without ``://``: host and path empty, no
 rule; a null id is kept; repeated rows are all judged, each counts as a
@@ -24,7 +28,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netcap.llm.common import written
@@ -53,7 +57,7 @@ RULES = [
 ]
 # --- end of fixed values ---
 
-MAX_CHILDREN = 16   # more different values at one place of a host are a variable
+MAX_CHILDREN = 16   # with more different values at one place of a host, rare ones are a variable
 DEPTH = 4           # literal levels of the tree; what lies deeper is one "**"
 SMOOTHING = 4.0     # weight, in labels, of the value that a rate is smoothed to
 PRIOR = 0.1         # block rate where nothing is labelled
@@ -96,26 +100,32 @@ def smoothed(bad: Column, labelled: Column, towards: Column) -> Column:
 
 
 def template_tree(paths: DataFrame, max_children: int = MAX_CHILDREN,
-                  depth: int = DEPTH) -> DataFrame:
-    """``paths``: host, lex, segs, n, labelled, bad, one row per (host, lex).
+                  depth: int | None = DEPTH) -> DataFrame:
+    """``paths``: host, lex, segs, pages, labelled, bad, one row per (host, lex).
     Adds ``template``, built one level of the tree at a time."""
     tree = written(paths.sparkSession, paths.withColumn("template", F.lit("")), "op9-tree")
+    if depth is None:
+        depth = tree.agg(F.max(F.size("segs"))).first()[0] or 0
     for i in range(depth):
         seg = F.get(F.col("segs"), F.lit(i))
         tree = tree.withColumn("seg", seg)
         nodes = (tree.filter(F.col("seg").isNotNull()).groupBy("host", "template", "seg")
-                 .agg(F.sum("labelled").alias("lab"), F.sum("bad").alias("bad")))
+                 .agg(F.sum("labelled").alias("lab"), F.sum("bad").alias("bad"),
+                      F.sum("pages").alias("pages")))
         parents = (nodes.groupBy("host", "template")
                    .agg(F.count("*").alias("children"), F.sum("lab").alias("p_lab"),
-                        F.sum("bad").alias("p_bad")))
-        # Children of crowded nodes need no rate: all of them are one wildcard.
-        few = (nodes.join(parents.filter(F.col("children") <= max_children), ["host", "template"])
-               .withColumn("tenth", F.floor(F.lit(10.0) * smoothed(
-                   F.col("bad"), F.col("lab"),
-                   smoothed(F.col("p_bad"), F.col("p_lab"), F.lit(PRIOR)))))
-               .withColumn("alike", F.count("*").over(
-                   Window.partitionBy("host", "template", "tenth"))))
-        names = few.select(
+                        F.sum("bad").alias("p_bad"), F.sum("pages").alias("p_pages")))
+        # Rare children of crowded nodes need no rate: all of them are one wildcard.
+        rated = (nodes.join(parents, ["host", "template"])
+                 .filter((F.col("children") <= max_children) | (F.col("lab") >= SMOOTHING)
+                         | (F.col("pages") * max_children >= F.col("p_pages")))
+                 .withColumn("tenth", F.floor(F.lit(10.0) * smoothed(
+                     F.col("bad"), F.col("lab"),
+                     smoothed(F.col("p_bad"), F.col("p_lab"), F.lit(PRIOR))))))
+        rated = written(paths.sparkSession, rated.select("host", "template", "seg", "tenth"),
+                        "op9-rated")
+        alike = rated.groupBy("host", "template", "tenth").agg(F.count("*").alias("alike"))
+        names = rated.join(alike, ["host", "template", "tenth"]).select(
             "host", "template", "seg",
             F.when(F.col("alike") > 1, F.concat(F.lit("~"), F.col("tenth").cast("string")))
             .otherwise(F.col("seg")).alias("name"))
@@ -131,7 +141,7 @@ def template_tree(paths: DataFrame, max_children: int = MAX_CHILDREN,
 
 def judge_urls(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id",
                url_col: str = "url", label_col: str | None = None,
-               max_children: int = MAX_CHILDREN, depth: int = DEPTH,
+               max_children: int = MAX_CHILDREN, depth: int | None = DEPTH,
                block_at: float = BLOCK_AT) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, template, purity."""
     url = F.col(url_col).cast("string")
@@ -139,18 +149,20 @@ def judge_urls(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_
     base = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"),
                         path_of(url).alias("path"), label.alias("given"))
     parts = F.split("path", "/")
+    levels = F.size(parts) if depth is None else F.lit(depth)
     base = (base
             .withColumn("rule", first_fit(rules, F.col("host"), F.col("path"), "text"))
             .withColumn("ruled", first_fit(rules, F.col("host"), F.col("path"), "verdict"))
             .withColumn("label", F.coalesce(
                 F.col("given"),
                 F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "block").cast("int"))))
-            .withColumn("segs", F.transform(F.slice(parts, 2, depth), lexical))
+            .withColumn("segs", F.transform(F.slice(parts, F.lit(2), levels), lexical))
             .withColumn("lex", F.concat(
                 F.array_join(F.transform("segs", lambda s: F.concat(F.lit("/"), s)), ""),
-                F.when(F.size(parts) > depth + 1, "/**").otherwise(""))))
+                F.when(F.size(parts) > levels + 1, "/**").otherwise(""))))
     paths = (base.groupBy("host", "lex")
-             .agg(F.first("segs").alias("segs"), F.count("label").alias("labelled"),
+             .agg(F.first("segs").alias("segs"), F.count("*").alias("pages"),
+                  F.count("label").alias("labelled"),
                   F.coalesce(F.sum("label"), F.lit(0)).alias("bad")))
     tree = template_tree(paths, max_children, depth)
     by_template = tree.groupBy("host", "template").agg(

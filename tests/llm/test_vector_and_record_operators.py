@@ -162,6 +162,33 @@ def test_crowded_places_are_wildcards_and_purity_decides(spark):
     assert repeated.count() == 2 * len(got)
 
 
+@pytest.mark.parametrize("others", [14, 15, 40])
+def test_labelled_sections_of_crowded_hosts_are_judged_apart(spark, others):
+    urls = ([f"http://a.com/de/{i}" for i in range(60)] + [f"http://a.com/fr/{i}" for i in range(10)]
+            + [f"http://a.com/s{k}/{i}" for k in range(others) for i in range(3)]
+            + [f"http://b.net/bad/{i}" for i in range(6)]
+            + [f"http://b.net/u{k}/{i}" for k in range(others + 2) for i in range(3)])
+    labelled = pages(spark, urls).withColumn("label", F.when(
+        F.col("url").rlike("/de/[1-5]|/bad/[1-5]"), 1).when(F.col("url").rlike("/fr/[1-9]|/u[0-9]+/1"), 0))
+    got = {u: r for r in url_filter.judge_urls(labelled, label_col="label").collect()
+           for u in [r["host"] + r["path"]]}
+    verdicts = {u: got[u]["verdict"] for u in ("a.com/de/0", "a.com/fr/0", "a.com/s1/0", "b.net/bad/0",
+                                               "b.net/u1/0")}
+    assert verdicts == {"a.com/de/0": "block", "a.com/fr/0": "allow", "a.com/s1/0": "allow",
+                        "b.net/bad/0": "block", "b.net/u1/0": "allow"}
+
+
+def test_all_levels_without_a_depth(spark):
+    urls = [f"http://h/a/b/c/d/{x}/{i}" for x in ("good", "bad") for i in range(8)]
+    labelled = pages(spark, urls).withColumn(
+        "label", F.when(F.col("page_id") % 8 > 0, F.col("url").contains("bad").cast("int")))
+    got = {r["path"]: r for r in url_filter.judge_urls(labelled, label_col="label",
+                                                       depth=None).collect()}
+    assert [got[f"/a/b/c/d/{x}/0"]["verdict"] for x in ("good", "bad")] == ["allow", "block"]
+    assert got["/a/b/c/d/bad/0"]["template"] == "/a/b/c/d/bad/{n}"
+    assert url_filter.judge_urls(pages(spark, []), depth=None).count() == 0
+
+
 def test_deep_paths_and_no_pages(spark):
     got = url_filter.judge_urls(pages(spark, ["http://h/a/b/c/d/e/f", "http://h/a/b/c/d"])).collect()
     assert sorted(r["template"].endswith("/**") for r in got) == [False, True]
