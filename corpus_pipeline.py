@@ -28,11 +28,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @for_workers
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes repeated runs of lines; documents of which nothing is left go."""
+    """Deletes repeated runs of lines; documents of which no word is left by that go."""
     names = docs.columns
     lines, gone = fresh(names, "_lines"), fresh(names, "_deleted")
     left = line_dedup.dedup_lines(docs, lines=lines, deleted=gone, whole_runs=False)
-    left = left.filter((F.col(gone) == 0) | (F.col(gone) < F.col(lines)))
+    left = left.filter((F.col(gone) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return _with_length(left.select(*[F.col(f"`{c}`") for c in names]))
 
 

@@ -96,6 +96,15 @@ def test_stages_take_awkward_rows(spark):
     plain.check_packing([r.asDict() for r in STAGE["packing"](spark, fourth, "").collect()], 2048)
 
 
+def test_copies_among_blank_lines_go(spark):
+    long = " ".join(f"word{k}" for k in range(30))
+    rows = [(1, long), (2, long + "\n"), (3, "\n \t\n" + long), (4, f"\n{long}\n\n{long}\n"),
+            (5, f"\n{long}\nmore\n"), (6, "\nown\n")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t), "x", 1) for d, t in rows], DOCS)
+    left = STAGE["line_dedup"](spark, docs, "")
+    assert counted(rows_of(left)) == counted([(1, long), (5, "\nmore\n"), (6, "\nown\n")])
+
+
 def test_stages_take_no_rows(spark):
     docs = spark.createDataFrame([], DOCS)
     for name, stage in corpus_pipeline.STAGES:
