@@ -165,6 +165,30 @@ def test_line_dedup_deletes_whole_runs(spark):
     assert [got[k] for k in (2, 3, 5)] == [f"{b}\n{c}", "x y\nz", "q"]
 
 
+def test_line_dedup_moves_only_a_row_s_own_runs(spark, monkeypatch):
+    """Rows that share an id, or have none, get the runs of their text, not of all of these rows."""
+    rng = random.Random(11)
+    head = prose(rng, 15, 100_000)
+    rows = [(doc, f"{head}\nown line {k} {n}") for n, doc in enumerate((None, 3)) for k in range(80)]
+    rows.append((None, rows[0][1]))
+    plain_runs, most = line_dedup.repeated_runs, []
+
+    def watched(*args):
+        runs = plain_runs(*args)
+        most.append(runs.groupBy("doc_id", "digest").count().agg({"count": "max"}).first()[0])
+        return runs
+
+    monkeypatch.setattr(line_dedup, "repeated_runs", watched)
+    out = line_dedup.dedup_lines(frame(spark, rows))
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "collect_list" not in plan and most == [1]
+    got = sorted(r["text"] for r in out.collect())
+    firsts = [t for t in got if t.startswith(head)]
+    own = [t for _, t in rows]
+    assert len(set(firsts)) == 1 and firsts[0] in own
+    assert sorted(t.split("\n")[-1] for t in got) == sorted(t.split("\n")[-1] for t in own)
+
+
 def test_tokenize_matches_the_tokenizer(spark, awkward):
     tok = Tokenizer.from_file(packing.default_tokenizer())
     odd = ["<|endoftext|>", "a<|endoftext|> b  <|endoftext|>", "it's 12½ ²x ٣ Ⅷ _   \r\n",
