@@ -493,9 +493,10 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 # ---------------------------------------------------------------- exact tests and components
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame,
+             overlap: bool = False) -> DataFrame:
     """Those of ``pairs`` (a, b) that link, by the exact sets, which are made from
-    one document of each class."""
+    one document of each class; on demand with the number of shingles that both have."""
     spark = pairs.sparkSession
     ids = written(spark, pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
                   .join(classes.select("class", "doc_id"), "class"), "op7-ids")
@@ -514,14 +515,19 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
+            keep, shared = [], []
             for x, y in zip(b.column("h_a").to_pylist(), b.column("h_b").to_pylist(), strict=True):
                 s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both_ = np.intersect1d(s, t, assume_unique=True)
                 keep.append(bool(similar(len(both_), len(s), len(t))))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                shared.append(len(both_))
+            out = b.select(["a", "b"])
+            if overlap:
+                out = out.append_column("overlap", pa.array(shared, pa.int64()))
+            yield out.filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "h_a", "h_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "h_a", "h_b").mapInArrow(
+        run, "a long, b long" + (", overlap long" if overlap else ""))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -558,9 +564,8 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         F.greatest("root_a", "root_b").alias("r_b"))
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (xxhash64 of the text), n, class, root: one row per row of
-    ``docs``; classes of one root are connected. No class and root without words."""
+def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows with size and class, classes, and the shingles that prefixes share, with degrees."""
     spark = docs.sparkSession
     passed = written(spark, set_pass(docs), "op7-sets")
     counters = counter_table(passed)
@@ -569,7 +574,25 @@ def grouped(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"),
         F.any_value("bitmap").alias("bitmap")), "op7-classes")
 
-    shared, degrees = shared_prefixes(prefix_pass(docs, counters))
+    return rows, classes, *shared_prefixes(prefix_pass(docs, counters))
+
+
+def candidates(rooted: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different roots that share a shingle of their prefixes and may link."""
+    open_ = (rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                         F.count("*").alias("size"))
+             .filter(F.col("lo") != F.col("hi")).select("token", "size"))
+    members = rooted.join(open_, "token").join(classes.select("class", "n"), "class")
+    members = written(rooted.sparkSession, members, "op7-open")
+    return few_pairs(members.filter(F.col("size") <= FEW)).unionByName(
+        tiled_pairs(members.filter(F.col("size") > FEW), classes)).distinct()
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, digest (xxhash64 of the text), n, class, root: one row per row of
+    ``docs``; classes of one root are connected. No class and root without words."""
+    spark = docs.sparkSession
+    rows, classes, shared, degrees = prepared(docs)
     tried = written(spark, bounded(star_pairs(shared, degrees, classes), classes).select("a", "b"),
                     "op7-stars")
     links = written(spark, verified(tried, classes, docs), "op7-links")
@@ -577,13 +600,7 @@ def grouped(docs: DataFrame) -> DataFrame:
 
     rooted = (shared.drop("weight").join(roots, "class", "left")
               .withColumn("root", F.coalesce("root", "class")))
-    open_ = (rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                         F.count("*").alias("size"))
-             .filter(F.col("lo") != F.col("hi")).select("token", "size"))
-    members = rooted.join(open_, "token").join(classes.select("class", "n"), "class")
-    members = written(spark, members, "op7-open")
-    made = few_pairs(members.filter(F.col("size") <= FEW)).unionByName(
-        tiled_pairs(members.filter(F.col("size") > FEW), classes)).distinct()
+    made = candidates(rooted, classes)
     pairs = written(spark, bounded(made.join(tried, ["a", "b"], "left_anti"), classes), "op7-pairs")
     for nearest in (True, False):
         left = apart(pairs, roots)
@@ -612,6 +629,19 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         .alias("component_id"), F.col("class").alias("class_id"))
 
 
+def linked_classes(docs: DataFrame) -> DataFrame:
+    """class_a < class_b, overlap: all pairs of classes that link, also inside one component,
+    with the number of shingles that both have. ``ngram_join`` gives each row's class; rows of one
+    class link with overlap ``n_shingles``. As large as there are links."""
+    spark = docs.sparkSession
+    _, classes, shared, _ = prepared(docs)
+    # Every class its own root: no pair is left out.
+    made = candidates(shared.drop("weight").withColumn("root", F.col("class")), classes)
+    pairs = written(spark, bounded(made, classes).select("a", "b"), "op7-pairs")
+    return verified(pairs, classes, docs, overlap=True).select(
+        F.col("a").alias("class_a"), F.col("b").alias("class_b"), "overlap")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Rows of ``docs``, all columns: of each component the one with the smallest
     (doc_id, digest of the text), null ids last; of equal rows one. Documents

@@ -79,6 +79,27 @@ def test_ngram_join_splits_large_groups(spark, monkeypatch, hot):
     assert got == want
 
 
+@pytest.mark.parametrize("hot", [ngram_join.HOT, 5])
+def test_linked_classes_are_all_links(spark, monkeypatch, awkward, hot):
+    """Links inside one component too, from pairs made at once and from tiles."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    rng = random.Random(4)
+    base = prose(rng, 160, 100_000).split()
+    rows = [(d, t) for d, t in dict(awkward).items() if d is not None]
+    for k in range(40):
+        w = list(base[:rng.randrange(120, 160)])
+        w[rng.randrange(len(w))] = f"z{k}"
+        rows.append((1000 + k, " ".join(w)))
+    docs = frame(spark, rows)
+    class_of = {r["doc_id"]: r["class_id"] for r in ngram_join.ngram_join(docs).collect()}
+    sets = {class_of[d]: plain.shingle_set(t) for d, t in rows if plain.shingle_set(t)}
+    want = {(a, b, len(sets[a] & sets[b])) for a in sets for b in sets
+            if a < b and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])}
+    got = [tuple(r) for r in ngram_join.linked_classes(docs).collect()]
+    assert len(want) > 2 * 40 and len(got) == len(want) and set(got) == want
+
+
 def test_one_of_each_keeps_columns_and_one_row(spark, awkward):
     docs = frame(spark, awkward)
     kept = ngram_join.one_of_each(docs)
