@@ -35,7 +35,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netcap.llm.common import written
@@ -98,7 +98,6 @@ def placed(rows: DataFrame, group: str, order: list[str], name: str) -> DataFram
              .agg(F.count("*").alias("n"), F.min("own").alias("first"))
              .select("in_part", "group", "first", F.coalesce(before, F.lit(0)).alias("before"),
                      F.sum("n").over(each).alias("many"), F.min("first").over(each).alias("tree")))
-    spans = written(spark, spans, f"{name}-spans")
     met = (F.col("part") == F.col("in_part")) & F.col(group).eqNullSafe(F.col("group"))
     at = F.col("before") + F.col("own") - F.col("first")
     return spread.join(spans, met).select(*rows.columns, "tree", at.alias("at"), "many")
@@ -127,6 +126,10 @@ def levels(nodes: DataFrame, name: str) -> list[DataFrame]:
     return out
 
 
+def together(spark: SparkSession, runs: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, runs) if runs else spark.createDataFrame([], RUNS)
+
+
 def run_key(tree: Column, level: Column, node: Column) -> Column:
     """Of the run that a node of a level lies in."""
     run = F.floor(node / ARITY).cast("long")
@@ -200,9 +203,8 @@ def manifest(docs: DataFrame, check: Column | None = None) -> DataFrame:
     base = written(spark, leaves(docs, tampered_text() if check is None else check), "op11-leaves")
     rows = written(spark, placed(base, "source", ["doc_id", "leaf", "tie"], "op11-docs"),
                    "op11-docs")
-    nothing = spark.createDataFrame([], RUNS)
     lower = levels(rows.select("tree", "at", "many", F.col("leaf").alias("digest")), "op11-docs")
-    below = reduce(DataFrame.unionByName, lower, nothing)
+    below = together(spark, lower)
     # Of each source: the last run's digest, or the lone leaf.
     subroots = (below.filter(F.col("many") <= ARITY).select("tree", "digest").unionByName(
         rows.filter(F.col("many") == 1).select("tree", F.col("leaf").alias("digest"))))
@@ -211,7 +213,7 @@ def manifest(docs: DataFrame, check: Column | None = None) -> DataFrame:
                   "all", ["source_tree"], "op11-top")
     tops = written(spark, tops.withColumn("tree", F.col("all")), "op11-top")
     upper = levels(tops.select("tree", "at", "many", "digest"), "op11-top")
-    above = reduce(DataFrame.unionByName, upper, nothing)
+    above = together(spark, upper)
 
     alone = F.col("many") == 1
     hung = tops.select(

@@ -121,6 +121,7 @@ VECTORS = "vec_id long, embedding array<float>, x string, n int"
 
 
 def vector_frame(spark, rows):
+    rows = [(i, v and [x if x is None else float(x) for x in v]) for i, v in rows]
     return spark.createDataFrame([(i, v, "x", 1) for i, v in rows], VECTORS)
 
 
