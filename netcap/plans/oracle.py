@@ -231,6 +231,14 @@ def _feed_log(damaged: bool) -> str:
         f"event_id AS offset, CAST({index} AS INTEGER) AS item_index{payload} FROM keyed{kept}")
 
 
+# What is wrong with the messages of the damaged feed.
+_FAULTS = f"""faults AS (SELECT *, CASE k WHEN 0 THEN 'malformed' WHEN 1 THEN 'unknown_topic'
+    WHEN 2 THEN 'null_value' WHEN 3 THEN 'amount_overflow' WHEN 4 THEN 'bad_item'
+    WHEN 6 THEN CASE WHEN transaction_date IS NOT NULL THEN 'bad_transaction_date' END END AS reason
+  FROM (SELECT *, event_id % 50 AS k, CASE event_id % 50 WHEN 1 THEN 'capital-drafts' ELSE {_TOPIC} END
+      AS topic FROM ev WHERE source_type IN ('SHARE','RESERVE','DIVIDEND','DEDUCTION')))"""
+
+
 def _report_json() -> str:
     """The document as JSON text from the state ``st`` with freshness columns."""
     num = lambda n, c: f"'\"{n}\":' || CAST({c} AS DECIMAL(38,4))"
@@ -288,13 +296,27 @@ ORACLE_SQL: dict[str, str] = {
     "feed_stream_log": _feed_log(damaged=True),
     "feed_stream_position": with_(EV_E, prepared(), "thru AS (SELECT * FROM pev WHERE event_id % 50 "
         "NOT IN (0, 1, 2, 3))", state_cte(src="thru")) + f"SELECT {STATE_OUT} FROM st",
-    "feed_dead_letter": with_(EV_E) + (
-        "SELECT topic, reason, COUNT(*) AS messages FROM (SELECT CASE event_id % 50 WHEN 1 "
-        f"THEN 'capital-drafts' ELSE {_TOPIC} END AS topic, CASE event_id % 50 WHEN 0 THEN 'malformed' "
-        "WHEN 1 THEN 'unknown_topic' WHEN 2 THEN 'null_value' WHEN 3 THEN 'amount_overflow' "
-        "WHEN 4 THEN 'bad_item' END AS reason FROM ev "
-        "WHERE source_type IN ('SHARE','RESERVE','DIVIDEND','DEDUCTION')) "
-        "WHERE reason IS NOT NULL GROUP BY topic, reason"),
+    "feed_dead_letter": with_(EV_E, _FAULTS) + (
+        "SELECT topic, reason, COUNT(*) AS messages FROM faults WHERE reason IS NOT NULL "
+        "GROUP BY topic, reason"),
+    "feed_quality": with_(EV_E, _FAULTS) + (
+        "SELECT counted, CAST(COUNT(*) FILTER (WHERE holds) AS BIGINT) AS n FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{r}' AS counted, COALESCE(reason = '{r}', false) AS holds FROM faults" for r in (
+                "unknown_topic", "null_value", "malformed", "no_array", "bad_item", "bad_date",
+                "amount_overflow", "bad_transaction_date"))
+        + " UNION ALL SELECT 'events', k > 3 FROM faults"
+          " UNION ALL SELECT 'rows', true FROM faults"
+          " UNION ALL SELECT 'rows', k = 4 FROM faults) GROUP BY counted"),
+    "state_from_store": _state_e() + f"SELECT {STATE_OUT} FROM st",
+    "late_arrivals_logged": with_(EV_S, prepared()) + (
+        "SELECT source_type, COUNT(*) AS events, "
+        "MAX(date_diff('day', reporting_date, CAST(ingestion_time AS DATE))) AS max_lag_days, "
+        "AVG(date_diff('day', reporting_date, CAST(ingestion_time AS DATE))) AS mean_lag_days "
+        "FROM pev WHERE reporting_date IN (DATE '1996-01-31', DATE '1996-02-29', DATE '1996-03-31') "
+        "GROUP BY source_type"),
+    "snapshot_rerun": _snapshots_two_rounds() + (
+        f"SELECT snapshot_taken_at, snapshot_reporting_date, {STATE_OUT} FROM snaps"),
     "position_lookup": _state_e() + f"SELECT {STATE_OUT} FROM st WHERE {_lookup_args()}",
     "summary_sector": _state_e() + (
         f"SELECT sector, {_SUMMARY} FROM st WHERE reporting_date = DATE '2024-01-15' GROUP BY sector"),

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from netcap.operators.eventlog import event_log_rows
 from netcap.operators.position import capital_position
-from netcap.operators.reports import position, table_counts
+from netcap.operators.reports import late_arrivals, position, table_counts
 from netcap.operators.snapshot import official_position, take_snapshot
 from netcap.plans.queries import LOOKUP_KEY, present
 from netcap.session import work_dir
 from netcap.sources import tables
-from netcap.sources.adapters import events_frame_to_capital, events_from_events, read_table
+from netcap.sources.adapters import (
+    events_frame_to_capital, events_from_events, events_from_star, read_table,
+)
 from netcap.sources.feeds import read_feed
 from netcap.sources.publish import to_messages
 from netcap.streaming.changelog_stream import read_changelog, start_changelog_stream
@@ -23,6 +25,7 @@ from netcap.streaming.position_stream import (
 )
 
 WAVES = 5
+LOGGED_DATES = ("1996-01-31", "1996-02-29", "1996-03-31")
 
 
 def _event_stream(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
@@ -59,6 +62,14 @@ def q_stream_event_log(spark, sf_dir):
     return present(log)
 
 
+def q_state_from_store(spark, sf_dir):
+    """The stream's position out of its state store: nothing else is written or folded."""
+    root = work_dir(spark, "state_from_store")
+    run_to_completion(start_position_stream(
+        _event_stream(spark, sf_dir), root, f"{root}/_checkpoint", sink=tables.keep_in_store))
+    return present(tables.read_state_store(spark, f"{root}/_checkpoint"))
+
+
 def q_late_replay(spark, sf_dir):
     """The events cut into waves by user (each spans the whole month). Each wave's
     files arrive, then the job resumes from its checkpoint: every run brings
@@ -75,7 +86,8 @@ def q_late_replay(spark, sf_dir):
 def damaged(messages: DataFrame) -> DataFrame:
     """The messages as a bad line would deliver some, by their event's id (the
     twin's offset): cut short, of a strange topic, without value, with an amount beyond
-    any decimal, or with an item before the good one that is no object."""
+    any decimal, with an item before the good one that is no object, with a name that
+    comes twice in the item, or with a transaction date that is none."""
     k = F.pmod("offset", F.lit(50))
     value = F.col("value")
     return messages.withColumns({
@@ -83,6 +95,8 @@ def damaged(messages: DataFrame) -> DataFrame:
         .when(k == 2, F.lit(None))
         .when(k == 3, F.regexp_replace(value, '"tzsAmount":[^,}]*', '"tzsAmount":1e40'))
         .when(k == 4, F.regexp_replace(value, r"^(\{[^\[]*\[)", "$1 5,"))
+        .when(k == 5, F.regexp_replace(value, '"tzsAmount":', '"tzsAmount":1,"tzsAmount":'))
+        .when(k == 6, F.regexp_replace(value, '"transactionDate":"[^"]*"', '"transactionDate":"n/a"'))
         .otherwise(value),
         "topic": F.when(k == 1, F.lit("capital-drafts")).otherwise(F.col("topic"))})
 
@@ -113,6 +127,19 @@ def q_feed_dead_letter(spark, sf_dir):
         F.count(F.lit(1)).alias("messages"))
 
 
+def q_feed_quality(spark, sf_dir):
+    """How much the feed job took in and what was wrong, as it was counted on the way."""
+    root = _run_feed(spark, sf_dir, "feed_quality")
+    return tables.read_feed_quality(spark, f"{root}/feed_quality")
+
+
+def q_late_arrivals_logged(spark, sf_dir):
+    """Late arrivals of three reporting dates, from the stored log."""
+    root = work_dir(spark, "late_logged")
+    tables.append_event_log(event_log_rows(events_from_star(spark, sf_dir)), 0, root)
+    return late_arrivals(tables.read_event_log(spark, root, LOGGED_DATES))
+
+
 def q_table_counts(spark, sf_dir):
     """State, log and snapshot as stored tables, each counted once."""
     root = work_dir(spark, "table_counts")
@@ -120,7 +147,7 @@ def q_table_counts(spark, sf_dir):
     tables.write_state_table(capital_position(ev), f"{root}/state")
     state = tables.read_state_table(spark, f"{root}/state")
     tables.append_event_log(event_log_rows(ev), 0, f"{root}/log")
-    tables.append_snapshot(take_snapshot(state), f"{root}/snapshot")
+    tables.write_snapshot(take_snapshot(state), f"{root}/snapshot")
     return table_counts(capital_state=state,
                         capital_event_log=tables.read_event_log(spark, f"{root}/log"),
                         capital_snapshot=tables.read_snapshots(spark, f"{root}/snapshot"))
@@ -146,6 +173,18 @@ def q_stored_official_position(spark, sf_dir):
     return present(official_position(tables.read_snapshots(spark, root)))
 
 
+def q_snapshot_rerun(spark, sf_dir):
+    """The noon run, the end of day, and the noon run again, as after a failure: every
+    snapshot row once."""
+    root = work_dir(spark, "snapshot_rerun")
+    ev = events_from_events(spark, sf_dir)
+    noon = F.col("reporting_date").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS")
+    early = take_snapshot(capital_position(ev.filter(F.col("ingestion_time") < noon)), taken_at=noon)
+    for run in (early, take_snapshot(capital_position(ev)), early):
+        tables.write_snapshot(run, root)
+    return present(tables.read_snapshots(spark, root))
+
+
 def q_changelog_stream(spark, sf_dir):
     """Per-event changelog of the stream, written per batch and read back; equal
     to the batch changelog when each key's events arrive in time order."""
@@ -164,6 +203,10 @@ STORED_QUERIES = {
     "feed_stream_position": q_feed_stream_position,
     "feed_stream_log": q_feed_stream_log,
     "feed_dead_letter": q_feed_dead_letter,
+    "feed_quality": q_feed_quality,
+    "late_arrivals_logged": q_late_arrivals_logged,
+    "state_from_store": q_state_from_store,
+    "snapshot_rerun": q_snapshot_rerun,
     "table_counts": q_table_counts,
     "stored_state_lookup": q_stored_state_lookup,
     "stored_official_position": q_stored_official_position,

@@ -1,15 +1,16 @@
 """Feed sources and payload decoding.
 
 ``read_feed`` reads the four topics (Kafka, or the file twin with the same
-columns); ``decode`` parses the JSON payload; ``normalise`` unnests items
-into capital events and routes bad records to a dead-letter frame instead
-of failing. All of it is narrow, per-record work on the JVM (variants,
-``posexplode``), usable on batch and streaming frames alike.
+columns); ``decode`` parses the JSON payload; ``decode_rows`` unnests items into one
+frame of capital events and of what is wrong, each with its ``reason``, instead of
+failing; ``events_of`` and ``dead_letter`` are filters on it. All of it is narrow,
+per-record work on the JVM (variants, ``posexplode``), usable on batch and streaming
+frames alike; the payload is parsed once, whatever is made of the rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from netcap.functions.columns import money, utc_wall_clock
@@ -75,7 +76,10 @@ def decode(records: DataFrame) -> DataFrame:
     """Parse ``value``; ``items`` = the first candidate array that is an
     array (an empty array counts), whatever the topic. Text that is no JSON
     leaves ``payload`` NULL. Payload and items are variants: an item is read on
-    its own, whatever its neighbours are, and numbers keep all their digits."""
+    its own, whatever its neighbours are, and numbers keep all their digits. Of a name
+    that comes twice in an object the last value counts."""
+    # A session setting of Spark: without it a repeated name would make the text no JSON.
+    records.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     out = records.withColumn("payload", F.try_parse_json("value"))
     items = F.coalesce(*[F.try_variant_get("payload", f"$.{a}", "array<variant>")
                          for a in ARRAY_FIELD_ORDER])
@@ -86,31 +90,33 @@ def decode(records: DataFrame) -> DataFrame:
     return out.withColumn("items", items).withColumn("source_type", source)
 
 
-# --- N4: bad-record routing (message level) ---------------------------------
+def message_fault() -> F.Column:
+    """N4, message level: why a message has no items; NULL where it has an array. A
+    message is bad when its topic is none of the four feeds', or when no candidate is
+    an array: NULL value, malformed or truncated JSON, a root array, or no array."""
+    return (F.when(F.col("source_type").isNull(), F.lit("unknown_topic"))
+            .when(F.col("value").isNull(), F.lit("null_value"))
+            .when(F.col("payload").isNull(), F.lit("malformed"))
+            .when(F.col("items").isNull(), F.lit("no_array")))
 
-def split_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(messages, dead_letter). A message is bad when its topic is none of the
-    four feeds', or when no candidate is an array: NULL value, malformed or
-    truncated JSON, a root array, or no array.
 
-    The first frame is returned unfiltered: ``normalise`` unnests it, and a
-    message without items or of another topic yields no event anyway. A ``Filter`` on
-    ``items`` would be pushed below the parse, with ``try_parse_json`` (and
-    whatever built ``value``) substituted into the predicate, parsing every
-    payload again.
-    """
-    no_items = F.col("items").isNull()
-    strange = F.col("source_type").isNull()
-    reason = (F.when(strange, F.lit("unknown_topic"))
-              .when(F.col("value").isNull(), F.lit("null_value"))
-              .when(F.col("payload").isNull(), F.lit("malformed"))
-              .otherwise(F.lit("no_array")))
-    bad = decoded.filter(no_items | strange).select(F.col("value").alias("raw"), "topic",
-                                          reason.alias("reason"))
-    return decoded, bad
+# --- N3, N5-N7, N10, N13, N14, N17: one frame of events and faults -----------
+
+ITEM_FIELDS = ("reportingDate", "transactionDate", "tzsAmount", "orgAmount", "currency",
+               "sectorSnaClassification", "sector")
+_ITEM = "struct<" + ", ".join(f"{f}: string" for f in ITEM_FIELDS) + ">"
+
+#: Reasons of what is wrong. Those of the second line lose the message or item; a bad
+#: transaction date is reported only: the event stays, with its reporting date.
+REPORTED = ("bad_transaction_date",)
+LOST = ("unknown_topic", "null_value", "malformed", "no_array", "bad_item", "bad_date",
+        "amount_overflow")
+REASONS = (*LOST, *REPORTED)
 
+EVENT_COLUMNS = ["event_id", "source_type", "fsp_id", "sector", "reporting_date",
+                 "transaction_date", "amount", "ingestion_time", "org_amount", "currency",
+                 "raw_payload", "topic", "partition", "offset", "item_index"]
 
-# --- N3, N5-N7, N10, N13, N14, N17: normalise ------------------------------
 
 def _number(text):
     """A JSON amount's text as a decimal with six places; junk and NULL are NULL."""
@@ -123,65 +129,93 @@ def _too_large(text):
     return wide.isNotNull() & ~F.isnan(wide) & _number(text).isNull()
 
 
-def normalise(good: DataFrame, missing_fsp: str = "unknown") -> tuple[DataFrame, DataFrame]:
-    """Unnest items into capital events; (events, dead_letter).
+def decode_rows(records: DataFrame, missing_fsp: str = "unknown") -> DataFrame:
+    """One row per item, and one per message without items: the event's columns,
+    ``raw`` and ``reason`` (NULL where nothing is wrong).
 
-    One row per item (an empty array gives none), each item parsed on its own; one
-    that is no object -> dead letter ``bad_item``, its neighbours stay. FSP missing ->
-    ``UNKNOWN`` (or the row is dropped with ``missing_fsp="drop"``);
-    transaction date missing -> reporting date; amount missing or junk ->
-    0, a number too large for DECIMAL(20,4) -> dead letter ``amount_overflow``;
-    reporting date not a date -> dead letter ``bad_date``. ``sector`` is the
-    submitted one (``sectorSnaClassification`` for shares, ``sector``
-    otherwise); the sector rule is applied by the position fold. ``org_amount`` and
-    ``currency`` are the original ones, if sent.
+    An empty array gives no row; an item that is no object is ``bad_item``, its
+    neighbours stay. FSP missing -> ``UNKNOWN`` (or the row is dropped with
+    ``missing_fsp="drop"``); transaction date missing or blank -> reporting date, not a
+    date -> reporting date and ``bad_transaction_date``; amount missing or junk -> 0, a
+    number too large for DECIMAL(20,4) -> ``amount_overflow``; reporting date not a date
+    -> ``bad_date``. ``sector`` is the submitted one (``sectorSnaClassification`` for
+    shares, ``sector`` otherwise); the sector rule is applied by the position fold.
+    ``org_amount`` and ``currency`` are the original ones, if sent.
 
     (topic, partition, offset, item_index) identify an event; ``event_id`` is
     their hash. ``raw_payload`` is the item's own JSON, not the message's.
     """
+    if missing_fsp not in ("unknown", "drop"):
+        raise ValueError("missing_fsp must be 'unknown' or 'drop'")
+    d = decode(records).withColumn("_fault", message_fault())
+    # An item's fields are read in one go, below the generator: what is computed of them above
+    # (filters too, wherever they are pushed) is plain columns.
+    entries = F.transform("items", lambda x: F.struct(
+        x.alias("item"), F.try_variant_get(x, "$", _ITEM).alias("f")))
     # posexplode_outer + a filter on its own output: the inner explode would
     # make Spark infer ``items IS NOT NULL`` and push it below the parse.
-    x = good.select("topic", "partition", "offset", "timestamp", "source_type",
-                    F.try_variant_get("payload", "$.fspInformationId", "string").alias("_fsp"),
-                    F.posexplode_outer("items").alias("item_index", "item"))
-    x = x.filter(F.col("item_index").isNotNull() & F.col("source_type").isNotNull())
-    field = lambda name: F.try_variant_get("item", f"$.{name}", "string")
+    x = d.select("topic", "partition", "offset", "timestamp", "source_type", "_fault", "value",
+                 F.try_variant_get("payload", "$.fspInformationId", "string").alias("_fsp"),
+                 F.posexplode_outer(F.when(F.col("_fault").isNull(), entries))
+                 .alias("item_index", "entry"))
+    x = x.filter(F.col("item_index").isNotNull() | F.col("_fault").isNotNull())
+    field = {name: F.col(f"entry.f.{name}") for name in ITEM_FIELDS}
     fsp = F.col("_fsp")
     if missing_fsp == "unknown":
         fsp = F.coalesce(fsp, F.lit(UNKNOWN_FSP))
-    elif missing_fsp != "drop":
-        raise ValueError("missing_fsp must be 'unknown' or 'drop'")
-    reporting = field("reportingDate").try_cast("date")
-    sent = field("tzsAmount")
+    reporting = field["reportingDate"].try_cast("date")
+    said = F.nullif(F.trim(field["transactionDate"]), F.lit(""))
+    transaction = said.try_cast("date")
+    sent = field["tzsAmount"]
     amount = F.when(_too_large(sent), F.lit(None)).otherwise(
         money(F.coalesce(_number(sent), F.lit(0).cast("decimal(38,6)"))))
-    sector = F.when(F.col("source_type") == SHARE, field("sectorSnaClassification")) \
-        .otherwise(field("sector"))
-    ev = x.select(
+    sector = F.when(F.col("source_type") == SHARE, field["sectorSnaClassification"]) \
+        .otherwise(field["sector"])
+    reason = (F.when(F.col("item_index").isNull(), F.col("_fault"))
+              .when(F.col("entry.f").isNull(), F.lit("bad_item"))
+              .when(reporting.isNull(), F.lit("bad_date"))
+              .when(amount.isNull(), F.lit("amount_overflow"))
+              .when(said.isNotNull() & transaction.isNull(), F.lit("bad_transaction_date")))
+    item = F.to_json("entry.item")
+    rows = x.select(
         F.xxhash64("topic", "partition", "offset", "item_index").alias("event_id"),
         "source_type", fsp.alias("fsp_id"), sector.alias("sector"),
         reporting.alias("reporting_date"),
-        F.coalesce(field("transactionDate").try_cast("date"), reporting)
-        .alias("transaction_date"),
+        F.coalesce(transaction, reporting).alias("transaction_date"),
         amount.alias("amount"),
         F.col("timestamp").alias("ingestion_time"),
-        money(_number(field("orgAmount"))).alias("org_amount"),
-        field("currency").alias("currency"),
-        F.to_json("item").alias("raw_payload"), "topic", "partition", "offset", "item_index",
-        (~F.coalesce(F.schema_of_variant("item"), F.lit("")).startswith("OBJECT"))
-        .alias("_no_object"))
+        money(_number(field["orgAmount"])).alias("org_amount"),
+        field["currency"].alias("currency"),
+        item.alias("raw_payload"), "topic", "partition", "offset", "item_index",
+        F.when(reason.isNotNull(), F.coalesce(item, "value")).alias("raw"),
+        reason.alias("reason"))
     if missing_fsp == "drop":
-        ev = ev.filter(F.col("fsp_id").isNotNull())
-    reason = (F.when(F.col("_no_object"), F.lit("bad_item"))
-              .when(F.col("reporting_date").isNull(), F.lit("bad_date"))
-              .when(F.col("amount").isNull(), F.lit("amount_overflow")))
-    bad = ev.filter(reason.isNotNull()).select(F.col("raw_payload").alias("raw"), "topic",
-                                               reason.alias("reason"))
-    return ev.filter(reason.isNull()).drop("_no_object"), bad
+        rows = rows.filter(F.col("fsp_id").isNotNull() | F.col("item_index").isNull())
+    return rows
+
+
+def events_of(rows: DataFrame) -> DataFrame:
+    """The capital events among decoded rows."""
+    return rows.filter(F.col("reason").isNull() | F.col("reason").isin(*REPORTED)).select(
+        *EVENT_COLUMNS)
+
+
+def dead_letter(rows: DataFrame) -> DataFrame:
+    """raw, topic, reason of all that is wrong."""
+    return rows.filter(F.col("reason").isNotNull()).select("raw", "topic", "reason")
 
 
 def decode_feed(records: DataFrame, missing_fsp: str = "unknown") -> tuple[DataFrame, DataFrame]:
-    """Records -> (capital events, dead letter), never failing on input."""
-    good, bad1 = split_bad(decode(records))
-    events, bad2 = normalise(good, missing_fsp)
-    return events, bad1.unionByName(bad2)
+    """Records -> (capital events, dead letter), never failing on input. Both come
+    from one frame; keep ``decode_rows`` where both are used."""
+    rows = decode_rows(records, missing_fsp)
+    return events_of(rows), dead_letter(rows)
+
+
+def observed(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Decoded rows that are counted by reason while they are computed: no job of its
+    own. ``events`` counts the capital events, ``rows`` all rows."""
+    seen = Observation()
+    fine = F.col("reason").isNull() | F.col("reason").isin(*REPORTED)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(fine).alias("events"),
+                        *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS]), seen

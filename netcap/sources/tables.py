@@ -11,6 +11,9 @@ one path (the mode is part of the folder name):
   the newest batch per key wins.
 * ``partials``: deltas hold the batch's own partial sums; readers sum
   totals and counts and take the maximum times.
+
+A reader of the deltas lists and folds every batch there was. ``read_state_store``
+reads the position out of the streaming query's own state store instead: one row per key.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netcap.operators.eventlog import LOG_COLUMNS
 from netcap.operators.position import net_core_capital
 from netcap.operators.snapshot import SNAPSHOT_COLUMNS
 from netcap.schemas import KEY, SOURCE_TYPES, STATE_COLUMNS, TOTAL_COLUMNS, UPDATE_COLUMNS
@@ -81,17 +85,75 @@ def read_state(spark: SparkSession, path: str, mode: str = "stateful",
     return _fold(read_deltas(spark, path, before_batch), mode)
 
 
+# --- S3 / T1: the keyed state itself ----------------------------------------
+
+# The fold's buffer as the state store holds it, in the order of its aggregates.
+_BUFFER = ("struct<" + ", ".join(
+    [f"{TOTAL_COLUMNS[s]}: decimal(38,4), {s}_empty: boolean" for s in SOURCE_TYPES]
+    + [f"{UPDATE_COLUMNS[s]}: timestamp_ntz" for s in SOURCE_TYPES]
+    + ["last_computed_at: timestamp_ntz", "event_count: bigint"]) + ">")
+
+
+def keep_in_store(batch_df: DataFrame, batch_id: int) -> None:
+    """foreachBatch sink that computes the batch and writes nothing: the position
+    stays in the query's state store."""
+    batch_df.write.format("noop").mode("overwrite").save()
+
+
+def state_store(spark: SparkSession, checkpoint: str, batch_id: int | None = None,
+                **options) -> DataFrame:
+    """Keys and values that a streaming query's checkpoint holds after a batch
+    (the newest one unless ``batch_id`` is given)."""
+    reader = spark.read.format("statestore").options(**options)
+    if batch_id is not None:
+        reader = reader.option("batchId", str(int(batch_id)))
+    return reader.load(checkpoint)
+
+
+def read_state_store(spark: SparkSession, checkpoint: str,
+                     batch_id: int | None = None) -> DataFrame:
+    """The position out of the state store of a ``stateful`` position stream: one row
+    per key is read, however many batches there were. No shuffle, no folding."""
+    held = state_store(spark, checkpoint, batch_id).select(
+        "key.*", F.col("value").cast(_BUFFER).alias("v"))
+    return (held.select(*KEY, "v.*").withColumn("net_core_capital", net_core_capital())
+            .select(*STATE_COLUMNS))
+
+
 # --- S5: event log ----------------------------------------------------------
 
 def append_event_log(log_rows: DataFrame, batch_id: int, path: str) -> None:
     """One folder per batch, overwritten on retry: a replayed batch does not
     duplicate the log, and topic, partition, offset and item of each row tell a
-    replay from a resend."""
-    write_delta(log_rows, batch_id, path)
+    replay from a resend. Inside, a folder per reporting date, its rows sorted; Spark
+    sizes the files by the rows there are (large dates get several), not by the number of
+    shuffle partitions."""
+    (log_rows.hint("rebalance", "reporting_date")
+     .sortWithinPartitions("reporting_date", "fsp_id", "sector", "received_at")
+     .write.mode("overwrite").partitionBy("reporting_date")
+     .parquet(f"{path}/batch_id={int(batch_id)}"))
+
+
+def read_event_log(spark: SparkSession, path: str, reporting_dates=None) -> DataFrame:
+    """The log, or that of some reporting dates: other dates' folders aren't read."""
+    log = spark.read.parquet(path)
+    if reporting_dates is not None:
+        log = log.filter(F.col("reporting_date").isin(
+            *[F.lit(str(d)).cast("date") for d in reporting_dates]))
+    return log.select("batch_id", *LOG_COLUMNS)
+
+
+# --- N4: how much was wrong -------------------------------------------------
 
+def write_feed_quality(spark: SparkSession, counts: dict, batch_id: int, path: str) -> None:
+    """The counts of a batch, a row for each."""
+    rows = [(name, int(n)) for name, n in counts.items()]
+    write_delta(spark.createDataFrame(rows, "counted string, n long").coalesce(1), batch_id, path)
 
-def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+
+def read_feed_quality(spark: SparkSession, path: str) -> DataFrame:
+    """All batches' counts together."""
+    return spark.read.parquet(path).groupBy("counted").agg(F.sum("n").alias("n"))
 
 
 # --- S8 / S9: state table, snapshots ----------------------------------------
@@ -112,10 +174,21 @@ def read_state_table(spark: SparkSession, path: str, reporting_date=None) -> Dat
     return df.select(*STATE_COLUMNS)
 
 
+def write_snapshot(snapshot: DataFrame, path: str) -> None:
+    """One folder per reporting date and cut-off. A run that is repeated replaces the
+    folders that it writes and leaves all others: no row doubles."""
+    cut_off = F.date_format("snapshot_taken_at", "yyyyMMdd'T'HHmmss.SSSSSS")
+    (snapshot.select(*SNAPSHOT_COLUMNS, cut_off.alias("cut_off"))
+     .hint("rebalance", "snapshot_reporting_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("snapshot_reporting_date", "cut_off").parquet(path))
+
+
 def append_snapshot(snapshot: DataFrame, path: str) -> None:
-    """Append-only; one folder per snapshot reporting date."""
-    (snapshot.select(*SNAPSHOT_COLUMNS).write.mode("append")
-     .partitionBy("snapshot_reporting_date").parquet(path))
+    """The same layout, append-only: a run that is repeated adds its rows again."""
+    cut_off = F.date_format("snapshot_taken_at", "yyyyMMdd'T'HHmmss.SSSSSS")
+    (snapshot.select(*SNAPSHOT_COLUMNS, cut_off.alias("cut_off"))
+     .hint("rebalance", "snapshot_reporting_date").write.mode("append")
+     .partitionBy("snapshot_reporting_date", "cut_off").parquet(path))
 
 
 def read_snapshots(spark: SparkSession, path: str, reporting_date=None) -> DataFrame:
@@ -165,3 +238,56 @@ def jdbc_state_writer(url: str, table: str, run_statement, properties: dict | No
          .jdbc(url, staging, properties=props))
         run_statement(upsert_sql(table, staging))
     return write
+
+
+# --- S4 in the feed job: partial sums, fenced by batch id --------------------
+
+FENCE = "last_batch_id"
+_ADDED = [*TOTAL_COLUMNS.values(), "event_count"]
+_LATEST = [*UPDATE_COLUMNS.values(), "last_computed_at"]
+
+
+def postgres_add_sql(table: str, staging: str) -> str:
+    """Adds the staged partial sums to the keyed table; a row that has already taken in
+    this batch, or a later one, stays as it is (``net_core_capital`` is generated there)."""
+    cols = [*KEY, *_ADDED, *_LATEST, FENCE]
+    sets = ([f"{c} = {table}.{c} + EXCLUDED.{c}" for c in _ADDED]
+            + [f"{c} = GREATEST({table}.{c}, EXCLUDED.{c})" for c in _LATEST]
+            + [f"{FENCE} = EXCLUDED.{FENCE}"])
+    return (f"INSERT INTO {table} ({', '.join(cols)}) SELECT {', '.join(cols)} FROM {staging} "
+            f"ON CONFLICT ({', '.join(KEY)}) DO UPDATE SET {', '.join(sets)} "
+            f"WHERE {table}.{FENCE} < EXCLUDED.{FENCE}")
+
+
+def merge_add_sql(table: str, staging: str) -> str:
+    """The same as a standard SQL MERGE; it keeps ``net_core_capital`` itself."""
+    cols = [*KEY, *_ADDED, "net_core_capital", *_LATEST, FENCE]
+    later = lambda c: (f"CASE WHEN t.{c} IS NULL OR s.{c} > t.{c} THEN s.{c} "
+                       f"ELSE t.{c} END")
+    sets = ([f"{c} = t.{c} + s.{c}" for c in [*_ADDED, "net_core_capital"]]
+            + [f"{c} = {later(c)}" for c in _LATEST] + [f"{FENCE} = s.{FENCE}"])
+    return (f"MERGE INTO {table} t USING {staging} s ON "
+            + " AND ".join(f"t.{k} = s.{k}" for k in KEY)
+            + f" WHEN MATCHED AND t.{FENCE} < s.{FENCE} THEN UPDATE SET {', '.join(sets)}"
+            + f" WHEN NOT MATCHED THEN INSERT ({', '.join(cols)}) "
+            + f"VALUES ({', '.join('s.' + c for c in cols)})")
+
+
+def jdbc_partials_writer(url: str, table: str, run_statement, properties: dict | None = None,
+                         add_sql=postgres_add_sql):
+    """A sink of the feed job: each batch's partial sums go to ``<table>_staging`` in
+    parallel from the executors, with the batch's id, and one server-side statement adds
+    them. Each target row keeps the id of the last batch that it took in
+    (``last_batch_id``), so a batch that is replayed, wherever the job was cut off (before,
+    between or after staging and statement), counts once.
+
+    ``run_statement(sql)`` executes one statement, as a transaction, on the target."""
+    props = dict(properties or {})
+    staging = f"{table}_staging"
+
+    def write(partials: DataFrame, batch_id: int) -> None:
+        (partials.select(*STATE_COLUMNS, F.lit(int(batch_id)).cast("long").alias(FENCE))
+         .write.mode("overwrite").option("truncate", "true")
+         .jdbc(url, staging, properties=props))
+        run_statement(add_sql(table, staging))
+    return write

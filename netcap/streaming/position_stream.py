@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from netcap.operators.eventlog import event_log_rows
 from netcap.operators.position import capital_position
 from netcap.sources import tables
-from netcap.sources.feeds import decode_feed
+from netcap.sources.feeds import dead_letter, decode_rows, events_of, observed
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -61,7 +61,8 @@ def start_position_stream(events: DataFrame, root: str, checkpoint: str,
     offset (the reference's only recovery); an existing checkpoint resumes.
 
     ``sink(batch, batch_id)`` takes the changed keys' absolute totals instead of the
-    delta folder (``tables.jdbc_state_writer``); it needs ``mode="stateful"``,
+    delta folder (``tables.jdbc_state_writer``; ``tables.keep_in_store`` writes nothing, the
+    state is then read with ``tables.read_state_store``); it needs ``mode="stateful"``,
     which keeps its state in RocksDB.
     """
     path = tables.state_path(root, mode)
@@ -82,40 +83,53 @@ def start_position_stream(events: DataFrame, root: str, checkpoint: str,
 
 def start_feed_job(records: DataFrame, root: str, checkpoint: str,
                    sector_mode: str = "submitted", missing_fsp: str = "unknown",
-                   trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+                   trigger: dict | None = None, query_name: str | None = None,
+                   sink=None) -> StreamingQuery:
     """The whole job: records of the four feeds (``feeds.read_feed``) are decoded
     and folded. One ``foreachBatch`` on one scan writes, below ``root``, the partial
-    position (``state_partials``), the event log (``event_log``) and what can't
-    be decoded (``dead_letter``: raw, topic, reason)."""
+    position (``state_partials``), the event log (``event_log``), what is wrong
+    (``dead_letter``: raw, topic, reason) and how much (``feed_quality``).
+    ``sink(partials, batch_id)`` takes the batch's partial sums besides
+    (``tables.jdbc_partials_writer``)."""
     return start_batches(
-        records, lambda df, bid: feed_batch(df, bid, root, sector_mode, missing_fsp),
+        records, lambda df, bid: feed_batch(df, bid, root, sector_mode, missing_fsp, sink),
         checkpoint, trigger, query_name)
 
 
 def feed_batch(records: DataFrame, batch_id: int, root: str, sector_mode: str = "submitted",
-               missing_fsp: str = "unknown") -> None:
-    """One micro-batch of records into state, log and dead letter. The records are
-    kept once; all three folders are by batch id, so a retry replaces them."""
-    records.persist()
+               missing_fsp: str = "unknown", sink=None) -> None:
+    """One micro-batch of records into all sinks. The decoded rows are computed and kept
+    once, and counted meanwhile; every sink filters them. All folders are by batch
+    id, so a retry replaces them."""
+    rows, seen = observed(decode_rows(records, missing_fsp))
+    rows.persist()
     try:
-        events, dead = decode_feed(records, missing_fsp)
-        tables.write_delta(dead, batch_id, f"{root}/dead_letter")
-        fold_batch(events, batch_id, tables.state_path(root, "partials"), f"{root}/event_log",
-                   sector_mode)
+        write_batch(events_of(rows), batch_id, tables.state_path(root, "partials"),
+                    f"{root}/event_log", sector_mode, sink)
+        tables.write_delta(dead_letter(rows).hint("rebalance"), batch_id, f"{root}/dead_letter")
+        tables.write_feed_quality(records.sparkSession, seen.get, batch_id,
+                                  f"{root}/feed_quality")
     finally:
-        records.unpersist()
+        rows.unpersist()
+
+
+def write_batch(events: DataFrame, batch_id: int, state_dir: str, log_path: str | None,
+                sector_mode: str = "submitted", sink=None) -> None:
+    """A micro-batch's log rows (if asked) and partial position. Idempotent by ``batch_id``."""
+    if log_path is not None:
+        tables.append_event_log(event_log_rows(events, sector_mode), batch_id, log_path)
+    partials = capital_position(events, sector_mode)
+    tables.write_delta(partials, batch_id, state_dir)
+    if sink is not None:
+        sink(partials, batch_id)
 
 
 def fold_batch(batch: DataFrame, batch_id: int, state_dir: str, log_path: str | None,
                sector_mode: str = "submitted") -> None:
-    """One micro-batch of events feeding both sinks from a single scan: the
-    batch is persisted, its log rows appended (if asked), its partial
-    position written. Idempotent by ``batch_id``."""
+    """One micro-batch of events feeding both sinks from a single scan."""
     batch.persist()
     try:
-        if log_path is not None:
-            tables.append_event_log(event_log_rows(batch, sector_mode), batch_id, log_path)
-        tables.write_delta(capital_position(batch, sector_mode), batch_id, state_dir)
+        write_batch(batch, batch_id, state_dir, log_path, sector_mode)
     finally:
         batch.unpersist()
 
@@ -157,4 +171,4 @@ def file_event_stream(spark: SparkSession, path: str, schema, glob: str | None =
 
 __all__ = ["ROCKSDB", "feed_batch", "file_event_stream", "fold_batch", "position_stream",
            "run_to_completion", "start_batches", "start_console", "start_feed_job",
-           "start_position_stream", "use_rocksdb"]
+           "start_position_stream", "use_rocksdb", "write_batch"]

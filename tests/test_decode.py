@@ -211,3 +211,40 @@ def test_record_time_is_utc_in_any_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert at == dt.datetime(2024, 1, 15, 10, 0)
+
+
+def test_the_last_of_a_repeated_name_counts(spark):
+    v = ('{"fspInformationId":"X","shareCapitalData":[{"reportingDate":"2024-01-15","tzsAmount":1,'
+         '"tzsAmount":7,"sectorSnaClassification":"B"}],"fspInformationId":"F"}')
+    good, bad = _decode(spark, [v])
+    assert [(g.fsp_id, g.amount) for g in good] == [("F", Decimal("7.0000"))] and not bad
+
+
+def test_a_bad_transaction_date_is_reported_and_its_money_counts(spark):
+    base = {"reportingDate": "2024-01-15", "tzsAmount": 3, "sectorSnaClassification": "B"}
+    values = [_msg([dict(base, transactionDate=d)]) for d in ("n/a", 5, "2024-02-30", "", " ", None)]
+    good, bad = _decode(spark, values)
+    assert {(g.amount, str(g.transaction_date)) for g in good} == {(Decimal("3.0000"), "2024-01-15")}
+    assert len(good) == 6 and [b.reason for b in bad] == ["bad_transaction_date"] * 3
+    assert all(json.loads(b.raw)["tzsAmount"] == 3 for b in bad)
+
+
+def test_a_strange_topic_is_one_dead_letter_whatever_it_holds(spark):
+    item = {"reportingDate": "2024-01-15", "tzsAmount": 1, "sectorSnaClassification": "B"}
+    good, bad = _decode(spark, [_msg([item, item]), _msg([])], topic="capital-drafts")
+    assert not good and [b.reason for b in bad] == ["unknown_topic"] * 2
+
+
+def test_rows_are_counted_by_reason_while_they_are_read(spark):
+    from netcap.sources.feeds import REASONS, decode_rows, events_of, observed
+    item = {"reportingDate": "2024-01-15", "tzsAmount": 1, "sectorSnaClassification": "B"}
+    values = ["{", None, _msg([]), _msg([item, 5, dict(item, reportingDate="x")]),
+              _msg([dict(item, transactionDate="x"), dict(item, tzsAmount="1e40")]), "{}"]
+    rows, seen = observed(decode_rows(records_df(spark, [(v, SHARE_T, i, T0)
+                                                         for i, v in enumerate(values)])))
+    assert events_of(rows).count() == 2
+    got = seen.get
+    assert got.pop("rows") == 8 and got.pop("events") == 2
+    assert {r: n for r, n in got.items() if n} == dict.fromkeys(
+        ("malformed", "null_value", "no_array", "bad_item", "bad_date", "amount_overflow",
+         "bad_transaction_date"), 1) and set(got) == set(REASONS)

@@ -79,6 +79,51 @@ def test_running_job_upserts_into_the_target(spark, tmp_dir):
     conn.close()
 
 
+def test_a_replayed_batch_is_added_once(spark, tmp_dir):
+    """The feed job's partial sums; the job dies between staging and statement, or after both."""
+    from netcap.sources.feeds import read_feed
+    from netcap.sources.publish import to_messages
+    from netcap.sources.tables import FENCE, jdbc_partials_writer, merge_add_sql
+    from netcap.streaming.position_stream import start_feed_job
+
+    conn, run = _target(spark)
+    for t in ("capital_state", "capital_state_staging"):
+        run(f"ALTER TABLE {t} ADD COLUMN {FENCE} BIGINT")
+    rows = [[ev(1, "SHARE", 5), ev(2, "RESERVE", 1, sector="X")], [ev(3, "SHARE", 2)],
+            [ev(4, "DEDUCTION", 1), ev(5, "SHARE", 1, sector="Y")]]
+    for i, part in enumerate(rows):
+        to_messages(events_df(spark, part)).coalesce(1).write.parquet(f"{tmp_dir}/in/f{i}")
+    crashes = iter([None, "before", "after", None, None])
+
+    def flaky(sql):
+        crash = next(crashes)
+        if crash == "before":
+            raise RuntimeError("died between staging and statement")
+        run(sql)
+        if crash == "after":
+            raise RuntimeError("died behind the statement")
+
+    sink = jdbc_partials_writer(URL, "capital_state", flaky, DRIVER, add_sql=merge_add_sql)
+    for died in (True, True, False):
+        records = read_feed(spark, "parquet", f"{tmp_dir}/in/*", {"maxFilesPerTrigger": "1"})
+        q = start_feed_job(records, f"{tmp_dir}/job", f"{tmp_dir}/ck", sink=sink)
+        if died:
+            with pytest.raises(Exception, match="died"):
+                run_to_completion(q, 600)
+        else:
+            run_to_completion(q, 600)
+    got = {tuple(r) for r in _read(spark)}
+    want = capital_position(events_df(spark, [r for part in rows for r in part])).collect()
+    assert got == {tuple(r) for r in want}
+    conn.close()
+
+
+def test_both_dialects_fence_by_batch():
+    from netcap.sources.tables import merge_add_sql, postgres_add_sql
+    assert "WHERE t.last_batch_id < EXCLUDED.last_batch_id" in postgres_add_sql("t", "s")
+    assert "WHEN MATCHED AND t.last_batch_id < s.last_batch_id" in merge_add_sql("t", "s")
+
+
 def test_the_upsert_is_required():
     with pytest.raises(TypeError):
         jdbc_state_writer(URL, "capital_state")

@@ -85,24 +85,99 @@ def test_console_sink_runs(spark, tmp_dir):
     run_to_completion(start_console(stream, checkpoint=f"{tmp_dir}/ck"), 300)
 
 
-def test_changelog_stream_continues_state_across_batches(spark, tmp_dir):
+def _changelog_run(spark, src, out, **limits):
+    from netcap.streaming.changelog_stream import start_changelog_stream
+    q = start_changelog_stream(file_event_stream(spark, src + "/*", EVENT_SCHEMA, **limits), out,
+                               f"{out}/ck")
+    run_to_completion(q, 600)
+    return q
+
+
+def test_changelog_stream_continues_state_across_batches_and_restarts(spark, tmp_dir):
     from netcap.operators.changelog import position_changelog
-    from netcap.streaming.changelog_stream import (
-        changelog_batch, read_changelog, start_changelog_stream,
-    )
+    from netcap.streaming.changelog_stream import changelog_state, read_changelog
+
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    os.makedirs(src)
+    chunks = [_rows(k * 100, 12, "2024-01-15", T0 + dt.timedelta(hours=k)) for k in range(3)]
+    chunks[2] += [ev(900, "SHARE", "-1234567890123456.7891", at=T0 + dt.timedelta(hours=9)),
+                  ev(901, "SHARE", None, at=T0 + dt.timedelta(hours=9)), ev(902, "OTHER", 1),
+                  ev(903, "SHARE", 1, sector=None)]
+    _write_files(spark, src, chunks[:2])
+    _changelog_run(spark, src, out, max_files_per_trigger=1)
+    events_df(spark, chunks[2]).coalesce(1).write.parquet(f"{src}/f2")
+    _changelog_run(spark, src, out)  # resumes: only the new file
+    everything = events_df(spark, [r for c in chunks for r in c])
+    expected = sorted(position_changelog(everything).collect())
+    assert sorted(read_changelog(spark, out).collect()) == expected
+    assert sorted(changelog_state(spark, f"{out}/ck").collect()) == sorted(
+        capital_position(everything).collect())
+    first = events_df(spark, chunks[0])
+    assert sorted(changelog_state(spark, f"{out}/ck", batch_id=0).collect()) == sorted(
+        capital_position(first).collect())
 
+
+def test_changelog_work_of_a_batch_does_not_grow_with_earlier_ones(spark, tmp_dir):
+    """Every batch reads its own events and its keys' state rows, the eighth like the second."""
+    src, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    os.makedirs(src)
+    _write_files(spark, src, [_rows(k * 100, 8, "2024-01-15", T0 + dt.timedelta(hours=k))
+                              for k in range(8)])
+    q = _changelog_run(spark, src, out, max_files_per_trigger=1)
+    progress = [p for p in q.recentProgress if p["numInputRows"]]
+    assert len(progress) == 8
+    assert {p["numInputRows"] for p in progress} == {8}
+    assert {len(p["sources"]) for p in progress} == {1}
+    assert {s["numRowsUpdated"] for p in progress[1:] for s in p["stateOperators"]} == {1}
+    assert {s["numRowsTotal"] for p in progress for s in p["stateOperators"]} == {1}
+
+
+def test_prefix_sums_of_a_key_are_exact_or_fail():
+    import numpy as np
+
+    from netcap.streaming.changelog_stream import NONE, PART, _STATE, running
+
+    rng = np.random.default_rng(1)
+    units = [int(x) * 10 ** 9 + int(y) for x, y in zip(
+        rng.integers(-10 ** 11, 10 ** 11, 500), rng.integers(0, 10 ** 9, 500), strict=True)]
+    source, at = rng.integers(0, 4, 500), np.sort(rng.integers(0, 50, 500))
+    at[0] = NONE
+    hi = np.array([abs(u) // PART * (1 if u > 0 else -1) for u in units])
+    events = {"event_id": np.arange(500), "source": source, "at": at, "hi": hi,
+              "lo": np.array([u - int(h) * PART for u, h in zip(units, hi, strict=True)])}
+    whole = running(events, None)
+    half = running({k: v[:200] for k, v in events.items()}, None)
+    rest = running({k: v[200:] for k, v in events.items()}, tuple(int(half[c][-1]) for c in _STATE))
+    for c in _STATE:
+        assert np.array_equal(np.concatenate([half[c], rest[c]]), whole[c])
+    for k in range(4):
+        want = [sum(u for u, s in zip(units[:n + 1], source, strict=False) if s == k)
+                for n in range(500)]
+        assert [int(h) * PART + int(x) for h, x in zip(whole[f"hi{k}"], whole[f"lo{k}"],
+                                                       strict=True)] == want
+    far = {**events, "hi": np.full(500, 1 << 60)}
+    with pytest.raises(OverflowError):
+        running(far, None)
+
+
+def test_state_store_holds_the_position_of_every_batch(spark, tmp_dir):
     src = f"{tmp_dir}/in"
     os.makedirs(src)
-    chunks = [_rows(0, 12, "2024-01-15", T0), _rows(100, 12, "2024-01-15", T0 + dt.timedelta(hours=1)),
-              _rows(200, 12, "2024-01-15", T0 + dt.timedelta(hours=2))]
+    chunks = [_rows(0, 10, "2024-01-15", T0), _rows(100, 6, "2024-01-16", T0),
+              [*_rows(200, 4, "2024-01-15", T0 + dt.timedelta(hours=1)), ev(300, "SHARE", None)]]
     _write_files(spark, src, chunks)
-    stream = file_event_stream(spark, src + "/*", EVENT_SCHEMA, max_files_per_trigger=1)
-    run_to_completion(start_changelog_stream(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck"), 600)
-    got = sorted(read_changelog(spark, f"{tmp_dir}/out").collect())
-    expected = sorted(position_changelog(events_df(spark, [r for c in chunks for r in c])).collect())
-    assert got == expected
-    changelog_batch(events_df(spark, chunks[1]), 1, f"{tmp_dir}/out")  # a retried batch
-    assert sorted(read_changelog(spark, f"{tmp_dir}/out").collect()) == expected
+    q = start_position_stream(
+        file_event_stream(spark, src + "/*", EVENT_SCHEMA, max_files_per_trigger=1), tmp_dir,
+        f"{tmp_dir}/ck", sink=tables.keep_in_store)
+    run_to_completion(q, 600)
+    for batch in range(3):
+        seen = events_df(spark, [r for c in chunks[:batch + 1] for r in c])
+        got = tables.read_state_store(spark, f"{tmp_dir}/ck", batch_id=batch)
+        assert sorted(got.collect()) == sorted(capital_position(seen).collect()), batch
+    newest = tables.read_state_store(spark, f"{tmp_dir}/ck")
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id" not in plan and "Exchange" not in plan and newest.count() == 2
+    assert not os.path.exists(tables.state_path(tmp_dir, "stateful"))
 
 
 def test_whole_feed_job_writes_state_log_and_dead_letter(spark, tmp_dir):
@@ -127,6 +202,78 @@ def test_whole_feed_job_writes_state_log_and_dead_letter(spark, tmp_dir):
         "malformed"}
 
 
+def _feed_records(spark, rows):
+    from netcap.sources.publish import to_messages
+    return to_messages(events_df(spark, rows))
+
+
+def test_a_micro_batch_parses_its_payloads_once(spark, tmp_dir, monkeypatch):
+    """All sinks read the rows that are kept; the counts are taken on the way."""
+    from netcap.streaming import position_stream
+
+    plans = []
+
+    def watched(name):
+        plain = getattr(tables, name)
+
+        def write(df, *args):
+            plain(df, *args)
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        monkeypatch.setattr(tables, name, write)
+
+    watched("write_delta")
+    watched("append_event_log")
+    parsed = []
+    plain_rows = position_stream.decode_rows
+    monkeypatch.setattr(position_stream, "decode_rows", lambda *a: (
+        parsed.append(1), plain_rows(*a))[1])
+    records = _feed_records(spark, _rows(0, 40, "2024-01-15", T0))
+    position_stream.feed_batch(records, 0, f"{tmp_dir}/job")
+    cached = [p for p in plans if "parseJson" in p or "InMemoryTableScan" in p]
+    assert len(parsed) == 1 and len(cached) == 3
+    for p in cached:
+        assert "InMemoryTableScan" in p and "parseJson" not in p.split("InMemoryRelation")[0]
+        assert p.count("parseJson") <= 1  # below the kept rows
+    quality = {r.counted: r.n for r in tables.read_feed_quality(
+        spark, f"{tmp_dir}/job/feed_quality").collect()}
+    assert quality["rows"] == quality["events"] == 40 and sum(quality.values()) == 80
+
+
+def test_event_log_has_a_folder_per_date_and_few_files(spark, tmp_dir):
+    from netcap.operators.eventlog import event_log_rows
+    rows = [r for d in range(1, 6) for r in _rows(d * 1000, 50, f"2024-01-0{d}", T0)]
+    files = []
+    for partitions in ("3", "50"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            log = event_log_rows(events_df(spark, rows).repartition(int(partitions)))
+            tables.append_event_log(log, 0, f"{tmp_dir}/log{partitions}")
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        files.append(sum(f.endswith(".parquet") for _, _, names in os.walk(
+            f"{tmp_dir}/log{partitions}") for f in names))
+    assert files == [5, 5]
+    tables.append_event_log(event_log_rows(events_df(spark, rows)), 0, f"{tmp_dir}/log3")  # a retry
+    some = tables.read_event_log(spark, f"{tmp_dir}/log3", ["2024-01-02", "2024-01-05"])
+    assert some.count() == 100
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [reporting_date" in plan
+
+
+def test_a_snapshot_run_that_is_repeated_replaces_itself(spark, tmp_dir):
+    from netcap.operators.snapshot import official_position, take_snapshot
+    state = capital_position(events_df(spark, _rows(0, 8, "2024-01-15", T0)
+                                       + _rows(50, 8, "2024-01-16", T0)))
+    noon = dt.datetime(2024, 1, 15, 12, 0, 0, 5)
+    for _ in range(2):
+        tables.write_snapshot(take_snapshot(state, "2024-01-15", noon), f"{tmp_dir}/s")
+        tables.write_snapshot(take_snapshot(state), f"{tmp_dir}/s")
+    stored = tables.read_snapshots(spark, f"{tmp_dir}/s")
+    assert stored.count() == 3 and official_position(stored).count() == 2
+    tables.append_snapshot(take_snapshot(state), f"{tmp_dir}/s")  # the reference's way: adds
+    assert tables.read_snapshots(spark, f"{tmp_dir}/s").count() == 5
+
+
 def test_streams_read_a_folder_of_part_files(spark, tmp_dir):
     from netcap.plans import QUERIES
     spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(5).write.parquet(
