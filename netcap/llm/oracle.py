@@ -63,7 +63,13 @@ select doc_id, source, rate, copies::int copies, copy::int copy, shuffle_key,
   row_number() over (order by shuffle_key, doc_id, copy, source) - 1 place from keyed"""
 
 
-def _url_templates(depth: int = 4, max_children: int = 16) -> str:
+def _url_templates(depth: int = 8) -> str:
+    """All levels on which paths of a host can part, up to ``depth``."""
+    def differs(bad: str, lab: str, of_bad: str, of_lab: str) -> str:
+        rate = f"(({of_bad} + 4.0::double * 0.1::double) / ({of_lab} + 4.0::double))"
+        off = f"({bad} - {lab} * {rate})"
+        return f"{off} * {off} > 3.84::double * ({lab} * ({rate} * (1.0::double - {rate})))", f"{off} > 0"
+
     out = f"""
 with a as (select page_id, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '') after,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') path from pages),
@@ -77,37 +83,39 @@ r as (select *, case
     when h like '%.org' and starts_with(path, '/') then 'org/' end rule from c),
 s as (select page_id, host, path, rule, case when rule is null then null when rule in ('org/', 'com/fr/')
       then 0 else 1 end bad, string_split(path, '/') parts from r),
-t as (select *, list_transform(parts[2:{depth + 1}], lambda x: case
+base as (select *, list_transform(parts[2:], lambda x: case
       when regexp_full_match(x, '[0-9]+(\\.[A-Za-z0-9]+)?') then regexp_replace(x, '^[0-9]+', '{{n}}')
       when regexp_full_match(x, '[0-9A-Fa-f-]{{8,}}') then '{{h}}' else x end) segs from s),
-base as (select *, array_to_string(list_transform(segs, lambda x: '/' || x), '')
-      || case when len(parts) > {depth + 1} then '/**' else '' end lex from t),
-l0 as (select host, lex, any_value(segs) segs, count(bad) lab, coalesce(sum(bad), 0) bad, '' tpl
-      from base group by host, lex)"""
+l0 as (select host, segs, count(*)::double pages, count(bad)::double lab, coalesce(sum(bad), 0)::double bad, '' tpl
+      from base group by host, segs)"""
     for i in range(depth):
+        first, above = differs("bad", "lab", "p_bad", "p_lab")
+        again, _ = differs("bad", "lab", "g_bad", "g_lab")
         out += f""",
-n{i} as (select host, tpl, segs[{i + 1}] seg, sum(lab) lab, sum(bad) bad from l{i}
+n{i} as (select host, tpl, segs[{i + 1}] seg, sum(lab) lab, sum(bad) bad, sum(pages) pages from l{i}
       where len(segs) > {i} group by 1, 2, 3),
-k{i} as (select *, count(*) over w kids, sum(lab) over w p_lab, sum(bad) over w p_bad from n{i}
+k{i} as (select *, sum(lab) over w p_lab, sum(bad) over w p_bad, sum(pages) over w p_pages from n{i}
       window w as (partition by host, tpl)),
-e{i} as (select *, case when kids <= {max_children} then
-      floor(10.0 * ((bad + 4.0 * ((p_bad + 4.0 * 0.1::double) / (p_lab + 4.0::double))) / (lab + 4.0::double)))::bigint
-      end tenth from k{i}),
-m{i} as (select *, count(*) over (partition by host, tpl, tenth) alike from e{i}),
-l{i + 1} as (select x.host, x.lex, x.segs, x.lab, x.bad, x.tpl || case when len(x.segs) <= {i} then ''
-      when m.kids > {max_children} then '/*' when alike > 1 then '/~' || tenth else '/' || seg end tpl
+e{i} as (select *, case when not ({first}) then '~' when {above} then '~+' else '~-' end side from k{i}
+      where lab >= 4 or pages * 16 >= p_pages),
+g{i} as (select *, sum(lab) over v g_lab, sum(bad) over v g_bad from e{i}
+      window v as (partition by host, tpl, side)),
+h{i} as (select *, side = '~' or not ({again}) alike from g{i}),
+m{i} as (select *, count(*) over (partition by host, tpl, side, alike) many from h{i}),
+l{i + 1} as (select x.host, x.segs, x.pages, x.lab, x.bad, x.tpl || case when len(x.segs) <= {i} then ''
+      when m.seg is null then '/*' when alike and many > 1 then '/' || side else '/' || m.seg end tpl
       from l{i} x left join m{i} m on m.host = x.host and m.tpl = x.tpl and m.seg = x.segs[{i + 1}])"""
     return out + f""",
-tree as (select host, lex, tpl || case when ends_with(lex, '/**') then '/**' else '' end tpl, lab, bad
-      from l{depth}),
-p as (select host, lex, tpl, sum(lab) over g g_lab, sum(bad) over g g_bad, sum(lab) over t t_lab,
+tree as (select host, segs, tpl || array_to_string(list_transform(segs[{depth + 1}:], lambda x: '/' || x), '') tpl,
+      lab, bad from l{depth}),
+p as (select host, segs, tpl, sum(lab) over g g_lab, sum(bad) over g g_bad, sum(lab) over t t_lab,
       sum(bad) over t t_bad from tree
-      window g as (partition by lex), t as (partition by host, tpl)),
-u as (select host, lex, tpl, (t_bad + 4.0::double * ((g_bad + 4.0::double * 0.1::double) / (g_lab + 4.0::double)))
+      window g as (partition by segs), t as (partition by host, tpl)),
+u as (select host, segs, tpl, (t_bad + 4.0::double * ((g_bad + 4.0::double * 0.1::double) / (g_lab + 4.0::double)))
       / (t_lab + 4.0::double) purity from p)
 select page_id, host, path, rule, case when base.bad = 1 then 'block' when base.bad = 0 then 'allow'
   when purity >= 0.5 then 'block' else 'allow' end verdict, tpl as "template", purity
-from base join u using (host, lex)"""
+from base join u using (host, segs)"""
 
 
 def _tool_calls() -> str:
@@ -157,6 +165,8 @@ select query_id, rank, vec_id, score from r where rank <= 20"""
 
 
 def _line_dedup(min_words: int = 10) -> str:
+    """Equal lines, later and earlier, are strung together along the diagonals of two
+    documents: maximal runs. Those of enough words go from the later place."""
     blank = "[\\x20\\x09-\\x0D]"
     return f"""
 with d as (select doc_id, coalesce(text, '') tx from documents),
@@ -164,21 +174,20 @@ l as (select doc_id, tx, unnest(range(len(string_split(tx, chr(10))))) k,
         unnest(string_split(tx, chr(10))) raw from d where tx <> ''),
 s as (select doc_id, tx, k, regexp_replace(raw, '^{blank}+|{blank}+$', '', 'g') line, raw from l),
 w as (select *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) words from s),
-f as (select *, sum(words) over (partition by doc_id, tx order by k) upto from w where words > 0),
-e as (select a.doc_id, a.tx, a.k, min(b.k) last from f a join f b on b.doc_id = a.doc_id and b.tx = a.tx
-        and b.k >= a.k and b.upto - a.upto + a.words >= {min_words} group by 1, 2, 3),
-win as (select e.doc_id, e.tx, e.k, e.last, string_agg(f.line, chr(10) order by f.k) body
-        from e join f on f.doc_id = e.doc_id and f.tx = e.tx and f.k between e.k and e.last group by 1, 2, 3, 4),
-late as (select * from (select *, row_number() over (partition by body order by doc_id, k) n from win)
-         where n > 1),
-gone as (select distinct w.doc_id, w.tx, w.k from w join late t on t.doc_id = w.doc_id and t.tx = w.tx
-         and w.k between t.k and t.last),
-kept as (select w.doc_id, w.tx, count(*) n_lines, count(g.k) n_deleted,
+f as (select *, row_number() over (partition by doc_id order by k) r from w where words > 0),
+met as (select a.doc_id, a.k, a.r, a.words, b.doc_id of, a.r - b.r diagonal from f a join f b on a.line = b.line
+        and (b.doc_id < a.doc_id or b.doc_id = a.doc_id and b.k < a.k)),
+strung as (select *, r - row_number() over (partition by doc_id, of, diagonal order by r) run from met),
+runs as (select doc_id, min(k) first, max(k) last from strung group by doc_id, of, diagonal, run
+         having sum(words) >= {min_words}),
+gone as (select distinct w.doc_id, w.k from w join (select distinct * from runs) t on t.doc_id = w.doc_id
+         and w.k between t.first and t.last),
+kept as (select w.doc_id, count(*) n_lines, count(g.k) n_deleted,
            coalesce(string_agg(raw, chr(10) order by w.k) filter (where g.k is null), '') body
-         from w left join gone g on g.doc_id = w.doc_id and g.tx = w.tx and g.k = w.k group by 1, 2)
+         from w left join gone g on g.doc_id = w.doc_id and g.k = w.k group by 1)
 select d.doc_id, coalesce(n_lines, 0)::int n_lines, coalesce(n_deleted, 0)::int n_deleted,
   length(coalesce(body, ''))::int kept_chars, md5(coalesce(body, '')) kept_md5
-from d left join kept k on k.doc_id = d.doc_id and k.tx = d.tx"""
+from d left join kept k on k.doc_id = d.doc_id"""
 
 
 def _ngram_join() -> str:

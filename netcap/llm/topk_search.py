@@ -11,7 +11,7 @@ bounded with few segments, what can still reach the query's k-th best with
 more of them, and survivors are computed exactly. Nothing is dropped that could
 be a result: the search is exact.
 
-Vectors and queries are dealt into blocks of bounded size by a hash of the id;
+Vectors and queries are dealt into blocks of bounded size by a hash of id and row;
 a task gets one block of candidates and one block of queries (co-grouped),
 and returns at most k rows for a query. The first threshold of a query is its
 k-th best among ``PIVOTS`` vectors (those with the smallest hashes), a bound
@@ -20,10 +20,11 @@ pass the driver.
 
 Defined results: null ids and null vectors, and vectors holding null or
 non-finite components, take no part; empty vectors neither. Vectors of
-another length than the query's aren't its candidates. Rows that share an id
-count as one, with the smallest vector (so repeated rows change nothing). Ties
-go to the smaller id; fewer candidates than k: all of them. Components and
-scores have to fit a long. Extra columns are ignored.
+another length than the query's aren't its candidates. Every row counts: rows that share
+an id are candidates each (but not for a query of that id), and several rows of one query id
+are ranked together. Ties go to the smaller id; fewer candidates than k: all of
+them; an empty table gives no rows. Components and scores have to fit a long. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -127,8 +128,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K,
     query_id, rank (from 1), vec_id, score."""
     rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "vec")
             .filter(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0))
-            .groupBy("vec_id").agg(F.min("vec").alias("vec"))
-            .withColumn("dim", F.size("vec")).withColumn("h", F.xxhash64("vec_id")))
+            .withColumn("dim", F.size("vec"))
+            # By row, not by id: rows that share an id are dealt over all blocks.
+            .withColumn("h", F.xxhash64("vec_id", F.monotonically_increasing_id())))
     sizes = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
     n_c = max(1, -(-sizes["n"] // candidates_per_block))
     n_q = max(1, -(-sizes["q"] // queries_per_block))

@@ -2,22 +2,30 @@
 
 ``judge_urls`` parses every url into host and path, applies the rules
 (longest fitting rule wins), and judges the urls that no rule fits by the
-method: per host, paths become templates. Variable segments become wildcards:
-numbers, hex ids, and at positions with more than ``max_children`` different
-values the rare ones, with fewer than ``SMOOTHING`` labels and less than a
-``max_children``-th of the place's pages. Sibling branches that aren't rare and whose
-smoothed block rates fall into the same tenth are merged. A template is rejected when its smoothed labelled purity
-(share of blocked among labelled urls, backed off to the same lexical path
-over all hosts) reaches ``block_at``. Labels come from the rules, or from a
-label column (1 block, 0 allow) if one is given.
+method: per host, paths become templates, level by level.
+
+* Variable segments become wildcards: numbers and hex ids by their form; at any place, what
+  is rare there, with fewer than ``SMOOTHING`` labels and less than a ``RARE``-th of
+  the place's pages. A segment's own evidence decides, not how many others there are.
+* Statistically similar branches merge. A branch is tested against its place: labels b of l
+  blocked, where the place's rate is p, differ if (b - l p)^2 > ``CRITICAL`` l p (1 - p)
+  (one degree of freedom, 5 %), so ten thousand labels tell 0.20 from 0.22 and four don't.
+  Those that don't differ are one branch, ``~``. Those above, and those below, are tested
+  again, against their own side's rate: alike ones merge to ``~+`` and ``~-``, the others stay
+  as they are.
+
+A template is rejected when its smoothed labelled purity (share of blocked among labelled
+urls, backed off to the same lexical path over all hosts) reaches ``block_at``. Labels come
+from the rules, or from a label column (1 block, 0 allow) if one is given.
 
 Only DataFrame functions run here. Pages are aggregated to (host, lexical
 path) before anything else is shuffled, so a hot host arrives at the tree as
 a few counted rows. No window runs over a node's children, of which there
-may be many with labels: they are counted by tenth.
+may be many with labels: rates are sums per place and side.
 
-``depth`` levels of a path are literal, what lies deeper is one ``**``; so the query's
-SQL has it. With ``depth=None`` levels are built until no path goes on.
+Levels are built until no two paths of a host share a place, so a long path takes a level
+only while others go with it. ``depth`` levels are literal if it is given, what lies deeper is
+one ``**``.
 
 Defined results: null url, or one without ``://``: host and path empty, no
 rule; a null id is kept; repeated rows are all judged, each counts as a
@@ -57,8 +65,8 @@ RULES = [
 ]
 # --- end of fixed values ---
 
-MAX_CHILDREN = 16   # with more different values at one place of a host, rare ones are a variable
-DEPTH = 4           # literal levels of the tree; what lies deeper is one "**"
+RARE = 16           # a segment with less than one of so many pages of its place is rare
+CRITICAL = 3.84     # of a squared deviation: 5 % of chi-square with one degree of freedom
 SMOOTHING = 4.0     # weight, in labels, of the value that a rate is smoothed to
 PRIOR = 0.1         # block rate where nothing is labelled
 BLOCK_AT = 0.5      # purity from which a template is rejected
@@ -99,50 +107,63 @@ def smoothed(bad: Column, labelled: Column, towards: Column) -> Column:
     return (bad + a * towards) / (labelled + a)
 
 
-def template_tree(paths: DataFrame, max_children: int = MAX_CHILDREN,
-                  depth: int | None = DEPTH) -> DataFrame:
+def differs(bad: Column, labelled: Column, of_bad: Column, of_labelled: Column) -> tuple:
+    """Whether a branch's labels differ from a rate, and whether they lie above it."""
+    rate = smoothed(of_bad, of_labelled, F.lit(PRIOR))
+    off = bad - labelled * rate
+    return off * off > F.lit(CRITICAL) * (labelled * (rate * (F.lit(1.0) - rate))), off > 0
+
+
+def branch_names(nodes: DataFrame) -> DataFrame:
+    """``nodes``: host, template, seg, lab, bad, pages. The name of each that isn't rare."""
+    spark = nodes.sparkSession
+    place, own = ["host", "template"], ["lab", "bad"]
+    whole = nodes.groupBy(*place).agg(F.sum("lab").alias("p_lab"), F.sum("bad").alias("p_bad"),
+                                      F.sum("pages").alias("p_pages"))
+    differ, above = differs(F.col("bad"), F.col("lab"), F.col("p_bad"), F.col("p_lab"))
+    side = F.when(~differ, F.lit("~")).when(above, F.lit("~+")).otherwise(F.lit("~-"))
+    rated = written(spark, nodes.join(whole, place)
+                    .filter((F.col("lab") >= SMOOTHING) | (F.col("pages") * RARE >= F.col("p_pages")))
+                    .select(*place, "seg", *own, side.alias("side")), "op9-rated")
+    sides = rated.groupBy(*place, "side").agg(F.sum("lab").alias("g_lab"), F.sum("bad").alias("g_bad"))
+    again, _ = differs(F.col("bad"), F.col("lab"), F.col("g_bad"), F.col("g_lab"))
+    judged = written(spark, rated.join(sides, [*place, "side"]).select(
+        *place, "seg", "side", ((F.col("side") == "~") | ~again).alias("alike")), "op9-sides")
+    many = judged.groupBy(*place, "side", "alike").agg(F.count("*").alias("many"))
+    return judged.join(many, [*place, "side", "alike"]).select(
+        *place, "seg", F.when(F.col("alike") & (F.col("many") > 1), F.col("side"))
+        .otherwise(F.col("seg")).alias("name"))
+
+
+def template_tree(paths: DataFrame) -> DataFrame:
     """``paths``: host, lex, segs, pages, labelled, bad, one row per (host, lex).
     Adds ``template``, built one level of the tree at a time."""
-    tree = written(paths.sparkSession, paths.withColumn("template", F.lit("")), "op9-tree")
-    if depth is None:
-        depth = tree.agg(F.max(F.size("segs"))).first()[0] or 0
-    for i in range(depth):
-        seg = F.get(F.col("segs"), F.lit(i))
-        tree = tree.withColumn("seg", seg)
-        nodes = (tree.filter(F.col("seg").isNotNull()).groupBy("host", "template", "seg")
-                 .agg(F.sum("labelled").alias("lab"), F.sum("bad").alias("bad"),
-                      F.sum("pages").alias("pages")))
-        parents = (nodes.groupBy("host", "template")
-                   .agg(F.count("*").alias("children"), F.sum("lab").alias("p_lab"),
-                        F.sum("bad").alias("p_bad"), F.sum("pages").alias("p_pages")))
-        # Rare children of crowded nodes need no rate: all of them are one wildcard.
-        rated = (nodes.join(parents, ["host", "template"])
-                 .filter((F.col("children") <= max_children) | (F.col("lab") >= SMOOTHING)
-                         | (F.col("pages") * max_children >= F.col("p_pages")))
-                 .withColumn("tenth", F.floor(F.lit(10.0) * smoothed(
-                     F.col("bad"), F.col("lab"),
-                     smoothed(F.col("p_bad"), F.col("p_lab"), F.lit(PRIOR))))))
-        rated = written(paths.sparkSession, rated.select("host", "template", "seg", "tenth"),
-                        "op9-rated")
-        alike = rated.groupBy("host", "template", "tenth").agg(F.count("*").alias("alike"))
-        names = rated.join(alike, ["host", "template", "tenth"]).select(
-            "host", "template", "seg",
-            F.when(F.col("alike") > 1, F.concat(F.lit("~"), F.col("tenth").cast("string")))
-            .otherwise(F.col("seg")).alias("name"))
-        tree = (tree.join(names, ["host", "template", "seg"], "left")
-                .withColumn("template", F.when(F.col("seg").isNull(), F.col("template")).otherwise(
-                    F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*")))))
-                .drop("seg", "name"))
-        # A level uses the tree four times: written, it is planned and computed once.
-        tree = written(paths.sparkSession, tree, "op9-tree")
+    spark, i = paths.sparkSession, 0
+    tree = written(spark, paths.withColumn("template", F.lit("")), "op9-tree")
+    while True:
+        at = tree.withColumn("seg", F.get(F.col("segs"), F.lit(i)))
+        deeper = at.filter(F.col("seg").isNotNull())
+        shared = deeper.groupBy("host", "template").agg(F.count("*").alias("n"))
+        if (shared.agg(F.max("n")).first()[0] or 0) < 2:  # all paths are alone at their places
+            break
+        nodes = deeper.groupBy("host", "template", "seg").agg(
+            *[F.sum(c).cast("double").alias(n) for c, n in (
+                ("labelled", "lab"), ("bad", "bad"), ("pages", "pages"))])
+        named = at.join(branch_names(nodes), ["host", "template", "seg"], "left")
+        # A level uses the tree often: written, it is planned and computed once.
+        tree, i = written(spark, named.withColumn("template", F.when(
+            F.col("seg").isNull(), F.col("template")).otherwise(
+                F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*")))))
+            .drop("seg", "name"), "op9-tree"), i + 1
+    rest = F.slice("segs", F.lit(i + 1), F.greatest(F.size("segs") - i, F.lit(0)))
     return tree.withColumn("template", F.concat(
-        "template", F.when(F.col("lex").endswith("/**"), "/**").otherwise("")))
+        "template", F.array_join(F.transform(rest, lambda s: F.concat(F.lit("/"), s)), ""),
+        F.when(F.col("lex").endswith("/**"), "/**").otherwise("")))
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id",
                url_col: str = "url", label_col: str | None = None,
-               max_children: int = MAX_CHILDREN, depth: int | None = DEPTH,
-               block_at: float = BLOCK_AT) -> DataFrame:
+               depth: int | None = None, block_at: float = BLOCK_AT) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, template, purity."""
     url = F.col(url_col).cast("string")
     label = F.col(label_col).cast("int") if label_col else F.lit(None).cast("int")
@@ -164,7 +185,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_
              .agg(F.first("segs").alias("segs"), F.count("*").alias("pages"),
                   F.count("label").alias("labelled"),
                   F.coalesce(F.sum("label"), F.lit(0)).alias("bad")))
-    tree = template_tree(paths, max_children, depth)
+    tree = template_tree(paths)
     by_template = tree.groupBy("host", "template").agg(
         F.sum("labelled").alias("t_lab"), F.sum("bad").alias("t_bad"))
     anywhere = tree.groupBy("lex").agg(F.sum("labelled").alias("g_lab"),

@@ -38,43 +38,55 @@ def components(rows):
     return [(doc, len(sets[i]), least[find(i)]) for i, (doc, _) in enumerate(rows)]
 
 
+def word_lines(text):
+    """(line number, line, words) of each line with words."""
+    return [(k, s, len(WORD.findall(s))) for k, x in enumerate((text or "").split("\n"))
+            if (s := x.strip(" \t\n\r\x0b\x0c"))]
+
+
 def line_windows(text, min_words):
-    lines = [(k, s) for k, x in enumerate(text.split("\n"))
-             if (s := x.strip(" \t\n\r\x0b\x0c"))]
+    """{(first line, last line)}: as few lines as hold the words, from each line on and back."""
+    lines, out = word_lines(text), set()
     for i in range(len(lines)):
-        words, body = 0, []
-        for k, s in lines[i:]:
-            words += len(WORD.findall(s))
-            body.append(s)
-            if words >= min_words:
-                yield lines[i][0], k, tuple(body)
-                break
+        on = [e for e in range(i, len(lines)) if sum(n for *_, n in lines[i:e + 1]) >= min_words]
+        back = [b for b in range(i + 1) if sum(n for *_, n in lines[b:i + 1]) >= min_words]
+        out |= {(lines[i][0], lines[on[0]][0])} if on else set()
+        out |= {(lines[back[-1]][0], lines[i][0])} if back else set()
+    return out
 
 
 def dedup_lines(rows, min_words):
-    """{(doc_id, text): text left}; the first place of a window is by (doc_id, line)."""
+    """{(doc_id, text): text left}. Each line is set against every earlier equal one; such
+    pairs that follow each other in both places are a run. First places are by (doc_id, line)."""
     rows = sorted(set(rows), key=lambda r: (r[0] is not None, r[0]))
-    met, out = set(), {}
+    places, at, out = {}, 0, {}
     for doc, text in rows:
-        gone = set()
-        for first, last, body in line_windows(text or "", min_words):
-            if body in met:
-                gone.update(range(first, last + 1))
-            met.add(body)
+        lines, gone, going = word_lines(text), set(), {}
+        for i in range(len(lines) + 1):
+            met = places.get(lines[i][1], []) if i < len(lines) else []
+            now = {p: going.get(p - 1, i) for p in met}
+            for p, first in going.items():
+                if p + 1 not in now and sum(n for *_, n in lines[first:i]) >= min_words:
+                    gone.update(range(lines[first][0], lines[i - 1][0] + 1))
+            going = now
+            if i < len(lines):
+                places.setdefault(lines[i][1], []).append(at)
+            at += 1  # one more behind a document: no run goes on into the next
         out[doc, text] = text if not gone else "\n".join(
             x for k, x in enumerate(text.split("\n")) if k not in gone)
     return out
 
 
 def top_k(rows, is_query, k):
-    """[(id, vector)] -> {(query, rank, id, score)}."""
-    out = set()
-    for q, x in rows:
-        if is_query(q):
-            scored = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i)
-                            for i, y in rows if i != q and len(y) == len(x))
-            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])}
-    return out
+    """[(id, vector)] -> sorted [(query, rank, id, score)]; every row counts, those of one query
+    id are ranked together."""
+    out = []
+    for q in {i for i, _ in rows if is_query(i)}:
+        scored = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i)
+                        for of, x in rows if of == q
+                        for i, y in rows if i != q and len(y) == len(x))
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
 
 
 def ids_of(text, tokenizer):

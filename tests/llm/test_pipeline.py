@@ -115,5 +115,5 @@ def test_stages_take_no_rows(spark):
 
 def test_registration():
     names = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and "pipeline" not in E.oracle_sql()

@@ -152,8 +152,8 @@ def test_line_runs_grow_both_ways():
 @given(st.lists(st.sampled_from(["", " ", "a b c", "d e f g h", "x", "q\x0bw"]), max_size=9))
 def test_windows_match_plain(lines):
     text = "\n".join(lines)
-    assert [w[:2] for w in line_dedup.text_windows(text, 5)] == [
-        w[:2] for w in plain.line_windows(text, 5)]
+    got = [w[:2] for w in line_dedup.text_windows(text, 5)]
+    assert len(got) == len(set(got)) and set(got) == plain.line_windows(text, 5)
 
 
 def whole_runs_left(rows, min_words):
@@ -183,9 +183,21 @@ def test_line_dedup_deletes_whole_runs(spark):
              for k in range(60)]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
     assert got == whole_runs_left(rows, line_dedup.MIN_WORDS)
+    assert got == {d: t for (d, _), t in plain.dedup_lines(rows, line_dedup.MIN_WORDS).items()}
     assert [got[k] for k in (2, 3, 5)] == [f"{b}\n{c}", "x y\nz", "q"]
 
 
+def test_copied_runs_leave_nothing_whatever_their_last_lines_hold(spark):
+    rng = random.Random(8)
+    a, b, c = (prose(rng, n, 100_000) for n in (12, 4, 3))
+    run = "\n".join([a, b, c])
+    rows = [(1, run), (2, run), (3, run), (4, "\n".join([a, "own words"])),
+            (5, "\n".join(["own words", b, c, a]))]
+    got = {r["doc_id"]: r["kept_chars"] for r in
+           line_dedup.line_dedup_report(frame(spark, rows)).collect()}
+    assert got == {1: len(run), 2: 0, 3: 0, 4: 9, 5: len("own words") + 2 + len(b) + len(c)}
+
+
 def test_line_dedup_moves_only_a_row_s_own_runs(spark, monkeypatch):
     """Rows that share an id, or have none, get the runs of their text, not of all of these rows."""
     rng = random.Random(11)
