@@ -72,6 +72,52 @@ def composite_key(fsp="fsp_id", sector="sector", date="reporting_date") -> Colum
     return F.concat_ws(":", *[F.coalesce(p, F.lit("")) for p in parts])
 
 
+# Murmur2 as keyed producers use it (public definition). Fixed values.
+_SEED, _FACTOR, _WORD = 0x9747B28C, 0x5BD1E995, 0xFFFFFFFF
+
+
+def _times_factor(x) -> Column:
+    """``x * _FACTOR`` modulo 2^32, in halves so that no long overflows."""
+    high = F.shiftleft((x * F.lit(_FACTOR >> 16)).bitwiseAND(F.lit(0xFFFF)), 16)
+    return (x * F.lit(_FACTOR & 0xFFFF) + high).bitwiseAND(F.lit(_WORD))
+
+
+def _little_endian(hex8) -> Column:
+    """Four bytes in hex digits as an unsigned word, the first byte the lowest."""
+    return F.conv(F.concat(*[F.substring(hex8, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("long")
+
+
+def _with_value(x, f) -> Column:
+    """``f(x)`` with ``x`` computed once, however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def murmur2(key) -> Column:
+    """Murmur2 of a string's UTF-8 bytes, as an unsigned 32-bit number in a long: what
+    a keyed producer hashes by. NULL stays NULL."""
+    digits, size = F.hex(_col(key)), F.octet_length(_col(key)).cast("long")
+    words = F.transform(F.regexp_extract_all(digits, F.lit("[0-9A-F]{8}"), F.lit(0)),
+                        lambda w: _times_factor(_little_endian(w)))
+    words = F.transform(words, lambda w: w.bitwiseXOR(F.shiftright(w, 24)))
+    h = F.aggregate(F.transform(words, _times_factor), F.lit(_SEED).bitwiseXOR(size),
+                    lambda a, w: _times_factor(a).bitwiseXOR(w))
+    left = size % 4
+    tail = F.rpad(F.right(digits, (left * 2).cast("int")), 8, "0")
+    h = F.when(left == 0, h).otherwise(_with_value(
+        h.bitwiseXOR(_little_endian(tail)), _times_factor))
+    h = _with_value(h, lambda x: x.bitwiseXOR(F.shiftright(x, 13)))
+    h = _with_value(h, _times_factor)
+    return _with_value(h, lambda x: x.bitwiseXOR(F.shiftright(x, 15)))
+
+
+def keyed_partition(key, num_partitions: int) -> Column:
+    """The topic partition that a keyed producer's default partitioner sends a key to:
+    murmur2 without its sign bit, modulo the number of partitions. All messages of a key
+    share one, in whatever topic of that many partitions. NULL for a missing key (a producer
+    may choose any partition for those)."""
+    return (murmur2(key).bitwiseAND(F.lit(0x7FFFFFFF)) % num_partitions).cast("int")
+
+
 def age_millis(as_of, last_update) -> Column:
     """as_of minus last_update in whole milliseconds (NULL if never updated)."""
     return epoch_millis(as_of) - epoch_millis(last_update)

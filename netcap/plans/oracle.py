@@ -216,6 +216,27 @@ _ITEM = ("'{\"reportingDate\":\"' || reporting_date || '\"' || CASE source_type
          "'(\\.[0-9]*[1-9])0+$', '\\1'), '\\.0+$', '') || '}'")
 
 
+# Murmur2 of the key in whole numbers of 128 bits, over the words of four bytes and the rest.
+_M = "* 1540483477) % 4294967296"
+_MURMUR = f"""
+  read AS (SELECT DISTINCT message_key, length(message_key) AS n, list_transform(
+      string_split(message_key, ''), lambda c: CAST(CASE WHEN c = '' THEN 0 ELSE ord(c) END
+      AS HUGEINT)) AS b FROM keyed),
+  words AS (SELECT *, list_transform(range(n // 4), lambda i: ((b[4*i+1] + 256 * b[4*i+2]
+      + 65536 * b[4*i+3] + 16777216 * b[4*i+4]) {_M}) AS w,
+    (CASE WHEN n % 4 > 0 THEN b[n // 4 * 4 + 1] ELSE 0 END)
+      + 256 * (CASE WHEN n % 4 > 1 THEN b[n // 4 * 4 + 2] ELSE 0 END)
+      + 65536 * (CASE WHEN n % 4 > 2 THEN b[n // 4 * 4 + 3] ELSE 0 END) AS rest FROM read),
+  hashed AS (SELECT *, list_reduce(list_prepend(xor(2538058380::HUGEINT, n::HUGEINT),
+      list_transform(w, lambda k: (xor(k, k // 16777216) {_M})),
+      lambda h, k: xor((h {_M}, k)) AS h FROM words),
+  rested AS (SELECT message_key, CASE WHEN n % 4 > 0 THEN (xor(h, rest) {_M} ELSE h END AS h
+    FROM hashed),
+  mixed AS (SELECT message_key, (xor(h, h // 8192) {_M} AS h FROM rested),
+  parted AS (SELECT message_key,
+    CAST((xor(h, h // 32768) % 2147483648) % 4 AS INTEGER) AS partition FROM mixed)"""
+
+
 def _feed_log(damaged: bool) -> str:
     """Log of published events; of those that a damaged feed lets through."""
     payload = "" if damaged else f", {_ITEM} AS raw_payload"
@@ -223,12 +244,12 @@ def _feed_log(damaged: bool) -> str:
     kept = " WHERE event_id % 50 NOT IN (0, 1, 2, 3)" if damaged else ""
     return with_(EV_E, prepared(),
                  "keyed AS (SELECT *, fsp_id || ':' || sector || ':' || reporting_date AS message_key "
-                 "FROM pev)") + (
+                 "FROM pev)", _MURMUR) + (
         "SELECT ingestion_time AS received_at, source_type, fsp_id, sector, reporting_date, "
         "COALESCE(transaction_date, reporting_date) AS transaction_date, "
         f"CAST(amount AS DOUBLE) AS amount, message_key, {_TOPIC} AS topic, "
-        "CAST(CAST('0x' || substr(md5(message_key), 1, 8) AS BIGINT) % 4 AS INTEGER) AS partition, "
-        f"event_id AS offset, CAST({index} AS INTEGER) AS item_index{payload} FROM keyed{kept}")
+        f"partition, event_id AS offset, CAST({index} AS INTEGER) AS item_index{payload} "
+        f"FROM keyed JOIN parted USING (message_key){kept}")
 
 
 # What is wrong with the messages of the damaged feed.

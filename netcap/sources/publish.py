@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netcap.functions.columns import composite_key
+from netcap.functions.columns import composite_key, keyed_partition
 from netcap.schemas import ARRAY_FIELDS, SHARE, SOURCE_TYPES, TOPICS
 
 
@@ -31,9 +31,9 @@ def to_messages(events: DataFrame, with_currency: bool = False,
                 num_partitions: int = 4) -> DataFrame:
     """Kafka-record-shaped rows: key, value, topic, partition, timestamp,
     headers. ``with_currency`` sends ``org_amount`` and ``currency`` beside the
-    converted amount. ``partition`` is a hash of the key (what a keyed producer does);
-    ``offset`` carries the event id, so the file twin of a topic identifies
-    each record (the Kafka sink ignores it; the broker assigns offsets)."""
+    converted amount. ``partition`` is what a keyed producer chooses for the key in topics
+    of ``num_partitions``, so the messages of a key keep their order; ``offset`` carries the
+    event id, so the file twin of a topic identifies each record (the Kafka sink ignores it; the broker assigns offsets)."""
     ev = events.filter(F.col("source_type").isin(*SOURCE_TYPES))
     value = None
     topic = None
@@ -53,8 +53,7 @@ def to_messages(events: DataFrame, with_currency: bool = False,
                         ("sector", "sector"), ("reportingDate", "reporting_date"))])
     return ev.select(
         key.alias("key"), value.alias("value"), topic.alias("topic"),
-        (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % num_partitions).cast("int")
-        .alias("partition"),
+        keyed_partition(key, num_partitions).alias("partition"),
         F.col("event_id").cast("long").alias("offset"),
         F.col("ingestion_time").alias("timestamp"),
         headers.alias("headers"),
