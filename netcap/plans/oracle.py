@@ -317,6 +317,13 @@ ORACLE_SQL: dict[str, str] = {
     "feed_stream_log": _feed_log(damaged=True),
     "feed_stream_position": with_(EV_E, prepared(), "thru AS (SELECT * FROM pev WHERE event_id % 50 "
         "NOT IN (0, 1, 2, 3))", state_cte(src="thru")) + f"SELECT {STATE_OUT} FROM st",
+    "rebuilt_position": _state_e() + f"SELECT {STATE_OUT} FROM st",
+    "rebuild_generations": with_(EV_E, prepared(), prepared("general").replace(
+        "pe AS", "gpe AS", 1).replace("pev AS", "gen AS").replace("FROM pe ", "FROM gpe ")) + " UNION ALL ".join(
+        f"SELECT CAST({n} AS BIGINT) AS generation, true AS accepted, (SELECT COUNT(*) FROM ev "
+        "WHERE source_type IN ('SHARE','RESERVE','DIVIDEND','DEDUCTION')) AS events, "
+        "COUNT(*) AS log_rows, COUNT(DISTINCT (fsp_id, sector, reporting_date)) AS keys "
+        f"FROM {src}" for n, src in ((1, "gen"), (2, "pev"))),
     "feed_dead_letter": with_(EV_E, _FAULTS) + (
         "SELECT topic, reason, COUNT(*) AS messages FROM faults WHERE reason IS NOT NULL "
         "GROUP BY topic, reason"),

@@ -17,9 +17,10 @@ from netcap.sources import tables
 from netcap.sources.adapters import (
     events_frame_to_capital, events_from_events, events_from_star, read_table,
 )
-from netcap.sources.feeds import read_feed
+from netcap.sources.feeds import admission, read_feed
 from netcap.sources.publish import to_messages
 from netcap.streaming.changelog_stream import read_changelog, start_changelog_stream
+from netcap.streaming import rebuild
 from netcap.streaming.position_stream import (
     file_event_stream, run_to_completion, start_feed_job, start_position_stream,
 )
@@ -133,6 +134,28 @@ def q_feed_quality(spark, sf_dir):
     return tables.read_feed_quality(spark, f"{root}/feed_quality")
 
 
+def q_rebuilt_position(spark, sf_dir):
+    """The live state follows one sector rule; the rule changes, so all is rebuilt under the
+    other one from the earliest message, two files a micro-batch, and readers are switched."""
+    root = work_dir(spark, "rebuilt")
+    (to_messages(events_from_events(spark, sf_dir)).repartition(WAVES, "offset")
+     .write.parquet(f"{root}/feed"))
+    records = read_feed(spark, "parquet", f"{root}/feed", admission("parquet", per_batch=2))
+    rebuild.rebuild(records, f"{root}/job", sector_mode="general")
+    rebuild.rebuild(records, f"{root}/job", sector_mode="submitted")
+    return present(rebuild.read_live_state(spark, f"{root}/job"))
+
+
+def q_rebuild_generations(spark, sf_dir):
+    """What was counted in each generation of that state."""
+    root = work_dir(spark, "generations")
+    to_messages(events_from_events(spark, sf_dir)).write.parquet(f"{root}/feed")
+    records = read_feed(spark, "parquet", f"{root}/feed")
+    for rule in ("general", "submitted"):
+        rebuild.rebuild(records, f"{root}/job", sector_mode=rule)
+    return rebuild.generations(spark, f"{root}/job").drop("folder")
+
+
 def q_late_arrivals_logged(spark, sf_dir):
     """Late arrivals of three reporting dates, from the stored log."""
     root = work_dir(spark, "late_logged")
@@ -204,6 +227,8 @@ STORED_QUERIES = {
     "feed_stream_log": q_feed_stream_log,
     "feed_dead_letter": q_feed_dead_letter,
     "feed_quality": q_feed_quality,
+    "rebuilt_position": q_rebuilt_position,
+    "rebuild_generations": q_rebuild_generations,
     "late_arrivals_logged": q_late_arrivals_logged,
     "state_from_store": q_state_from_store,
     "snapshot_rerun": q_snapshot_rerun,

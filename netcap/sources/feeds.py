@@ -39,6 +39,25 @@ def kafka_options(bootstrap_servers: str, topics=None, starting_offsets: str = "
     return opts
 
 
+def admission(fmt: str = "kafka", per_batch: int | None = None, max_bytes: int | None = None,
+              min_partitions: int | None = None) -> dict:
+    """Source options that bound a micro-batch, so that a first read from the earliest
+    offset (or a rebuild) is many bounded batches and not one of all there is; the drain
+    trigger (``availableNow``) keeps to them. For topics ``per_batch`` is a number of
+    records, split over the topics' partitions by their backlog, and ``min_partitions``
+    cuts large offset ranges into more tasks than there are topic partitions. For the file
+    twin ``per_batch`` is a number of files; ``max_bytes`` bounds their size instead."""
+    if fmt == "kafka":
+        if max_bytes is not None:
+            raise ValueError("topics are bounded by records, not by bytes")
+        bounds = {"maxOffsetsPerTrigger": per_batch, "minPartitions": min_partitions}
+    else:
+        if min_partitions is not None or None not in (per_batch, max_bytes):
+            raise ValueError("files are bounded by their number or by bytes")
+        bounds = {"maxFilesPerTrigger": per_batch, "maxBytesPerTrigger": max_bytes}
+    return {name: str(int(n)) for name, n in bounds.items() if n is not None}
+
+
 def read_feed(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
               options: dict | None = None, streaming: bool = True) -> DataFrame:
     """Records of the four feeds as (key, value, topic, partition, offset,
@@ -46,7 +65,8 @@ def read_feed(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
 
     ``fmt="kafka"`` subscribes to all four topics in one scan (one source,
     so the feeds share one micro-batch). ``fmt="parquet"`` or ``"json"``
-    reads the file twin at ``path`` with the same columns.
+    reads the file twin at ``path`` with the same columns. ``admission`` gives the
+    options that bound a micro-batch.
     """
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
