@@ -238,6 +238,22 @@ def printed_rollup(state: DataFrame, unit: int = 10 ** 9) -> DataFrame:
                     report_text(unit).alias("report_text"))
 
 
+# --- S8: two states by key ----------------------------------------------------
+
+def position_change(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Net core capital and events of every key of two states, and the change of both; a
+    key that one of them lacks counts as zero there. Bucketed copies
+    (``tables.write_state_buckets``) are joined without a shuffle."""
+    cols = ("net_core_capital", "event_count")
+    old = before.select(*KEY, *[F.col(c).alias(f"{c}_before") for c in cols])
+    new = after.select(*KEY, *[F.col(c).alias(f"{c}_after") for c in cols])
+    both = new.hint("merge").join(old, KEY, "full")  # both are state tables: none is small
+    sides = {f"{c}_{s}": F.coalesce(f"{c}_{s}", F.lit(0)) for c in cols for s in ("before", "after")}
+    return both.select(
+        *KEY, *[x.alias(name) for name, x in sides.items()],
+        *[(sides[f"{c}_after"] - sides[f"{c}_before"]).alias(f"{c}_change") for c in cols])
+
+
 # --- R12 / R13 / R14: table checks ------------------------------------------
 
 def table_counts(**tables: DataFrame) -> DataFrame:

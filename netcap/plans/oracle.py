@@ -370,6 +370,21 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT 'capital_state' AS table_name, COUNT(*) AS row_count FROM st "
         "UNION ALL SELECT 'capital_event_log', COUNT(*) FROM pev "
         "UNION ALL SELECT 'capital_snapshot', COUNT(*) FROM st"),
+    "stored_reporting_dates": with_(EV_S, prepared()) + "SELECT DISTINCT reporting_date FROM pev",
+    "position_change_stored": with_(
+        EV_E, prepared(), "early AS (SELECT * FROM pev WHERE ingestion_time < "
+        "CAST(reporting_date AS TIMESTAMP) + INTERVAL 12 HOUR)",
+        state_cte("st1", "early"), state_cte("st2", "pev"),
+        "sides AS (SELECT fsp_id, sector, reporting_date, "
+        + ", ".join(f"COALESCE({t}.{c}, 0) AS {c}_{n}" for c in ("net_core_capital", "event_count")
+                    for t, n in (("st1", "before"), ("st2", "after")))
+        + " FROM st1 FULL JOIN st2 USING (fsp_id, sector, reporting_date))") + (
+        "SELECT fsp_id, sector, reporting_date, "
+        "CAST(net_core_capital_before AS DOUBLE) AS net_core_capital_before, "
+        "CAST(net_core_capital_after AS DOUBLE) AS net_core_capital_after, "
+        "event_count_before, event_count_after, "
+        "CAST(net_core_capital_after - net_core_capital_before AS DOUBLE) AS net_core_capital_change, "
+        "event_count_after - event_count_before AS event_count_change FROM sides"),
     "late_arrivals": with_(EV_S, prepared()) + (
         "SELECT source_type, COUNT(*) AS events, "
         "MAX(date_diff('day', reporting_date, CAST(ingestion_time AS DATE))) AS max_lag_days, "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from netcap.operators.eventlog import event_log_rows
 from netcap.operators.position import capital_position
-from netcap.operators.reports import late_arrivals, position, table_counts
+from netcap.operators.reports import late_arrivals, position, position_change
 from netcap.operators.snapshot import official_position, take_snapshot
 from netcap.plans.queries import LOOKUP_KEY, present
 from netcap.session import work_dir
@@ -26,6 +26,7 @@ from netcap.streaming.position_stream import (
 )
 
 WAVES = 5
+BUCKETS = 8
 LOGGED_DATES = ("1996-01-31", "1996-02-29", "1996-03-31")
 
 
@@ -163,17 +164,40 @@ def q_late_arrivals_logged(spark, sf_dir):
     return late_arrivals(tables.read_event_log(spark, root, LOGGED_DATES))
 
 
+def _noon():
+    return F.col("reporting_date").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS")
+
+
 def q_table_counts(spark, sf_dir):
-    """State, log and snapshot as stored tables, each counted once."""
+    """State, log and snapshot as stored tables, counted by their files' footers."""
     root = work_dir(spark, "table_counts")
     ev = events_from_events(spark, sf_dir)
     tables.write_state_table(capital_position(ev), f"{root}/state")
-    state = tables.read_state_table(spark, f"{root}/state")
     tables.append_event_log(event_log_rows(ev), 0, f"{root}/log")
-    tables.write_snapshot(take_snapshot(state), f"{root}/snapshot")
-    return table_counts(capital_state=state,
-                        capital_event_log=tables.read_event_log(spark, f"{root}/log"),
-                        capital_snapshot=tables.read_snapshots(spark, f"{root}/snapshot"))
+    tables.write_snapshot(take_snapshot(tables.read_state_table(spark, f"{root}/state")),
+                          f"{root}/snapshot")
+    return tables.stored_counts(spark, capital_state=f"{root}/state",
+                                capital_event_log=f"{root}/log",
+                                capital_snapshot=f"{root}/snapshot")
+
+
+def q_stored_reporting_dates(spark, sf_dir):
+    """The dates of the stored log, from folder names."""
+    root = work_dir(spark, "stored_dates")
+    tables.append_event_log(event_log_rows(events_from_star(spark, sf_dir)), 0, root)
+    return tables.stored_dates(spark, root, tables.LOG_FOLDERS)
+
+
+def q_position_change_stored(spark, sf_dir):
+    """Every key's position at noon against the end of the day, as bucketed copies."""
+    root = work_dir(spark, "buckets")
+    ev, run = events_from_events(spark, sf_dir), root.rsplit("-", 1)[1]
+    copies = {"noon": ev.filter(F.col("ingestion_time") < _noon()), "day": ev}
+    for name, of in copies.items():
+        tables.write_state_buckets(capital_position(of), f"netcap_{name}_{run}",
+                                   f"{root}/{name}", BUCKETS)
+    return present(position_change(spark.table(f"netcap_noon_{run}"),
+                                   spark.table(f"netcap_day_{run}")))
 
 
 def q_stored_state_lookup(spark, sf_dir):
@@ -233,6 +257,8 @@ STORED_QUERIES = {
     "state_from_store": q_state_from_store,
     "snapshot_rerun": q_snapshot_rerun,
     "table_counts": q_table_counts,
+    "stored_reporting_dates": q_stored_reporting_dates,
+    "position_change_stored": q_position_change_stored,
     "stored_state_lookup": q_stored_state_lookup,
     "stored_official_position": q_stored_official_position,
 }

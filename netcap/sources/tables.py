@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from netcap.operators.eventlog import LOG_COLUMNS
 from netcap.operators.position import net_core_capital
+from netcap.operators.reports import table_counts
 from netcap.operators.snapshot import SNAPSHOT_COLUMNS
 from netcap.schemas import KEY, SOURCE_TYPES, STATE_COLUMNS, TOTAL_COLUMNS, UPDATE_COLUMNS
 
@@ -174,6 +175,50 @@ def read_state_table(spark: SparkSession, path: str, reporting_date=None) -> Dat
     return df.select(*STATE_COLUMNS)
 
 
+# The folders of each stored table, outermost first.
+STATE_FOLDERS = ("reporting_date",)
+LOG_FOLDERS = ("batch_id", "reporting_date")
+SNAPSHOT_FOLDERS = ("snapshot_reporting_date", "cut_off")
+
+
+def from_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table through Spark's newer Parquet reader, which answers counts (also per
+    folder) out of the files' footers: a row a file is read, none of the table's."""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")  # the older reader ignores it
+    v1 = "spark.sql.sources.useV1SourceList"
+    listed = spark.conf.get(v1)
+    spark.conf.set(v1, ",".join(x for x in listed.split(",") if x.strip().lower() != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(v1, listed)
+
+
+def stored_counts(spark: SparkSession, **paths: str) -> DataFrame:
+    """R12: rows of each named stored table, from its files' footers."""
+    return table_counts(**{name: from_footers(spark, path) for name, path in paths.items()})
+
+
+def stored_dates(spark: SparkSession, path: str, folders=STATE_FOLDERS,
+                 date: str = "reporting_date") -> DataFrame:
+    """R13: the distinct dates of a stored table, newest first, from folder names and
+    footers. A folder whose files hold no row doesn't count."""
+    rows = from_footers(spark, path).groupBy(*folders).agg(F.count(F.lit(1)).alias("n"))
+    return (rows.filter("n > 0").select(F.col(date).alias("reporting_date")).distinct()
+            .orderBy(F.col("reporting_date").desc()))
+
+
+def write_state_buckets(state: DataFrame, table: str, path: str, buckets: int) -> None:
+    """A copy of the state for joins by key: a catalog table in ``buckets`` hash buckets of the
+    key, sorted inside. Two such copies with the same number join bucket by bucket, without
+    a shuffle. Choose the number so that a bucket is some 256 MB; a key has one row, so
+    there is no hot bucket. One file a bucket: the rows are brought together before they are
+    written."""
+    (state.select(*STATE_COLUMNS).repartition(buckets, *KEY)
+     .write.mode("overwrite").option("path", path).bucketBy(buckets, *KEY).sortBy(*KEY)
+     .saveAsTable(table))
+
+
 def write_snapshot(snapshot: DataFrame, path: str) -> None:
     """One folder per reporting date and cut-off. A run that is repeated replaces the
     folders that it writes and leaves all others: no row doubles."""
