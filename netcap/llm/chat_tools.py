@@ -21,13 +21,24 @@ Defined results: a repeated call_id in a conversation: the first (turn, name,
 arguments, parent) is the call, the others are dropped as repeats and counted
 in ``repeats``; the same for results. Null conv_id or call_id: a call without
 result, or a stray result, never joined. A parent that doesn't exist counts as none
-(``missing_parent``). Invalid JSON or arguments that break the schema: the
-line keeps the text as a string and lists the errors. Extra columns are
-ignored; empty frames give an empty frame.
+(``missing_parent``). Invalid JSON: the line keeps the text as a string. Arguments that break
+the schema keep their canonical form; both list their errors. Of a name that comes twice in an
+object the last value counts. Extra columns are ignored; empty frames give an empty frame.
+
+Schemas are dicts by the names of JSON Schema: ``type`` (object, array, string, integer,
+number, boolean), ``properties``, ``required``, ``additionalProperties`` (False forbids unknown
+fields), ``items``, ``minItems``, ``maxItems``, ``enum``, ``minimum``, ``maximum``, ``minLength``,
+``maxLength`` (code points) and ``pattern`` (anywhere in the string). A flat ``{field: (type, required)}`` is
+short for an object of these. Numbers of any length without a fraction are integers (1.0 is one; what
+is written with an exponent is a double, and only whole from 10^38 on); a null counts as missing. Errors come field by field in order of names, items by place,
+each with its path (``filters[2].op: not in enum``); of a value of the wrong type nothing else
+is said. Schemas are walked when the query is built, values by expressions: no Python runs in tasks.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,23 +52,113 @@ TOOLS = {
 }
 # --- end of fixed values ---
 
-KINDS = {"string": "^STRING$", "integer": "^BIGINT$", "boolean": "^BOOLEAN$",
-         "number": "^(BIGINT|DOUBLE|DECIMAL.*)$", "array": "^ARRAY", "object": "^OBJECT"}
+KINDS = {"string": "^STRING$", "boolean": "^BOOLEAN$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$",
+         "array": "^ARRAY", "object": "^OBJECT"}
+KEYWORDS = {"type", "properties", "required", "additionalProperties", "items", "minItems",
+            "maxItems", "enum", "minimum", "maximum", "minLength", "maxLength", "pattern"}
+_STRINGS = "array<string>"
+
+
+def schema_of(tool: dict) -> dict:
+    """A tool's schema in full; the flat form is written out."""
+    if not all(isinstance(v, tuple) for v in tool.values()):
+        return tool
+    return {"type": "object", "properties": {f: {"type": kind} for f, (kind, _) in tool.items()},
+            "required": [f for f, (_, required) in tool.items() if required]}
+
+
+def _whole(value: Column) -> Column:
+    """A number without a fraction. Integers beyond 38 digits are doubles in a variant."""
+    held = F.schema_of_variant(value)
+    return (held.rlike(r"^(BIGINT|DECIMAL\([0-9]+,0\))$")
+            | ((held == "DOUBLE") & (F.abs(F.try_variant_get(value, "$", "double")) >= 1e38)))
+
+
+def _beyond(value: Column, bound, below: bool) -> Column:
+    """Below or above a bound: exactly where 38 digits hold the number, else as doubles."""
+    exact = F.try_variant_get(value, "$", "decimal(38,9)")
+    limit = F.lit(str(bound)).cast("decimal(38,9)")
+    double, rough = F.try_variant_get(value, "$", "double"), F.lit(float(bound))
+    return F.coalesce(exact < limit if below else exact > limit,
+                      double < rough if below else double > rough)
+
+
+def _errors(value: Column, schema: dict, path: Column) -> Column:
+    """Errors of a variant that is there and not null, as an array of strings."""
+    if set(schema) - KEYWORDS:
+        raise ValueError(f"not known in a schema: {sorted(set(schema) - KEYWORDS)}")
+    kind = schema.get("type")
+    said = lambda wrong, text: F.when(wrong, F.concat(path, F.lit(f": {text}")))
+    checks, deeper = [], []
+    if "enum" in schema:
+        allowed = [json.dumps(x, ensure_ascii=False, separators=(",", ":")) for x in schema["enum"]]
+        checks.append(said(~F.to_json(value).isin(*allowed), "not in enum"))
+    if kind in ("integer", "number"):
+        for name, below in (("minimum", True), ("maximum", False)):
+            if name in schema:
+                checks.append(said(_beyond(value, schema[name], below),
+                                   f"{'below' if below else 'above'} {schema[name]}"))
+    elif kind == "string":
+        text = F.try_variant_get(value, "$", "string")
+        if "minLength" in schema:
+            checks.append(said(F.length(text) < schema["minLength"], "too short"))
+        if "maxLength" in schema:
+            checks.append(said(F.length(text) > schema["maxLength"], "too long"))
+        if "pattern" in schema:
+            checks.append(said(~text.rlike(schema["pattern"]), "breaks its pattern"))
+    elif kind == "array":
+        items = F.try_variant_get(value, "$", "array<variant>")
+        if "minItems" in schema:
+            checks.append(said(F.size(items) < schema["minItems"], "too few items"))
+        if "maxItems" in schema:
+            checks.append(said(F.size(items) > schema["maxItems"], "too many items"))
+        if "items" in schema:
+            deeper.append(F.flatten(F.transform(items, lambda x, i: _present(
+                x, schema["items"], F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), True))))
+    elif kind == "object":
+        fields = schema.get("properties", {})
+        for field in sorted({*fields, *schema.get("required", ())}):
+            if "'" in field:
+                raise ValueError(f"no field may have a quote in its name: {field}")
+            inner = F.try_variant_get(value, f"$['{field}']", "variant")
+            deeper.append(_present(inner, fields.get(field, {}), _field_path(path, field),
+                                   field in schema.get("required", ())))
+        if schema.get("additionalProperties", True) is False:
+            names = F.map_keys(F.try_variant_get(value, "$", "map<string, variant>"))
+            unknown = F.array_sort(F.array_except(
+                names, F.array(*[F.lit(f) for f in sorted(fields)]).cast(_STRINGS)))
+            deeper.append(F.transform(unknown, lambda f: F.concat(
+                _field_path(path, f), F.lit(": unknown field"))))
+    inside = F.concat(F.array_compact(F.array(*checks).cast(_STRINGS)), *deeper)
+    if kind is None:
+        return inside
+    fits = _whole(value) if kind == "integer" else F.schema_of_variant(value).rlike(KINDS[kind])
+    return F.when(fits, inside).otherwise(F.array(F.concat(path, F.lit(f": not {kind}"))))
+
+
+def _field_path(path: Column, field) -> Column:
+    name = F.lit(field) if isinstance(field, str) else field
+    return F.when(path == "", name).otherwise(F.concat(path, F.lit("."), name))
+
+
+def _present(value: Column, schema: dict, path: Column, required: bool) -> Column:
+    """``_errors``, or what is to be said of a value that is missing or null."""
+    missing = value.isNull() | F.is_variant_null(value)
+    absent = F.array(F.concat(path, F.lit(": missing"))) if required else F.array().cast(_STRINGS)
+    return F.when(missing, absent).otherwise(_errors(value, schema, path))
 
 
 def argument_errors(name: Column, args: Column, tools: dict) -> Column:
     """Errors of the parsed arguments (a variant) as an array of strings."""
     whole = F.schema_of_variant(args)
     known = F.lit(False)
-    per_tool = F.array().cast("array<string>")
-    for tool, fields in tools.items():
-        checks = [F.when(~whole.rlike("^OBJECT"), F.lit("arguments: not an object"))]
-        for field, (kind, required) in sorted(fields.items()):
-            value = F.schema_of_variant(F.try_variant_get(args, f"$.{field}", "variant"))
-            missing = value.isNull() | (value == "VOID")
-            checks.append(F.when(missing, F.lit(f"{field}: missing") if required else F.lit(None))
-                          .when(~value.rlike(KINDS[kind]), F.lit(f"{field}: not {kind}")))
-        per_tool = F.when(name == tool, F.array_compact(F.array(*checks))).otherwise(per_tool)
+    per_tool = F.array().cast(_STRINGS)
+    for tool, schema in tools.items():
+        full = schema_of(schema)
+        none = ["arguments: not an object", *[f"{f}: missing" for f in sorted(full.get("required", ()))]]
+        errors = F.when(whole.rlike(KINDS["object"]), _errors(args, full, F.lit(""))).otherwise(
+            F.array(*[F.lit(text) for text in none]))
+        per_tool = F.when(name == tool, errors).otherwise(per_tool)
         known = known | F.coalesce(name == tool, F.lit(False))
     return (F.when(args.isNull(), F.array(F.lit("arguments: not JSON")))
             .when(~known, F.array(F.lit("name: unknown tool"))).otherwise(per_tool))
@@ -120,6 +221,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: dict = TOOLS) -
                             .withColumn("repeats", F.lit(0).cast("long")))
                .withColumnsRenamed({"turn": "result_turn", "repeats": "result_repeats"})
                .withColumn("is_result", F.lit(True)))
+    # A session setting of Spark: without it a repeated name would make the text no JSON.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     both = (ordered.join(answers, ["conv_id", "call_id"], "full")
             .withColumn("variant", F.try_parse_json("arguments")))
     errors = F.when(F.col("is_call"),
