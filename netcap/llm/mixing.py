@@ -14,7 +14,8 @@ are then shuffled globally by a 60-bit hash of (seed, doc_id, copy).
 Sources are counted with map-side aggregation; the documents join the rates on
 source, the small side having one row per source, and a hot source is
 split by AQE. Places are counted per shard of the hash range and offset by
-the shards before, so that no task sorts everything.
+the shards before, in two levels (shards of a block, blocks), so that no task sorts
+everything. Rates and shard sizes are written once: both are used several times.
 
 Default target: shares proportional to n ** ``ALPHA`` (0.5 lifts small
 sources), and as many expected rows as there are documents.
@@ -31,13 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from netcap.llm.common import hex_long, hex_unit
+from netcap.llm.common import hex_long, hex_unit, written
 
 SEED = 42
 ALPHA = 0.5
 MAX_RATE = 16.0          # mean of one Poisson draw; larger rates are summed draws
 CDF_LENGTH = 96          # at mean 16 the mass beyond is under 2 ** -52
 ROWS_PER_SHARD = 16384   # expected rows of one shard of the global order
+SHARDS_PER_BLOCK = 4096  # a block of shards is some 67 million rows
 HASH_BITS = 60
 
 
@@ -103,13 +105,19 @@ def _shard(rates: DataFrame) -> Column:
 def mix(docs: DataFrame, weights: dict | None = None, total: float | None = None,
         seed: int = SEED, alpha: float = ALPHA) -> DataFrame:
     """doc_id, source, rate, copies, copy (from 1), shuffle_key, place (from 0)."""
-    docs = docs.select("doc_id", "source")
-    rates = source_rates(docs, weights, total, alpha)
+    spark, docs = docs.sparkSession, docs.select("doc_id", "source")
+    rates = written(spark, source_rates(docs, weights, total, alpha), "op3-rates")
     chosen = _copies(docs, rates, seed).withColumn("shard", _shard(rates))
-    sizes = chosen.groupBy("shard").agg(F.count("*").alias("size"))
-    # One row per shard, however many rows there are.
-    before = sizes.select(F.col("shard"), (F.sum("size").over(Window.orderBy("shard"))
-                                           - F.col("size")).alias("before"))
+    sizes = written(spark, chosen.groupBy("shard").agg(F.count("*").alias("size")), "op3-shards")
+    sizes = sizes.withColumn("block", F.floor(F.col("shard") / SHARDS_PER_BLOCK))
+    before = sizes.select("block", "shard", (F.sum("size").over(
+        Window.partitionBy("block").orderBy("shard")) - F.col("size")).alias("in_block"))
+    # One row per block goes through one task.
+    blocks = sizes.groupBy("block").agg(F.sum("size").alias("size"))
+    blocks = blocks.select("block", (F.sum("size").over(Window.orderBy("block"))
+                                     - F.col("size")).alias("before_block"))
+    before = before.join(blocks, "block").select(
+        "shard", (F.col("before_block") + F.col("in_block")).alias("before"))
     ranked = chosen.withColumn("r", F.row_number().over(
         Window.partitionBy("shard").orderBy("shuffle_key", "doc_id", "copy", "source")))
     return ranked.join(before, "shard").select(

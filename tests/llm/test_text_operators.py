@@ -399,6 +399,16 @@ def test_mix_rates_and_order(spark, awkward):
     assert again.columns == docs.columns and again.count() == len(out)
 
 
+def test_places_over_many_blocks_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_PER_SHARD", 50)
+    monkeypatch.setattr(mixing, "SHARDS_PER_BLOCK", 3)
+    docs = spark.range(5000).selectExpr("id AS doc_id", "if(id % 3 = 0, null, 'a') AS source")
+    out = mixing.mix(docs).orderBy("place").collect()
+    assert [r["place"] for r in out] == list(range(len(out))) and len(out) > 4500
+    keys = [r["shuffle_key"] for r in out]
+    assert keys == sorted(keys)
+
+
 @pytest.mark.parametrize("name", ["ngram", "lines", "pack", "print", "lang", "mix"])
 def test_empty_tables(spark, name):
     empty = frame(spark, [])
