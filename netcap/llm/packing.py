@@ -7,11 +7,13 @@
    corpus) goes to the driver. A configuration is a multiset of lengths that
    fits one sequence. The program "fewest configurations that cover the
    histogram" is solved by multiplicative weights: each length has a price
-   that falls as it is covered, and a knapsack dynamic program prices
-   the best configuration for the current prices.
-3. Its fractional solution is rounded: every configuration is used as many
-   whole times as solution and stock allow; what is left is a smaller
-   program, until few sequences' worth is left, which best fit decreasing ends.
+   that falls as it is covered, and one table of a knapsack dynamic program
+   has, for the current prices, the dearest configuration that holds each
+   length. Every pricing looks at all lengths.
+3. Its fractional solution is rounded: configurations are used as many whole
+   times as solution and stock allow, full ones first; what is left is a
+   smaller program, until programs place little of it. Best fit decreasing, on
+   counts of lengths, places that rest.
 4. Pieces get ranks among those of their length (in two levels: a hot length
    is dealt over salts) and the rank's slot in the plan: sequence and offset.
 
@@ -31,6 +33,7 @@ import re
 import unicodedata
 import zlib
 from array import array
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from math import ceil
 
@@ -45,11 +48,12 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER_FILE = "byte_bpe_50k.json"
 CHUNK = 1 << 20              # characters looked at once
-ROUNDS = 150                 # pricings of one program
-PRICED = 256                 # lengths that one pricing looks at
+ROUNDS = 4                   # pricings of one program
 STEP = 1.0                   # of the multiplicative weights
-FAVOUR = 4.0                 # power of the length in first prices per token
-SMALL = 16                   # sequences' worth that best fit may end
+FLOOR = 0.02                 # share of its first price that a covered length keeps, as filling
+FAVOUR = 1.0                 # power of the length in first prices per token
+LEAST_USED = 0.03            # share of the tokens that a program must place for another one
+SMALL = 16                   # sequences' worth that needs no program
 PIECES_PER_SALT = 20_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -189,102 +193,141 @@ def tokenize(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None)
 
 # ---------------------------------------------------------------- the program
 
-def best_configuration(lengths: np.ndarray, stock: np.ndarray, price: np.ndarray,
-                       capacity: int) -> dict[int, int]:
-    """Knapsack: the configuration of the highest total price, of a length no
-    more than its stock. Place in ``lengths`` -> how many."""
+def knapsack(lengths: np.ndarray, stock: np.ndarray, price: np.ndarray,
+             capacity: int) -> list[tuple[int, int, np.ndarray]]:
+    """The table of the knapsack program for every room up to the capacity, of a
+    length no more than its stock: lots (place, number) and the rooms that they improve."""
     worth = np.zeros(capacity + 1)
-    lots, taken = [], []
+    lots = []
     for i in range(len(lengths)):
         size, left, lot = int(lengths[i]), min(int(stock[i]), capacity // int(lengths[i])), 1
         while left:
             lot = min(lot, left)
             w = lot * size
             with_it = worth[:capacity + 1 - w] + lot * price[i]
-            better = with_it > worth[w:]
-            np.copyto(worth[w:], with_it, where=better)
-            lots.append((i, lot, w))
-            taken.append(better)
+            lots.append((i, lot, with_it > worth[w:]))
+            worth[w:] = np.maximum(with_it, worth[w:])
             left -= lot
             lot *= 2
-    out: dict[int, int] = {}
-    room = int(worth.argmax())
-    for (i, lot, w), better in zip(reversed(lots), reversed(taken), strict=True):
-        if room >= w and better[room - w]:
-            out[i] = out.get(i, 0) + lot
-            room -= w
+    return lots
+
+
+def best_fillings(lots: list[tuple[int, int, np.ndarray]], lengths: np.ndarray,
+                  rooms: np.ndarray) -> list[dict[int, int]]:
+    """Of each room the dearest filling, place -> how many, all out of one table."""
+    room = rooms.copy()
+    out: list[dict[int, int]] = [{} for _ in rooms]
+    for i, lot, better in reversed(lots):
+        w = lot * int(lengths[i])
+        at = np.flatnonzero(room >= w)
+        at = at[better[room[at] - w]]
+        room[at] -= w
+        for k in at.tolist():
+            out[k][i] = out[k].get(i, 0) + lot
     return out
 
 
-def priced(density: np.ndarray, n: int) -> np.ndarray:
-    """Places that a pricing looks at: the dearest per token, and as many spread
-    evenly over all lengths, which fill what those leave."""
-    if len(density) <= n:
-        return np.arange(len(density))
-    dearest = np.argsort(-density, kind="stable")[:n // 2]
-    spread = np.linspace(0, len(density) - 1, n - n // 2).astype(int)
-    return np.union1d(dearest, spread)
-
-
 def solve(lengths: np.ndarray, stock: np.ndarray, capacity: int,
           rounds: int = ROUNDS) -> dict[tuple, float]:
     """Fractional solution by multiplicative weights: configuration (pairs of
     place and number) -> times. A length's price per token falls exponentially with
-    the share of its stock that is covered; long ones, the hardest to place, start dear."""
+    the share of its stock that is covered. A pricing gives every uncovered length
+    the dearest configuration that holds it; none covers a length more than STEP times in it."""
     cover = np.zeros(len(stock))
     first = lengths * (lengths / capacity) ** FAVOUR
+    short = np.flatnonzero(lengths <= capacity // 2)     # a second piece is one of these
     out: dict[tuple, float] = {}
     for _ in range(rounds):
-        density = np.exp(-cover / STEP)
-        at = priced(density, PRICED)
-        config = best_configuration(lengths[at], stock[at], (density * first)[at], capacity)
-        places = at[list(config)]
-        many = np.array(list(config.values()), float)
-        step = STEP * float((stock[places] / many).min())
-        cover[places] += step * many / stock[places]
-        key = tuple(sorted(zip(places.tolist(), config.values(), strict=True)))
-        out[key] = out.get(key, 0.0) + step
-        if cover.min() >= 1.0:
+        wanted = np.flatnonzero(cover < 1.0)[::-1]
+        if not len(wanted):
             break
+        price = ((np.exp(-cover / STEP) + FLOOR) * first)[short]
+        lots = knapsack(lengths[short], stock[short], price, capacity)
+        fillings = best_fillings(lots, lengths[short], capacity - lengths[wanted])
+        left = np.full(len(stock), STEP)
+        for j, filling in zip(wanted.tolist(), fillings, strict=True):
+            config = {j: 1}
+            for k, many in filling.items():
+                i = int(short[k])
+                config[i] = config.get(i, 0) + many
+            times = min(float(left[i]) * int(stock[i]) / many if many <= stock[i] else 0.0
+                        for i, many in config.items())
+            if times > 1e-9:
+                for i, many in config.items():
+                    share = times * many / int(stock[i])
+                    left[i] -= share
+                    cover[i] += share
+                key = tuple(sorted(config.items()))
+                out[key] = out.get(key, 0.0) + times
     return out
 
 
-def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Best fit decreasing of single pieces, by the bins' free room."""
-    by_room: dict[int, list[list[int]]] = {}
-    for size in sorted(lengths, reverse=True):
-        room = next((r for r in range(size, capacity + 1) if by_room.get(r)), None)
-        filled = by_room[room].pop() if room is not None else []
-        filled.append(size)
-        by_room.setdefault((capacity if room is None else room) - size, []).append(filled)
-    return [b for bins in by_room.values() for b in bins]
+def best_fit(lengths: np.ndarray, stock: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
+    """Best fit decreasing on counts: sequences filled alike are one entry, so the
+    work follows the number of lengths, not of pieces."""
+    free: dict[int, list[tuple[tuple, int]]] = {}        # room -> [(configuration, times)]
+    rooms: list[int] = []                                # those in ``free``, ascending
+
+    def put(room: int, config: tuple, times: int) -> None:
+        if room not in free:
+            insort(rooms, room)
+        free.setdefault(room, []).append((config, times))
+
+    for size, n in sorted(zip(lengths.tolist(), stock.tolist(), strict=True), reverse=True):
+        while n:
+            at = bisect_left(rooms, size)
+            if at < len(rooms):
+                room = rooms[at]
+                config, have = free[room].pop()
+                if not free[room]:
+                    del free[room]
+                    rooms.pop(at)
+            else:
+                room, config, have = capacity, (), n
+            many = min(room // size, n)
+            used = min(have, n // many)
+            if config and used < have:
+                put(room, config, have - used)
+            put(room - many * size, (*config, (size, many)), used)
+            n -= many * used
+    return [entry for entries in free.values() for entry in entries]
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
-    """[(configuration as ((length, number), ...), times)] that uses exactly the histogram."""
+    """[(configuration as ((length, number), ...), times)] that uses exactly the
+    histogram. Programs follow each other on what the last one left while they use a
+    share worth it (LEAST_USED); best fit ends. Of the places to end, the one with the fewest
+    sequences is taken, the latest of equals."""
     out: list[tuple[tuple, int]] = []
     if histogram.get(capacity):
         out.append((((capacity, 1),), histogram[capacity]))
     lengths = np.array(sorted(x for x in histogram if x != capacity), int)
     stock = np.array([histogram[int(x)] for x in lengths], int)
-    while float(lengths @ stock) > SMALL * capacity:  # each program uses some of the stock
+    best: tuple[int, list[tuple[tuple, int]]] | None = None
+    planned, share = 0, 1.0
+    while share >= LEAST_USED and float(lengths @ stock) > SMALL * capacity:
+        before, used = float(lengths @ stock), 0
         solution = solve(lengths, stock, capacity)
-        # Rounding up, as far as the stock goes: those with the longest pieces first, then the fullest.
+        # Rounding up, as far as the stock goes: the fullest first. Those with room wait for
+        # the next program once half of the tokens are placed.
         fill = {c: sum(int(lengths[i]) * a for i, a in c) for c in solution}
-        for c in sorted(solution, key=lambda c: (-max(i for i, _ in c), -fill[c], c)):
+        for c in sorted(solution, key=lambda c: (-fill[c], -max(i for i, _ in c), c)):
+            if fill[c] < capacity and used >= before / 2:
+                break
             times = min([ceil(solution[c]), *(int(stock[i]) // a for i, a in c)])
             if times > 0:
                 for i, a in c:
                     stock[i] -= a * times
                 out.append((tuple((int(lengths[i]), a) for i, a in c), times))
+                used += times * fill[c]
+                planned += times
+        share = used / before
         lengths, stock = lengths[stock > 0], stock[stock > 0]
-    rest = [int(x) for x, n in zip(lengths, stock, strict=True) for _ in range(int(n))]
-    for b in best_fit(rest, capacity):
-        counts: dict[int, int] = {}
-        for x in b:
-            counts[x] = counts.get(x, 0) + 1
-        out.append((tuple(sorted(counts.items())), 1))
-    return out
+        rest = best_fit(lengths, stock, capacity)
+        total = planned + sum(n for _, n in rest)
+        if best is None or total <= best[0]:
+            best = total, out + rest
+    return best[1] if best else out + best_fit(lengths, stock, capacity)
 
 
 class Slots:
@@ -321,9 +364,12 @@ class Slots:
 # ---------------------------------------------------------------- placing
 
 def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
-    """Adds ``rank``, from 0 among the pieces of a length."""
-    salts = max(1, -(-max(histogram.values(), default=0) // PIECES_PER_SALT))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    """Adds ``rank``, from 0 among the pieces of a length. A frequent length is dealt
+    over salts by its count; the list of those lengths is at most ``capacity`` rows."""
+    salts = [(x, -(-n // PIECES_PER_SALT)) for x, n in histogram.items() if n > PIECES_PER_SALT]
+    many = pieces.sparkSession.createDataFrame(salts, "length long, salts long")
+    salted = pieces.join(F.broadcast(many), "length", "left").withColumn("salt", F.coalesce(
+        F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts")), F.lit(0))).drop("salts")
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
     counts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = counts.select("length", "salt", (F.sum("n").over(

@@ -2,11 +2,11 @@
 long texts, ties, repeated rows, extra columns; and whole small tables."""
 
 import random
+from itertools import product
 
 import numpy as np
 import plain
 import pytest
-
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -293,15 +293,57 @@ def test_pack_fills_without_gaps(spark, awkward):
     plain.check_packing(pieces, packing.CAPACITY)
 
 
-def test_pack_is_near_the_lower_bound(spark):
-    pieces = [r.asDict() for r in packing.pack(read_table(spark, SF_SMALL, "documents")).collect()]
+@pytest.mark.parametrize("sf_dir", [SF_SMALL, "/root/testdata/sf0.01"])
+def test_pack_reaches_the_lower_bound(spark, sf_dir):
+    pieces = [r.asDict() for r in packing.pack(read_table(spark, sf_dir, "documents")).collect()]
     plain.check_packing(pieces, packing.CAPACITY)
     least = -(-sum(p["length"] for p in pieces) // packing.CAPACITY)
-    assert len({p["sequence_id"] for p in pieces}) <= 1.03 * least + 1
+    assert len({p["sequence_id"] for p in pieces}) == least
+
+
+def test_pack_salts_frequent_lengths(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_PER_SALT", 20)
+    rows = [(None if k % 3 else k, "same words") for k in range(400)] + [(5, "x " * k) for k in range(90)]
+    pieces = [r.asDict() for r in packing.pack(frame(spark, rows)).collect()]
+    assert len(pieces) == len(rows)
+    plain.check_packing(pieces, packing.CAPACITY)
+
+
+HISTOGRAMS = st.dictionaries(st.integers(1, 64), st.integers(1, 60), min_size=1, max_size=30)
+
+
+@settings(max_examples=50, deadline=None)
+@given(HISTOGRAMS)
+def test_best_fit_on_counts_is_that_of_single_pieces(histogram):
+    rooms = []
+    for size in sorted((x for x, n in histogram.items() for _ in range(n)), reverse=True):
+        fits = [r for r in rooms if r >= size]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else 64) - size)
+    lengths = np.array(sorted(histogram))
+    got = packing.best_fit(lengths, np.array([histogram[x] for x in lengths]), 64)
+    assert sorted(64 - sum(x * n for x, n in c) for c, times in got for _ in range(times)) == sorted(rooms)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.dictionaries(st.integers(1, 9), st.tuples(st.integers(1, 3), st.integers(1, 50)),
+                       min_size=1, max_size=4))
+def test_knapsack_has_the_dearest_filling_of_every_room(items):
+    lengths = np.array(sorted(items))
+    stock, price = (np.array([items[x][k] for x in lengths]) for k in (0, 1))
+    ways = list(product(*(range(n + 1) for n in stock)))
+    rooms = np.arange(21)
+    lots = packing.knapsack(lengths, stock, price.astype(float), 20)
+    for room, filling in zip(rooms, packing.best_fillings(lots, lengths, rooms), strict=True):
+        best = max(np.dot(w, price) for w in ways if np.dot(w, lengths) <= room)
+        assert all(n <= stock[i] for i, n in filling.items())
+        assert sum(int(lengths[i]) * n for i, n in filling.items()) <= room
+        assert sum(int(price[i]) * n for i, n in filling.items()) == best
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.dictionaries(st.integers(1, 64), st.integers(1, 60), max_size=30))
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 2000), max_size=30))
 def test_plan_uses_the_histogram_exactly(histogram):
     used = {}
     for config, times in packing.plan(histogram, 64):
