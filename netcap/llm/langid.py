@@ -15,7 +15,9 @@ the tasks, is one vector per language. All training documents count, whole.
 Defined results: null text, or text without letters: ``und``, score 0. Rows
 with null lang or null doc_id don't train; a null doc_id counts as held out.
 Repeated rows count as often as they come. Equal cosines: the first name.
-Without any training row all is ``und``. Extra columns are ignored.
+Without any training row all is ``und``. Extra columns are ignored; an empty
+table gives no rows. Texts of any length count whole: they are cut into parts of
+``PART_CHARS`` code points whose profiles add up.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from netcap.llm.common import text_or_empty, with_fields
 DIMENSIONS = 1024
 UNDETERMINED = "und"
 BATCH_CHARS = 1_000_000
+PART_CHARS = 250_000
 FOLDS = 5
 
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -72,23 +75,35 @@ def trigram_vectors(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarr
             * vectors[at[2]])
 
 
-def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct trigrams of the texts; of each one met, its text and its place among these."""
-    lowered = [t.lower() for t in texts]
-    sizes = np.array([len(t) + 1 for t in lowered])
-    codes = np.frombuffer("".join([f"\0{t}" for t in lowered] + ["\0"]).encode("utf-32-le"),
+def parts(text: str) -> Iterator[tuple[str, bool, bool]]:
+    """A lower-cased text cut into parts of ``PART_CHARS``, each with its neighbouring
+    code point, if any, on either side: (part, one before, one behind). A trigram's middle
+    letter is in one part only."""
+    for at in range(0, max(len(text), 1), PART_CHARS):
+        before, behind = at > 0, at + PART_CHARS < len(text)
+        yield text[at - before:at + PART_CHARS + behind], before, behind
+
+
+def trigrams(cut: list[tuple[str, bool, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct trigrams of the parts; of each one met, its part and its place among these."""
+    sizes = np.array([len(t) + 1 for t, _, _ in cut])
+    codes = np.frombuffer("".join([f"\0{t}" for t, _, _ in cut] + ["\0"]).encode("utf-32-le"),
                           np.uint32)
-    owner = np.append(np.repeat(np.arange(len(texts)), sizes), len(texts))
+    owner = np.append(np.repeat(np.arange(len(cut)), sizes), len(cut))
+    ends = sizes.cumsum() if len(sizes) else np.array([], int)
+    inner = np.ones(len(codes), bool)          # no neighbour of a part
+    inner[(ends - sizes + 1)[[before for _, before, _ in cut]] if cut else []] = False
+    inner[(ends - 1)[[behind for _, _, behind in cut]] if cut else []] = False
     letter = _letters()[codes]
     codes = np.where(letter, codes, 0).astype(np.uint64)
     keep = letter.copy()
     keep[1:] |= letter[:-1]        # the first of each run of other characters
-    keep[sizes.cumsum()[:-1] if len(sizes) else []] = True
+    keep[ends[:-1]] = True
     keep[:1] = True
-    codes, owner = codes[keep], owner[keep]
+    codes, owner, inner = codes[keep], owner[keep], inner[keep]
     a, b, c = codes[:-2], codes[1:-1], codes[2:]
-    # A gap may stand first or last. The text's end is the gap of the next one.
-    whole = (b != 0) & (owner[:-2] == owner[1:-1])
+    # A gap may stand first or last. The part's end is the gap of the next one.
+    whole = (b != 0) & inner[1:-1] & (owner[:-2] == owner[1:-1])
     whole &= (owner[2:] == owner[1:-1]) | (c == 0)
     grams = (a[whole] << np.uint64(42)) | (b[whole] << np.uint64(21)) | c[whole]
     distinct, at = np.unique(grams, return_inverse=True)
@@ -113,6 +128,30 @@ def bundles(of: np.ndarray, at: np.ndarray, n: int, vectors: np.ndarray) -> np.n
     return out
 
 
+def profiles(texts: list[str], of: np.ndarray, n: int, dimensions: int) -> np.ndarray:
+    """Sums of the profiles of all texts with the same number (below ``n``) in ``of``.
+    Parts are bundled by about ``BATCH_CHARS``, however long a text is."""
+    out = np.zeros((n, dimensions))
+    cut, owner, chars = [], [], 0
+
+    def add() -> None:
+        grams, part, at = trigrams(cut)
+        rows, place = np.unique(np.array(owner), return_inverse=True)
+        out[rows] += bundles(place[part], at, len(rows), trigram_vectors(grams, dimensions))
+
+    for text, row in zip(texts, of, strict=True):
+        for piece in parts(text.lower()):
+            cut.append(piece)
+            owner.append(row)
+            chars += len(piece[0])
+            if chars >= BATCH_CHARS:
+                add()
+                cut, owner, chars = [], [], 0
+    if cut:
+        add()
+    return out
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parts of batches with about ``BATCH_CHARS`` bytes of text in each."""
     for b in batches:
@@ -133,8 +172,7 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray
         for b in _pieces(batches):
             names, lang = np.unique(b.column("lang").to_numpy(zero_copy_only=False).astype(str),
                                     return_inverse=True)
-            grams, owner, at = trigrams(b.column("text").to_pylist())
-            found = bundles(lang[owner], at, len(names), trigram_vectors(grams, dimensions))
+            found = profiles(b.column("text").to_pylist(), lang, len(names), dimensions)
             for name, row in zip(names, np.rint(found).astype(np.int64), strict=True):
                 sums[name] = sums.get(name, 0) + row
         for name, row in sums.items():
@@ -151,8 +189,7 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray
 
 def classify(texts: list[str], names: list[str], prototypes: np.ndarray) -> tuple[list, np.ndarray]:
     """Language and score of each text; ``prototypes``: one row per name, of length 1."""
-    grams, owner, at = trigrams(texts)
-    found = bundles(owner, at, len(texts), trigram_vectors(grams, prototypes.shape[1]))
+    found = profiles(texts, np.arange(len(texts)), len(texts), prototypes.shape[1])
     norm = np.sqrt((found ** 2).sum(axis=1))
     found /= np.maximum(norm, 1e-30)[:, None]
     mean = prototypes.mean(axis=0)

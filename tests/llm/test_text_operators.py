@@ -410,7 +410,7 @@ def test_language_of_awkward_texts(spark, awkward):
 
 def test_trigrams_match_plain():
     texts = ["Aé b", "", "x", "12 ab--cd 3", "ßÄ", "one two"]
-    grams, owner, at = langid.trigrams(texts)
+    grams, owner, at = langid.trigrams([(t.lower(), False, False) for t in texts])
     got = sorted((int(o), *(int(grams[k]) >> s & 0x1FFFFF for s in (42, 21, 0)))
                  for o, k in zip(owner, at, strict=True))
     want = []
@@ -426,6 +426,43 @@ def test_trigrams_match_plain():
     assert got == sorted(want)
 
 
+def test_long_texts_are_cut_without_a_trace(monkeypatch):
+    rng = random.Random(3)
+    texts = ["", "x", "a" * 50, "--" * 30, *("".join(rng.choice("aäΣb. -") for _ in range(n))
+                                             for n in (1, 6, 7, 8, 14, 100, 333))]
+    of = np.array([k % 4 for k in range(len(texts))])
+    whole = langid.profiles(texts, of, 4, 128)
+    for size, batch in ((1, 5), (2, 1), (7, 40), (7, 1000)):
+        monkeypatch.setattr(langid, "PART_CHARS", size)
+        monkeypatch.setattr(langid, "BATCH_CHARS", batch)
+        assert (langid.profiles(texts, of, 4, 128) == whole).all()
+    for row in range(4):
+        want = sum(plain.trigram_profile(t, 128) for t, k in zip(texts, of, strict=True) if k == row)
+        assert (whole[row] == want).all()
+
+
+def test_language_matches_the_plain_classifier(spark):
+    rng = random.Random(11)
+    letters = {"aa": "abcdeo", "bb": "abxyzu", "cc": "mnoprä"}
+    rows = [(k, lang, " ".join("".join(rng.choice(letters[lang]) for _ in range(4)) for _ in range(12)))
+            for k, lang in enumerate(rng.choice(sorted(letters)) for _ in range(60))]
+    # Repeated rows, one text in two languages (equal cosines of untrained mixtures), and awkward ones.
+    rows += [rows[1]] * 3 + [(70, "aa", "same words"), (71, "bb", "same words"), (72, None, "same words"),
+                             (None, "aa", "abc abd"), (73, "cc", None), (74, "bb", "12 -"), (75, "aa", "ж")]
+    docs = spark.createDataFrame([(d, t, g, "s", None, "x", 7) for d, g, t in rows], DOCS)
+    got = sorted((str(r["doc_id"]), r["held_out"], r["lang_pred"], r["score"])
+                 for r in langid.identify(docs).collect())
+    want = sorted(plain.languages(rows, langid.DIMENSIONS))
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3] for g in got], [w[3] for w in want], atol=1e-9)
+
+
+def test_equal_cosines_take_the_first_name(spark):
+    docs = spark.createDataFrame([(d, "equal words", g, "s", None, "x", 7) for d, g in enumerate(
+        ["bb", "aa"] * 15)], DOCS)
+    assert {r["lang_pred"] for r in langid.identify(docs).collect()} == {"aa"}
+
+
 def test_mix_rates_and_order(spark, awkward):
     rows = [(k, "t", None, "big" if k % 3 else ("small" if k % 2 else None), 0, "x", 7)
             for k in range(3000)] + [(1, "t", None, "big", 0, "x", 7)] * 2
